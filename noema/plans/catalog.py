@@ -293,3 +293,343 @@ def kc_finalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     kc = A.finalize_kc_nodes(rows)
     return kc.select("name", "link", "category", F.array_join("alias", "|").alias("alias_text"),
                      F.size("alias").cast("long").alias("n_alias"))
+
+
+# --------------------------------------------------------------------------
+# Alias map and concept → keyword mapping (matched and failed)
+# --------------------------------------------------------------------------
+def _keyword_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyword nodes: part names (aliases = their words, scanned first, by
+    smallest part key), then every anchor target spelling (scanned by text)."""
+    t = Tables(spark, sf_dir)
+    parts = t.part.groupBy("p_name").agg(F.min("p_partkey").alias("k_long")).select(
+        F.col("p_name").alias("name"), F.split("p_name", " ").alias("alias"),
+        F.struct(F.lit(0).alias("src"), "k_long", F.lit(None).cast("string").alias("k_str")).alias("scan"))
+    targets = _page_concepts(spark, sf_dir).select(F.explode("hrefs").alias("h")) \
+        .select(F.regexp_replace("h", "^/", "").alias("name")).distinct()
+    anchors = targets.select("name", F.array().cast("array<string>").alias("alias"),
+                             F.struct(F.lit(1).alias("src"), F.lit(None).cast("long").alias("k_long"),
+                                      F.col("name").alias("k_str")).alias("scan"))
+    return parts.unionByName(anchors)
+
+
+_KEYWORD_CTE = f"""
+part_nodes AS (
+  SELECT p_name AS name, string_split(p_name, ' ') AS alias, 0 AS src, min(p_partkey) AS k_long,
+         NULL::VARCHAR AS k_str FROM part GROUP BY p_name
+), anchor_nodes AS (
+  SELECT DISTINCT regexp_replace(h, '^/', '') AS name, []::VARCHAR[] AS alias, 1 AS src,
+         NULL::BIGINT AS k_long, regexp_replace(h, '^/', '') AS k_str
+  FROM (SELECT unnest(regexp_extract_all(html, '{HREF_RE}', 1)) AS h FROM pages)
+), nodes AS (SELECT * FROM part_nodes UNION ALL SELECT * FROM anchor_nodes),
+terms AS (
+  SELECT {S.lower_strip('name')} AS term, name, src, k_long, k_str, 0 AS i
+  FROM nodes WHERE name IS NOT NULL AND name <> ''
+  UNION ALL
+  SELECT {S.lower_strip('a')} AS term, name, src, k_long, k_str, i
+  FROM (SELECT name, src, k_long, k_str, unnest(alias) AS a, generate_subscripts(alias, 1) AS i
+        FROM nodes WHERE name IS NOT NULL AND name <> '')
+  WHERE a IS NOT NULL AND a <> ''
+), amap AS (
+  SELECT term, name AS keyword_name FROM terms
+  QUALIFY row_number() OVER (PARTITION BY term ORDER BY src DESC, k_long DESC, k_str DESC, i DESC) = 1
+)"""
+
+
+@query("alias_map_edges", f"""
+WITH {_KEYWORD_CTE},
+mentions AS (
+  SELECT page_id, unnest(regexp_extract_all(html, '{ANCHOR_TEXT_RE}', 1)) AS concept FROM pages
+)
+SELECT m.page_id, m.concept, a.keyword_name, a.keyword_name IS NOT NULL AS matched,
+       CASE WHEN a.keyword_name IS NULL THEN '{NO_MATCH_REASON}' END AS reason
+FROM mentions m LEFT JOIN amap a ON a.term = {S.lower_strip('m.concept')}
+""")
+def alias_map_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from noema.operators.graph import alias_map, map_concepts
+    nodes = _keyword_nodes(spark, sf_dir)
+    amap = alias_map(nodes, "name", "alias", [F.col("scan")])                          # G5
+    mentions = Tables(spark, sf_dir).pages.select(
+        "page_id", F.explode(F.regexp_extract_all("html", F.lit(ANCHOR_TEXT_RE), 1)).alias("concept"))
+    matched, failed = map_concepts(mentions, amap, "concept")                           # J9
+    return (matched.select("page_id", "concept", "keyword_name", F.lit(True).alias("matched"),
+                           F.lit(None).cast("string").alias("reason"))
+            .unionByName(failed.select("page_id", "concept", F.lit(None).cast("string").alias("keyword_name"),
+                                       F.lit(False).alias("matched"), "reason")))
+
+
+# --------------------------------------------------------------------------
+# Edge upsert, last wins, dangling edges not written
+# --------------------------------------------------------------------------
+@query("edge_upsert", f"""
+SELECT l_orderkey AS src, l_partkey AS dst, l_discount AS strength, l_returnflag AS reason
+FROM lineitem
+WHERE l_orderkey IN (SELECT o_orderkey FROM orders) AND l_partkey IN (SELECT p_partkey FROM part)
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_partkey
+                           ORDER BY {", ".join(c + " DESC" for c in LINE_ORDER)}) = 1
+""")
+def edge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from noema.operators.graph import upsert_edges
+    t = Tables(spark, sf_dir)
+    edges = t.lineitem.select(F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst"),
+                              F.col("l_discount").alias("strength"), F.col("l_returnflag").alias("reason"),
+                              F.struct(*LINE_ORDER).alias("pos"))
+    written, _dangling = upsert_edges(edges, "src", "dst", ["pos"], t.orders, "o_orderkey",
+                                      t.part, "p_partkey")
+    return written
+
+
+# --------------------------------------------------------------------------
+# Node overlay, later source replaces the whole node (nulls too)
+# --------------------------------------------------------------------------
+@query("node_overlay", """
+WITH src AS (
+  SELECT n_name AS name, c_name AS link, c_mktsegment AS category, 1 AS source_ord, c_custkey AS pos
+  FROM customer JOIN nation ON c_nationkey = n_nationkey
+  UNION ALL
+  SELECT n_name, s_name, NULL, 2, s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey
+)
+SELECT name, link, category, source_ord FROM src
+QUALIFY row_number() OVER (PARTITION BY name ORDER BY source_ord DESC, pos DESC) = 1
+""")
+def node_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from noema.operators.graph import upsert_nodes
+    t = Tables(spark, sf_dir)
+    nation = J.bounded_broadcast(t.nation.select("n_nationkey", "n_name"))
+    cust = t.customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("n_name").alias("name"), F.col("c_name").alias("link"), F.col("c_mktsegment").alias("category"),
+        F.lit(1).alias("source_ord"), F.col("c_custkey").alias("pos"))
+    supp = t.supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("n_name").alias("name"), F.col("s_name").alias("link"),
+        F.lit(None).cast("string").alias("category"),
+        F.lit(2).alias("source_ord"), F.col("s_suppkey").alias("pos"))
+    nodes = upsert_nodes(None, cust.unionByName(supp).withColumn("_so", F.col("source_ord")),
+                         "name", ["_so", "pos"])                                       # G3 order
+    return nodes.select("name", "link", "category", "source_ord")
+
+
+# --------------------------------------------------------------------------
+# Tolerant JSON extraction from wrapped model text
+# --------------------------------------------------------------------------
+def _wrapped_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = Tables(spark, sf_dir).events.select("event_id", "props")
+    kind = F.col("event_id") % 5
+    raw = (F.when(kind == 0, F.concat(F.lit("Sure! Here it is: "), F.col("props"), F.lit(" hope that helps")))
+           .when(kind == 1, F.concat(F.lit("```json\n"), F.col("props"), F.lit("\n```")))
+           .when(kind == 2, F.concat(F.lit('<think>maybe {"k": 0}</think>'), F.col("props")))
+           .when(kind == 3, F.rtrim(F.col("props"), F.lit("}")))
+           .otherwise(F.col("props")))
+    return ev.select("event_id", raw.alias("raw"))
+
+
+@query("json_repair", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+       greatest(0.0, least(1.0, CAST(json_extract(props, '$.k') AS DOUBLE) / 50.0)) AS strength,
+       true AS ok
+FROM events
+""")
+def json_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from noema.functions.jsonx import clamp01, parse_model_output
+    p = _wrapped_props(spark, sf_dir).select("event_id", parse_model_output("raw").alias("p"))
+    k = F.get_json_object(F.col("p.json"), "$.k")
+    return p.select("event_id", k.cast("long").alias("k"),
+                    clamp01(k.cast("double") / F.lit(50.0)).alias("strength"),
+                    F.col("p.is_object").alias("ok"))
+
+
+# --------------------------------------------------------------------------
+# Link encoders on page titles
+# --------------------------------------------------------------------------
+_TITLE_RE = "<title>([^<]*)</title>"
+
+
+@query("wiki_links", f"""
+WITH p AS (
+  SELECT page_id, {S.title_from_url('url')} AS segment, regexp_extract(html, '{_TITLE_RE}', 1) AS title,
+         nullif(regexp_extract(url, '#(.*)$', 1), '') AS frag
+  FROM pages
+)
+SELECT page_id, segment, title,
+       {S.name_link('title')} AS link_name,
+       '{X.WIKI_PREFIX}' || {S.path_quote('title')} ||
+         CASE WHEN frag IS NULL THEN '' ELSE '#' || {S.path_quote('frag')} END AS link_article,
+       '{X.WIKI_PREFIX}' || {S.quote("replace(title, ' ', '_')", '')} AS link_page
+FROM p
+""")
+def wiki_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = Tables(spark, sf_dir).pages.select(
+        "page_id", X.title_from_url("url").alias("segment"),
+        F.regexp_extract("html", _TITLE_RE, 1).alias("title"),
+        F.nullif(F.regexp_extract("url", "#(.*)$", 1), F.lit("")).alias("frag"))
+    return p.select("page_id", "segment", "title", X.name_link("title").alias("link_name"),
+                    X.article_link("title", "frag").alias("link_article"),
+                    X.page_link("title").alias("link_page"))
+
+
+# --------------------------------------------------------------------------
+# F1 / F2: list literal parsing
+# --------------------------------------------------------------------------
+@query("lists_parse", """
+WITH r AS (SELECT p_partkey, p_type, p_brand, p_size, p_size % 5 AS kind FROM part)
+SELECT p_partkey,
+       CASE kind WHEN 2 THEN 0 ELSE 2 END::BIGINT AS n_items,
+       CASE kind WHEN 0 THEN p_type || '|' || p_brand
+                 WHEN 1 THEN p_type || '|' || p_brand
+                 WHEN 2 THEN ''
+                 WHEN 3 THEN p_type || '|' || CAST(p_size AS VARCHAR)
+                 ELSE '[''' || p_type || '''|' || p_brand || ']' END AS items_text,
+       CASE WHEN kind IN (0, 3) THEN 2 ELSE 0 END::BIGINT AS n_literal
+FROM r
+""")
+def lists_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = Tables(spark, sf_dir).part
+    kind = F.col("p_size") % 5
+    lit = (F.when(kind == 0, F.concat(F.lit("['"), "p_type", F.lit("', '"), "p_brand", F.lit("']")))
+           .when(kind == 1, F.concat("p_type", F.lit(", "), "p_brand"))
+           .when(kind == 2, F.lit(""))
+           .when(kind == 3, F.concat(F.lit('["'), "p_type", F.lit('", '), F.col("p_size").cast("string"), F.lit("]")))
+           .otherwise(F.concat(F.lit("['"), "p_type", F.lit("', "), "p_brand", F.lit("]"))))
+    r = part.select("p_partkey", lit.alias("text"))
+    items = L.parse_to_list("text")
+    return r.select("p_partkey", F.size(items).cast("long").alias("n_items"),
+                    F.array_join(items, "|").alias("items_text"),
+                    F.size(L.literal_or_empty("text")).cast("long").alias("n_literal"))
+
+
+# --------------------------------------------------------------------------
+# Data-quality scan per (lang, source), nulls kept as groups
+# --------------------------------------------------------------------------
+@query("quality_scan", """
+SELECT lang, source, count(*) AS n_docs,
+       count(*) FILTER (WHERE regexp_matches(text, '[^\\x00-\\x7F]')) AS n_non_ascii,
+       count(*) FILTER (WHERE contains(text, chr(65533))) AS n_replacement
+FROM documents GROUP BY lang, source
+""")
+def quality_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = Tables(spark, sf_dir).documents
+    return d.groupBy("lang", "source").agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        F.count_if(X.has_non_ascii("text")).alias("n_non_ascii"),
+        F.count_if(X.has_replacement_char("text")).alias("n_replacement"))
+
+
+# --------------------------------------------------------------------------
+# Exact numeric summary
+# --------------------------------------------------------------------------
+@query("describe", """
+SELECT count(l_extendedprice) AS count, round(avg(l_extendedprice), 4) AS mean,
+       round(stddev_samp(l_extendedprice), 4) AS std, min(l_extendedprice) AS min,
+       round(quantile_cont(l_extendedprice, 0.25), 4) AS p25,
+       round(quantile_cont(l_extendedprice, 0.5), 4) AS p50,
+       round(quantile_cont(l_extendedprice, 0.75), 4) AS p75, max(l_extendedprice) AS max
+FROM lineitem
+""")
+def describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = A.describe(Tables(spark, sf_dir).lineitem, "l_extendedprice")
+    return d.select("count", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"), "min",
+                    F.round("p25", 4).alias("p25"), F.round("p50", 4).alias("p50"),
+                    F.round("p75", 4).alias("p75"), "max")
+
+
+# --------------------------------------------------------------------------
+# Top-10 anchor targets
+# --------------------------------------------------------------------------
+@query("top_values", f"""
+SELECT regexp_replace(h, '^/', '') AS value, count(*) AS count
+FROM (SELECT unnest(regexp_extract_all(html, '{HREF_RE}', 1)) AS h FROM pages)
+GROUP BY value ORDER BY count DESC, value LIMIT 10
+""")
+def top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = _page_concepts(spark, sf_dir).select(F.explode("hrefs").alias("h")) \
+        .select(F.regexp_replace("h", "^/", "").alias("value"))
+    return A.top_values(v, "value", 10)
+
+
+# --------------------------------------------------------------------------
+# Run statistics (pages with anchors = successes)
+# --------------------------------------------------------------------------
+@query("run_stats", f"""
+WITH p AS (SELECT len(regexp_extract_all(html, '{HREF_RE}', 1)) AS n FROM pages)
+SELECT count(*) AS n_total, count(*) FILTER (WHERE n > 0) AS n_ok, count(*) FILTER (WHERE n = 0) AS n_failed,
+       round(sum(n) FILTER (WHERE n > 0) / count(*) FILTER (WHERE n > 0), 2) AS mean_per_ok
+FROM p
+""")
+def run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _page_concepts(spark, sf_dir).select(F.size("hrefs").alias("n"))
+    return A.run_stats(p, F.col("n") > 0, F.col("n").cast("double"))
+
+
+# --------------------------------------------------------------------------
+# Column profile
+# --------------------------------------------------------------------------
+@query("column_profile", """
+SELECT column_name, non_null, n_rows FROM (
+  SELECT count(*) AS n_rows, count(doc_id) AS doc_id, count(text) AS text, count(lang) AS lang,
+         count(source) AS source, count(n_chars) AS n_chars FROM documents
+) UNPIVOT (non_null FOR column_name IN (doc_id, text, lang, source, n_chars))
+""")
+def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.column_profile(Tables(spark, sf_dir).documents).select("column_name", "non_null", "n_rows")
+
+
+# --------------------------------------------------------------------------
+# Cross-source duplicate report
+# --------------------------------------------------------------------------
+@query("dup_report", f"""
+WITH c AS (SELECT {S.strip('n_name')} AS name, c_custkey AS k FROM customer JOIN nation ON c_nationkey = n_nationkey),
+s AS (SELECT {S.strip('n_name')} AS name, s_suppkey AS k FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+SELECT 'name' AS kind, name, NULL::BIGINT AS key FROM (SELECT name FROM c INTERSECT SELECT name FROM s)
+UNION ALL
+SELECT 'pair' AS kind, name, k AS key FROM (SELECT name, k FROM c INTERSECT SELECT name, k FROM s)
+""")
+def dup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from noema.operators.sets import intersect_names, intersect_pairs
+    t = Tables(spark, sf_dir)
+    nation = J.bounded_broadcast(t.nation.select("n_nationkey", "n_name"))
+    c = t.customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("n_name").alias("name"), F.col("c_custkey").alias("k"))
+    s = t.supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("n_name").alias("name"), F.col("s_suppkey").alias("k"))
+    names = intersect_names(c, s, "name").select(F.lit("name").alias("kind"), "name",
+                                                  F.lit(None).cast("long").alias("key"))
+    pairs = intersect_pairs(c, s, "name", "k").select(F.lit("pair").alias("kind"), "name",
+                                                       F.col("k").alias("key"))
+    return names.unionByName(pairs)
+
+
+# --------------------------------------------------------------------------
+# Referential checks
+# --------------------------------------------------------------------------
+@query("ref_integrity", """
+SELECT 'order_without_lineitem' AS check_name, CAST(o_orderkey AS VARCHAR) AS key, 1::BIGINT AS n
+FROM (SELECT DISTINCT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL))
+UNION ALL
+SELECT 'lineitem_missing_order', CAST(l_orderkey AS VARCHAR), 1::BIGINT
+FROM (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders))
+UNION ALL
+SELECT 'lineitem_missing_part', CAST(l_partkey AS VARCHAR), 1::BIGINT
+FROM (SELECT DISTINCT l_partkey FROM lineitem WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part))
+UNION ALL
+SELECT 'duplicate_part_name', p_name, count(*) FROM part GROUP BY p_name HAVING count(*) > 1
+UNION ALL
+SELECT 'dangling_edges', NULL, count(*) FROM lineitem
+WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders) OR l_partkey NOT IN (SELECT p_partkey FROM part)
+   OR l_orderkey IS NULL OR l_partkey IS NULL
+""")
+def ref_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from noema.operators.graph import uniqueness_violations
+    t = Tables(spark, sf_dir)
+    li = t.lineitem.select("l_orderkey", "l_partkey")
+    one = F.lit(1).cast("long").alias("n")
+    o_wo = J.missing_endpoints(t.orders, li, "o_orderkey", "l_orderkey") \
+        .select(F.lit("order_without_lineitem").alias("check_name"), F.col("value").cast("string").alias("key"), one)
+    l_wo = J.missing_endpoints(li, t.orders, "l_orderkey", "o_orderkey") \
+        .select(F.lit("lineitem_missing_order").alias("check_name"), F.col("value").cast("string").alias("key"), one)
+    p_wo = J.missing_endpoints(li, t.part, "l_partkey", "p_partkey") \
+        .select(F.lit("lineitem_missing_part").alias("check_name"), F.col("value").cast("string").alias("key"), one)
+    dup = uniqueness_violations(t.part, "p_name").select(
+        F.lit("duplicate_part_name").alias("check_name"), F.col("p_name").alias("key"), F.col("n").cast("long"))
+    _ok, dangling = J.resolve_endpoints(li, t.orders, "l_orderkey", "o_orderkey", t.part, "l_partkey", "p_partkey")
+    dang = dangling.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("dangling_edges").alias("check_name"), F.lit(None).cast("string").alias("key"), "n")
+    return o_wo.unionByName(l_wo).unionByName(p_wo).unionByName(dup).unionByName(dang)
