@@ -633,3 +633,147 @@ def ref_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     dang = dangling.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit("dangling_edges").alias("check_name"), F.lit(None).cast("string").alias("key"), "n")
     return o_wo.unionByName(l_wo).unionByName(p_wo).unionByName(dup).unionByName(dang)
+
+
+# --------------------------------------------------------------------------
+# Prioritised section-then-title match of concept nodes
+# --------------------------------------------------------------------------
+def _match_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Concept nodes: anchor targets (aliases = lower-case spelling and a
+    "<name> page" variant), page URL
+    segments (no alias) and part names (alias = their words)."""
+    t = Tables(spark, sf_dir)
+    c = _page_concepts(spark, sf_dir)
+    targets = c.select(F.explode("hrefs").alias("h")).select(
+        F.regexp_replace("h", "^/", "").alias("name")).distinct()
+    a = targets.select(F.concat(F.lit("a:"), "name").alias("node_id"), "name",
+                       F.array(F.lower("name"), F.concat("name", F.lit(" page"))).alias("alias"))
+    s = c.select("name").distinct().select(F.concat(F.lit("s:"), "name").alias("node_id"), "name",
+                                           F.array().cast("array<string>").alias("alias"))
+    p = t.part.select("p_name").distinct().select(F.concat(F.lit("p:"), "p_name").alias("node_id"),
+                                                  F.col("p_name").alias("name"),
+                                                  F.split("p_name", " ").alias("alias"))
+    return a.unionByName(s).unionByName(p)
+
+
+def _norm_sql(x: str) -> str:
+    return S.strip(f"regexp_replace(lower({x}), '[' || {S.WS.replace(' || ', ' || ')} || ']+', ' ', 'g')")
+
+
+@query("wiki_match", f"""
+WITH c AS (
+  SELECT page_id AS pos, {S.title_from_url('url')} AS title,
+         regexp_extract_all(html, '{HREF_RE}', 1) AS hrefs,
+         regexp_extract_all(html, '{ANCHOR_TEXT_RE}', 1) AS subs
+  FROM pages
+), ws AS (
+  SELECT pos, i, title, {S.strip("coalesce(s, '')")} AS sub_raw
+  FROM (SELECT pos, title, unnest(subs) AS s, generate_subscripts(subs, 1) AS i FROM c WHERE title IS NOT NULL)
+), sub_map AS (
+  SELECT {_norm_sql('sub_raw')} AS sub_n, title, sub_raw FROM ws WHERE {_norm_sql('sub_raw')} <> ''
+  QUALIFY row_number() OVER (PARTITION BY {_norm_sql('sub_raw')} ORDER BY pos, i) = 1
+), title_map AS (
+  SELECT {_norm_sql('title')} AS title_n, title FROM c WHERE title IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY {_norm_sql('title')} ORDER BY pos) = 1
+), nodes AS (
+  SELECT DISTINCT 'a:' || regexp_replace(h, '^/', '') AS node_id, regexp_replace(h, '^/', '') AS name,
+         [lower(regexp_replace(h, '^/', '')), regexp_replace(h, '^/', '') || ' page'] AS alias
+  FROM (SELECT unnest(hrefs) AS h FROM c)
+  UNION ALL
+  SELECT DISTINCT 's:' || title, title, []::VARCHAR[] FROM c
+  UNION ALL
+  SELECT DISTINCT 'p:' || p_name, p_name, string_split(p_name, ' ') FROM part
+), cand AS (
+  SELECT node_id, v AS c, j FROM (
+    SELECT node_id, {S.strip("coalesce(x, '')")} AS v, j
+    FROM (SELECT node_id, unnest([name] || alias) AS x, generate_subscripts([name] || alias, 1) AS j FROM nodes))
+  WHERE v <> '' QUALIFY row_number() OVER (PARTITION BY node_id, v ORDER BY j) = 1
+), hits AS (
+  SELECT cand.node_id, 0 AS kind, cand.j, {_norm_sql('cand.c')} AS hit_n, s.title, s.sub_raw AS sub
+  FROM cand JOIN sub_map s ON {_norm_sql('cand.c')} = s.sub_n
+  UNION ALL
+  SELECT cand.node_id, 1, cand.j, {_norm_sql('cand.c')}, t.title, NULL
+  FROM cand JOIN title_map t ON {_norm_sql('cand.c')} = t.title_n
+), best AS (
+  SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY node_id ORDER BY kind, j) = 1
+), hit_alias AS (
+  SELECT node_id, string_agg(v, '|' ORDER BY o) AS alias_text FROM (
+    SELECT node_id, v, o FROM (
+      SELECT cand.node_id, cand.c AS v, cand.j AS o FROM cand JOIN best b ON cand.node_id = b.node_id
+      WHERE {_norm_sql('cand.c')} <> b.hit_n
+      UNION ALL
+      SELECT n.node_id, {S.strip("coalesce(n.name, '')")}, 1000000 FROM nodes n JOIN best b ON n.node_id = b.node_id)
+    WHERE v <> '' QUALIFY row_number() OVER (PARTITION BY node_id, v ORDER BY o) = 1)
+  GROUP BY node_id
+), miss_alias AS (
+  SELECT node_id, string_agg(v, '|' ORDER BY j) AS alias_text FROM (
+    SELECT node_id, v, j FROM (
+      SELECT node_id, {S.strip("coalesce(x, '')")} AS v, j
+      FROM (SELECT node_id, unnest(alias) AS x, generate_subscripts(alias, 1) AS j FROM nodes))
+    WHERE v <> '' QUALIFY row_number() OVER (PARTITION BY node_id, v ORDER BY j) = 1)
+  GROUP BY node_id
+)
+SELECT n.node_id,
+       CASE WHEN b.node_id IS NULL THEN n.name WHEN b.kind = 0 THEN b.sub ELSE b.title END AS name,
+       coalesce(CASE WHEN b.node_id IS NULL THEN m.alias_text ELSE h.alias_text END, '') AS alias_text,
+       CASE WHEN b.kind = 0 THEN '{X.WIKI_PREFIX}' || {S.path_quote('b.title')} || '#' || {S.path_quote('b.sub')}
+            WHEN b.kind = 1 THEN '{X.WIKI_PREFIX}' || {S.path_quote('b.title')} END AS link,
+       CASE WHEN b.kind = 0 THEN 'subtitle' WHEN b.kind = 1 THEN 'title' END AS wiki_match_type
+FROM nodes n LEFT JOIN best b ON n.node_id = b.node_id
+     LEFT JOIN hit_alias h ON n.node_id = h.node_id LEFT JOIN miss_alias m ON n.node_id = m.node_id
+""")
+def wiki_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from noema.operators.wikimatch import wiki_map
+    pages = Tables(spark, sf_dir).pages
+    wiki = pages.select(F.col("page_id").alias("pos"), X.title_from_url("url").alias("title"),
+                        F.regexp_extract_all("html", F.lit(ANCHOR_TEXT_RE), 1).alias("subtitles"))
+    out = wiki_map(_match_nodes(spark, sf_dir), wiki)
+    return out.select("node_id", "name", F.array_join("alias", "|").alias("alias_text"), "link",
+                      "wiki_match_type")
+
+
+# --------------------------------------------------------------------------
+# Fill link and categories from a lookup only where empty
+# --------------------------------------------------------------------------
+_DOC_LINK = X.WIKI_PREFIX + "Doc_"
+
+
+@query("fill_missing", f"""
+WITH lk AS (
+  SELECT doc_id, '{_DOC_LINK}' || doc_id AS new_link,
+         list_sort(list_distinct(flatten(list(cats)))) AS new_cats
+  FROM (SELECT doc_id, list_filter([CASE WHEN quality = 1 THEN 'quality' END,
+                                    CASE WHEN toxic = 1 THEN 'toxic' END], lambda x: x IS NOT NULL) AS cats
+        FROM labels)
+  GROUP BY doc_id
+), d AS (
+  SELECT doc_id, CASE WHEN n_chars % 2 = 0 THEN '{_DOC_LINK}' || doc_id || '_orig'
+                      WHEN n_chars % 5 = 1 THEN ' ' END AS link,
+         CASE WHEN n_chars % 3 = 0 THEN [lang] ELSE []::VARCHAR[] END AS cats
+  FROM documents
+)
+SELECT d.doc_id,
+       CASE WHEN (d.link IS NULL OR {S.strip('d.link')} = '') AND lk.new_link IS NOT NULL THEN lk.new_link
+            ELSE d.link END AS link,
+       array_to_string(CASE WHEN lk.doc_id IS NOT NULL AND len(d.cats) = 0 AND len(lk.new_cats) > 0
+                            THEN lk.new_cats ELSE d.cats END, '|') AS categories_text
+FROM d LEFT JOIN lk ON lk.doc_id = d.doc_id
+""")
+def fill_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from noema.operators.categories import fill_from_lookup
+    t = Tables(spark, sf_dir)
+    lab = t.labels.select("doc_id", F.filter(F.array(F.when(F.col("quality") == 1, F.lit("quality")),
+                                                     F.when(F.col("toxic") == 1, F.lit("toxic"))),
+                                             lambda x: x.isNotNull()).alias("cats"))
+    merged = A.merged_category_sets(lab.where(F.size("cats") > 0), "doc_id", "cats", "new_categories")  # A10
+    hits = t.labels.select("doc_id").distinct().join(merged, "doc_id", "left").select(
+        F.col("doc_id").cast("string").alias("name"),
+        F.concat(F.lit(_DOC_LINK), F.col("doc_id").cast("string")).alias("new_link"),
+        F.coalesce("new_categories", L.empty_str_array()).alias("new_categories"))
+    docs = t.documents.select(
+        F.col("doc_id").cast("string").alias("name"), "doc_id",
+        F.when(F.col("n_chars") % 2 == 0, F.concat(F.lit(_DOC_LINK), F.col("doc_id").cast("string"), F.lit("_orig")))
+         .when(F.col("n_chars") % 5 == 1, F.lit(" ")).alias("link"),
+        F.when(F.col("n_chars") % 3 == 0, F.array("lang")).otherwise(L.empty_str_array()).alias("categories"))
+    out = fill_from_lookup(docs, hits, "name", "link", "categories", only_when_missing=True)   # J13
+    return out.select("doc_id", "link", F.array_join("categories", "|").alias("categories_text"))
