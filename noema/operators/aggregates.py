@@ -141,3 +141,9 @@ def column_profile(df: DataFrame) -> DataFrame:
     prof = agg.selectExpr("_rows AS n_rows", f"stack({len(cols)}, {pairs}) AS (column_name, non_null)")
     types = df.sparkSession.createDataFrame([(c, dtypes[c]) for c in cols], "column_name string, dtype string")
     return prof.join(F.broadcast(types), "column_name")
+
+
+def ranked_keys(df: DataFrame, key: str, out: str) -> DataFrame:
+    """Dense 0-based ordinal of each distinct ``key`` value in sort order,
+    computed with the distributed row index (no single-partition window)."""
+    return with_global_index(df.select(key).distinct(), [key], out)

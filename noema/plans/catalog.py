@@ -777,3 +777,125 @@ def fill_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("n_chars") % 3 == 0, F.array("lang")).otherwise(L.empty_str_array()).alias("categories"))
     out = fill_from_lookup(docs, hits, "name", "link", "categories", only_when_missing=True)   # J13
     return out.select("doc_id", "link", F.array_join("categories", "|").alias("categories_text"))
+
+
+# --------------------------------------------------------------------------
+# Entity resolution of part names against part-type keyword nodes
+# --------------------------------------------------------------------------
+def _resolve_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Existing nodes: the part types (ordered by text).  Incoming concepts:
+    parts in key order; name = part name, aliases = its brand when the size is
+    above 25 and the upper-case type when the size is at most 10, link only for
+    sizes divisible by 3, categories = [type]."""
+    part = Tables(spark, sf_dir).part
+    types = part.select(F.col("p_type").alias("name")).distinct()
+    existing = A.ranked_keys(types, "name", "ord").select(
+        "ord", "name", F.array().cast("array<string>").alias("alias"),
+        F.lit(None).cast("string").alias("link"), F.array(F.lit("type")).alias("categories"))
+    alias = F.filter(F.array(F.when(F.col("p_size") > 25, F.col("p_brand")),
+                             F.when(F.col("p_size") <= 10, F.upper("p_type"))), lambda x: x.isNotNull())
+    incoming = part.select(
+        F.col("p_partkey").alias("pos"), F.col("p_name").alias("name"), alias.alias("alias"),
+        F.when(F.col("p_size") % 3 == 0, F.concat(F.lit(X.WIKI_PREFIX + "Part_"), F.col("p_partkey").cast("string")))
+         .alias("link"),
+        F.array("p_type").alias("categories"))
+    return existing, incoming
+
+
+_RESOLVE_CTE = f"""
+ex AS (
+  SELECT (dense_rank() OVER (ORDER BY p_type) - 1)::BIGINT AS ord, p_type AS name
+  FROM (SELECT DISTINCT p_type FROM part)
+), inc AS (
+  SELECT p_partkey AS pos, p_name AS name,
+         list_filter([CASE WHEN p_size > 25 THEN p_brand END, CASE WHEN p_size <= 10 THEN upper(p_type) END],
+                     lambda x: x IS NOT NULL) AS alias,
+         CASE WHEN p_size % 3 = 0 THEN '{X.WIKI_PREFIX}Part_' || p_partkey END AS link,
+         [p_type] AS categories
+  FROM part
+), t_terms AS (
+  SELECT DISTINCT pos, term FROM (
+    SELECT pos, {S.lower_strip('name')} AS term FROM inc
+    UNION ALL
+    SELECT pos, {S.lower_strip('a')} FROM (SELECT pos, unnest(alias) AS a FROM inc) WHERE a IS NOT NULL AND a <> '')
+), s_terms AS (
+  SELECT DISTINCT pos, term FROM (
+    SELECT pos, lower(name) AS term FROM inc
+    UNION ALL
+    SELECT pos, lower(a) FROM (SELECT pos, unnest(alias) AS a FROM inc) WHERE a IS NOT NULL)
+), e_terms AS (
+  SELECT lower(name) AS term, min(ord) AS ord FROM ex GROUP BY 1
+), init AS (
+  SELECT inc.pos, least(coalesce(d.ord, 4611686018427387904 + inc.pos), 4611686018427387904 + inc.pos) AS lab
+  FROM inc LEFT JOIN (SELECT t.pos, min(e.ord) AS ord FROM t_terms t JOIN e_terms e USING (term) GROUP BY t.pos) d
+       ON d.pos = inc.pos
+), links AS (
+  SELECT DISTINCT s.pos AS src, t.pos AS dst FROM s_terms s JOIN t_terms t USING (term) WHERE s.pos < t.pos
+), anc(pos, a) AS (
+  SELECT pos, pos FROM inc
+  UNION
+  SELECT links.dst, anc.a FROM anc JOIN links ON links.src = anc.pos
+), lab AS (
+  SELECT anc.pos, min(init.lab) AS lab FROM anc JOIN init ON init.pos = anc.a GROUP BY anc.pos
+), res AS (
+  SELECT inc.*, lab.lab,
+         CASE WHEN lab.lab = 4611686018427387904 + inc.pos THEN 'created' ELSE 'merged' END AS action
+  FROM inc JOIN lab USING (pos)
+), nodes AS (
+  SELECT ord AS lab, name AS node_name, []::VARCHAR[] AS init_alias, NULL::VARCHAR AS init_link,
+         ['type'] AS init_cats FROM ex
+  UNION ALL
+  SELECT lab, name, alias, link, categories FROM res WHERE action = 'created'
+)"""
+
+
+@query("entity_resolve", f"""
+WITH RECURSIVE {_RESOLVE_CTE}
+SELECT res.pos, res.name, res.action, nodes.node_name FROM res JOIN nodes ON nodes.lab = res.lab
+""")
+def entity_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from noema.operators.resolve import resolve
+    existing, incoming = _resolve_inputs(spark, sf_dir)
+    actions, _nodes = resolve(existing, incoming)
+    return actions
+
+
+@query("entity_nodes", f"""
+WITH RECURSIVE {_RESOLVE_CTE},
+m AS (SELECT * FROM res WHERE action = 'merged'),
+alias_items AS (
+  SELECT m.lab, m.pos, i, a FROM (
+    SELECT lab, pos, unnest([name] || alias) AS a, generate_subscripts([name] || alias, 1) AS i FROM m) m
+  JOIN nodes n ON n.lab = m.lab
+  WHERE a IS NOT NULL AND NOT list_contains(n.init_alias, a)
+), alias_kept AS (
+  SELECT * FROM alias_items
+  QUALIFY pos = min(pos) OVER (PARTITION BY lab, a)
+), cat_items AS (
+  SELECT m.lab, m.pos, i, a FROM (
+    SELECT lab, pos, unnest(categories) AS a, generate_subscripts(categories, 1) AS i FROM m) m
+  JOIN nodes n ON n.lab = m.lab
+  WHERE a IS NOT NULL AND NOT list_contains(n.init_cats, a)
+), cat_kept AS (
+  SELECT * FROM cat_items QUALIFY pos = min(pos) OVER (PARTITION BY lab, a)
+), seq AS (
+  SELECT lab, pos AS seq, link FROM m UNION ALL SELECT lab, -1, init_link FROM nodes
+), link_pick AS (
+  SELECT lab,
+         arg_min(link, seq) FILTER (WHERE link IS NOT NULL AND link <> '') AS first_link,
+         arg_max(link, seq) AS last_link, count(*) - 1 AS n_merged
+  FROM seq GROUP BY lab
+)
+SELECT n.node_name,
+       array_to_string(n.init_alias || coalesce((SELECT list(a ORDER BY pos, i) FROM alias_kept k WHERE k.lab = n.lab), []), '|') AS alias_text,
+       CASE WHEN lp.first_link IS NOT NULL THEN lp.first_link ELSE lp.last_link END AS link,
+       array_to_string(n.init_cats || coalesce((SELECT list(a ORDER BY pos, i) FROM cat_kept k WHERE k.lab = n.lab), []), '|') AS categories_text,
+       lp.n_merged
+FROM nodes n JOIN link_pick lp ON lp.lab = n.lab
+""")
+def entity_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from noema.operators.resolve import resolve
+    existing, incoming = _resolve_inputs(spark, sf_dir)
+    _actions, nodes = resolve(existing, incoming)
+    return nodes.select("node_name", F.array_join("alias", "|").alias("alias_text"), "link",
+                        F.array_join("categories", "|").alias("categories_text"), "n_merged")
