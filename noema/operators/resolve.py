@@ -24,7 +24,8 @@ prefix minimum of labels over ``pos``; the prefix is split into fixed-size
 ``pos`` buckets (bucket minima, a prefix over buckets, a running minimum inside
 a bucket), so a term shared by a third of all rows is spread over many tasks.
 No pairs are emitted and no group is collected into one task.  Labels are
-checkpointed to the shared checkpoint folder each round.
+checkpointed to the shared checkpoint folder every round, and rounds are
+semi-naive: only rows whose label dropped act as sources in the next round.
 
 The final node properties are the fold results in closed form: an appended
 alias survives iff it is not already on the node and no earlier merged row of
@@ -106,16 +107,23 @@ def resolve_labels(existing: DataFrame, incoming: DataFrame, bucket: int = DEFAU
     src = s_terms.join(shared, "term", "left_semi").checkpoint(eager=True)
     tgt = t_terms.join(shared, "term", "left_semi").checkpoint(eager=True)
     labels = labels.checkpoint(eager=True)
-    for _ in range(max_rounds):
-        cand = _propagate_once(labels, src, tgt, bucket)
-        nxt = labels.join(cand, "pos", "left").select(
-            "pos", F.least("label", F.coalesce("cand", F.col("label"))).alias("label"),
-            (F.coalesce(F.col("cand"), F.col("label")) < F.col("label")).alias("_changed")
-        ).checkpoint(eager=True)
-        changed = nxt.where("_changed").limit(1).count()
-        labels = nxt.drop("_changed")
-        if changed == 0:
+    # semi-naive rounds: only rows whose label dropped in the previous round
+    # can lower anyone else's label, so only they act as sources
+    delta = labels
+    for round_no in range(1, max_rounds + 1):
+        cand = _propagate_once(delta, src.join(delta.select("pos"), "pos", "left_semi"),
+                               tgt.join(src.join(delta.select("pos"), "pos", "left_semi")
+                                        .select("term").distinct(), "term", "left_semi"), bucket)
+        # both tables are cut from their lineage every round (reliable
+        # checkpoints in the shared folder), so plans stay flat and a lost
+        # executor only costs the current round
+        improved = cand.join(labels, "pos").where(F.col("cand") < F.col("label")) \
+                       .select("pos", F.col("cand").alias("label")).checkpoint(eager=True)
+        if improved.limit(1).count() == 0:
             return labels
+        labels = labels.join(improved.withColumnRenamed("label", "_new"), "pos", "left") \
+                       .select("pos", F.coalesce("_new", "label").alias("label")).checkpoint(eager=True)
+        delta = improved
     raise RuntimeError(f"entity resolution did not converge in {max_rounds} rounds")
 
 
