@@ -133,8 +133,9 @@ def _back_join(df: DataFrame, res: DataFrame, keys: Sequence[str], defaults: dic
     return out
 
 
-_EDGE_DEFAULTS = {"strength": F.lit(None).cast("double"), "reason": F.lit(None).cast("string"),
-                  "edge_raw": F.lit(""), "edge_ok": F.lit(False)}
+def _edge_defaults() -> dict[str, Column]:
+    return {"strength": F.lit(None).cast("double"), "reason": F.lit(None).cast("string"),
+            "edge_raw": F.lit(""), "edge_ok": F.lit(False)}
 
 
 def score_prereq_edges(df: DataFrame, generator: Generator | None = None, responses: DataFrame | None = None,
@@ -143,7 +144,7 @@ def score_prereq_edges(df: DataFrame, generator: Generator | None = None, respon
     keys = df.select("name", "prereq_name").dropna().distinct()
     s = _scored(keys, render(template, {"TARGET": F.col("name"), "PREREQ": F.col("prereq_name")}),
                 USER_RAW_JSON, generator, responses)
-    return _back_join(df, _edge_fields(s, ["name", "prereq_name"]), ["name", "prereq_name"], _EDGE_DEFAULTS)
+    return _back_join(df, _edge_fields(s, ["name", "prereq_name"]), ["name", "prereq_name"], _edge_defaults())
 
 
 def score_concept_edges(edges: DataFrame, template: str, generator: Generator | None = None,
@@ -157,7 +158,7 @@ def score_concept_edges(edges: DataFrame, template: str, generator: Generator |
     k = keys.join(ctx, "paperId", "left")
     s = _scored(k, render(template, {"PAPER_TITLE": F.col("title"), "PAPER_ABSTRACT": F.col("abstract"),
                                      "CONCEPT": F.col("concept")}), USER_RAW_JSON, generator, responses)
-    return _back_join(edges, _edge_fields(s, ["paperId", "concept"]), ["paperId", "concept"], _EDGE_DEFAULTS)
+    return _back_join(edges, _edge_fields(s, ["paperId", "concept"]), ["paperId", "concept"], _edge_defaults())
 
 
 def build_scored_edges(mentions: DataFrame, generator: Generator | None = None, responses: DataFrame | None = None,
