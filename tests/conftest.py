@@ -3,7 +3,13 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+_TESTS = os.path.dirname(os.path.abspath(__file__))
+_ROOT = os.path.dirname(_TESTS)
+sys.path.insert(0, _ROOT)
+# Python workers are started by the JVM with this environment: let them import
+# the package and the test helpers that closures refer to
+os.environ["PYTHONPATH"] = os.pathsep.join(
+    [_ROOT, _TESTS] + [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p])
 
 
 @pytest.fixture(scope="session")
