@@ -93,27 +93,31 @@ def resolve_labels(existing: DataFrame, incoming: DataFrame, bucket: int = DEFAU
     spark = incoming.sparkSession
     checkpoint_dir(spark)
     rows = incoming.where(F.col("name").isNotNull()).select("pos", "name", "alias")
-    t_terms = _search_terms(rows)
-    s_terms = _stored_terms(rows, "pos")
+    # one materialised table of all term entries: kind 0 = stored (source), 1 = searched (target)
+    terms = _stored_terms(rows, "pos").withColumn("kind", F.lit(0)) \
+        .unionByName(_search_terms(rows).withColumn("kind", F.lit(1))).checkpoint(eager=True)
     ek = _stored_terms(existing.select("ord", "name", "alias"), "ord") \
         .groupBy("term").agg(F.min("ord").alias("ord"))
-    direct = t_terms.join(ek, "term").groupBy("pos").agg(F.min("ord").alias("direct"))
+    direct = terms.where(F.col("kind") == 1).join(ek, "term").groupBy("pos").agg(F.min("ord").alias("direct"))
     labels = rows.select("pos").join(direct, "pos", "left").select(
         "pos", F.least(F.coalesce("direct", F.lit(CREATED) + F.col("pos")),
-                       F.lit(CREATED) + F.col("pos")).alias("label"))
-    # only terms stored by some row and searched by another can carry a label
-    shared = s_terms.select("term", "pos").unionByName(t_terms.select("term", "pos")).distinct() \
-        .groupBy("term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("term")
-    src = s_terms.join(shared, "term", "left_semi").checkpoint(eager=True)
-    tgt = t_terms.join(shared, "term", "left_semi").checkpoint(eager=True)
-    labels = labels.checkpoint(eager=True)
+                       F.lit(CREATED) + F.col("pos")).alias("label")).checkpoint(eager=True)
+    # only terms held by at least two rows can carry a label from one row to another
+    shared = terms.select("term", "pos").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n")) \
+        .where(F.col("n") > 1).select("term")
+    entries = terms.join(shared, "term", "left_semi").checkpoint(eager=True)
+    src = entries.where(F.col("kind") == 0).select("pos", "term")
+    tgt = entries.where(F.col("kind") == 1).select("pos", "term")
     # semi-naive rounds: only rows whose label dropped in the previous round
     # can lower anyone else's label, so only they act as sources
     delta = labels
     for round_no in range(1, max_rounds + 1):
-        cand = _propagate_once(delta, src.join(delta.select("pos"), "pos", "left_semi"),
-                               tgt.join(src.join(delta.select("pos"), "pos", "left_semi")
-                                        .select("term").distinct(), "term", "left_semi"), bucket)
+        if round_no == 1:          # every row is new: no need to narrow the entries
+            cand = _propagate_once(delta, src, tgt, bucket)
+        else:
+            moved = src.join(delta.select("pos"), "pos", "left_semi")
+            cand = _propagate_once(delta, moved,
+                                   tgt.join(moved.select("term").distinct(), "term", "left_semi"), bucket)
         # both tables are cut from their lineage every round (reliable
         # checkpoints in the shared folder), so plans stay flat and a lost
         # executor only costs the current round
