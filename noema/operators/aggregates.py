@@ -9,6 +9,7 @@ already-deduplicated values), so a hot group never ships its raw rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -88,31 +89,27 @@ def describe(df: DataFrame, c: str, quantiles: Sequence[float] = (0.25, 0.5, 0.7
     """Count, mean, sample std, min, exact quantiles (linear interpolation), max.
 
     Exact quantiles without gathering the column in one task: the non-null
-    values get a distributed dense row index under a range-partitioned sort;
-    only the rows at the needed ranks are kept and interpolated.
+    values get a distributed dense row index under a range-partitioned sort
+    (materialised once); with the row count known, one aggregation picks the
+    values at the two ranks around each quantile and interpolates.
     """
     vals = df.select(F.col(c).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    stats = vals.agg(F.count(F.lit(1)).alias("count"), F.avg("_x").alias("mean"),
-                     F.stddev_samp("_x").alias("std"), F.min("_x").alias("min"),
-                     F.max("_x").alias("max"))
     ranked = with_global_index(vals, ["_x"], "_r")
-    n = stats.select("count")
-    targets = []
-    for q in quantiles:
-        h = (F.col("count") - 1) * F.lit(float(q))
-        targets.append(F.struct(F.lit(float(q)).alias("q"), F.floor(h).alias("lo"),
-                                F.ceil(h).alias("hi"), (h - F.floor(h)).alias("frac")))
-    want = n.select(F.explode(F.array(*targets)).alias("t")).select("t.*")
-    lo = ranked.join(F.broadcast(want), ranked["_r"] == want["lo"]).select("q", F.col("_x").alias("x_lo"))
-    hi = ranked.join(F.broadcast(want), ranked["_r"] == want["hi"]).select("q", F.col("_x").alias("x_hi"))
-    qv = want.join(lo, "q").join(hi, "q").select(
-        "q", (F.col("x_lo") + (F.col("x_hi") - F.col("x_lo")) * F.col("frac")).alias("v"))
-    pivoted = qv.groupBy().pivot("q", [float(q) for q in quantiles]).agg(F.first("v"))
+    n = ranked.count()
+    aggs = [F.count(F.lit(1)).alias("count"), F.avg("_x").alias("mean"), F.stddev_samp("_x").alias("std"),
+            F.min("_x").alias("min"), F.max("_x").alias("max")]
     names = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
-    pivoted = pivoted.select(*[F.col(f"`{float(q)}`").alias(names.get(q, f"p{int(q * 100)}"))
-                               for q in quantiles])
-    # both sides hold exactly one row: join them on a constant key
-    return stats.withColumn("_one", F.lit(1)).join(pivoted.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    picks = []
+    for q in quantiles:
+        h = (n - 1) * float(q)
+        lo, hi = math.floor(h), math.ceil(h)
+        name = names.get(q, f"p{int(q * 100)}")
+        aggs += [F.max(F.when(F.col("_r") == lo, F.col("_x"))).alias(f"_{name}_lo"),
+                 F.max(F.when(F.col("_r") == hi, F.col("_x"))).alias(f"_{name}_hi")]
+        picks.append((F.col(f"_{name}_lo") + (F.col(f"_{name}_hi") - F.col(f"_{name}_lo")) * F.lit(h - lo))
+                     .alias(name))
+    out = ranked.agg(*aggs)
+    return out.select("count", "mean", "std", "min", *picks, "max")
 
 
 def merged_category_sets(df: DataFrame, key: str, cats: str, out: str = "categories") -> DataFrame:

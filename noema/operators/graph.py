@@ -98,8 +98,10 @@ def one_hop(edges: DataFrame, src_col: str, dst_col: str, src_nodes: DataFrame,
             .select("source", "target", *props))
 
 
-def graph_counts(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Node and edge counts as one row."""
-    n = nodes.agg(F.count(F.lit(1)).alias("n_nodes"))
-    e = edges.agg(F.count(F.lit(1)).alias("n_edges"))
-    return n.withColumn("_one", F.lit(1)).join(e.withColumn("_one", F.lit(1)), "_one").drop("_one")
+def graph_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """Row count per node / edge table, one ``(table, n)`` row each."""
+    out = None
+    for name, df in tables.items():
+        part = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table"), "n")
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -193,11 +193,14 @@ def id_to_name_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit(X.WIKI_PREFIX), F.col("n_name"),
                      F.when(F.col("n_nationkey") % 3 == 0, F.lit("/?x=1#top")).otherwise(F.lit(""))))
         .alias("wikipedia_link"))
+    # orders ⋈ customer first (order-sized), so lineitem is shuffled once, by order key
+    order_nation = t.orders.select("o_orderkey", "o_custkey").join(
+        t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")) \
+        .select("o_orderkey", "c_nationkey")
     ann = (t.lineitem.select("l_orderkey", "l_suppkey", "l_returnflag")
            .join(J.bounded_broadcast(t.supplier.select("s_suppkey", "s_nationkey")),
                  F.col("l_suppkey") == F.col("s_suppkey"))
-           .join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-           .join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+           .join(order_nation, F.col("l_orderkey") == F.col("o_orderkey"))
            .select(F.col("s_nationkey").alias("source_topic_id"), F.col("c_nationkey").alias("target_topic_id"),
                    F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("prereq_relation")))
     ann = ann.where(F.col("prereq_relation") == 1)                                      # P3

@@ -116,17 +116,12 @@ def build_graph(keyword_sources: list[DataFrame], prereq_sources: list[DataFrame
 
 
 def graph_stats(g: Graph) -> DataFrame:
-    """Node, edge, created / merged and failed counts as one row."""
-    def cnt(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias(name)).withColumn("_one", F.lit(1))
-    parts = [cnt(g.keywords, "keywords"), cnt(g.papers, "papers"), cnt(g.prereq, "prereq_edges"),
-             cnt(g.about, "about_edges"), cnt(g.in_edges, "in_edges"), cnt(g.ref_by, "ref_by_edges"),
-             cnt(g.failed_mappings, "failed_mappings")]
+    """Node, edge, failed-mapping and created / merged counts
+    as ``(table, n)`` rows."""
+    out = G.graph_counts({"keywords": g.keywords, "papers": g.papers, "prereq_edges": g.prereq,
+                          "about_edges": g.about, "in_edges": g.in_edges, "ref_by_edges": g.ref_by,
+                          "failed_mappings": g.failed_mappings})
     if g.actions is not None:
-        parts.append(g.actions.agg(F.count_if(F.col("action") == "created").alias("created"),
-                                   F.count_if(F.col("action") == "merged").alias("merged"))
-                     .withColumn("_one", F.lit(1)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.join(p, "_one")
-    return out.drop("_one")
+        out = out.unionByName(g.actions.groupBy(F.col("action").alias("table"))
+                              .agg(F.count(F.lit(1)).alias("n")))               # A12
+    return out
