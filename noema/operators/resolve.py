@@ -62,10 +62,10 @@ def _stored_terms(df: DataFrame, key: str) -> DataFrame:
     return by_name.unionByName(by_alias).distinct()
 
 
-def _propagate_once(labels: DataFrame, src: DataFrame, tgt: DataFrame, bucket: int) -> DataFrame:
+def _propagate_once(src_labeled: DataFrame, tgt: DataFrame, bucket: int) -> DataFrame:
     """One round: for every target entry (pos, term), the minimum label over
-    source entries of that term with a smaller-or-equal pos."""
-    s = src.join(labels, "pos").withColumn("b", F.floor(F.col("pos") / bucket))
+    source entries (pos, term, label) of that term with a smaller-or-equal pos."""
+    s = src_labeled.withColumn("b", F.floor(F.col("pos") / bucket))
     t = tgt.withColumn("b", F.floor(F.col("pos") / bucket))
     entries = s.select("term", "b", "pos", F.lit(0).alias("kind"), "label") \
         .unionByName(t.select("term", "b", "pos", F.lit(1).alias("kind"),
@@ -112,12 +112,12 @@ def resolve_labels(existing: DataFrame, incoming: DataFrame, bucket: int = DEFAU
     # can lower anyone else's label, so only they act as sources
     delta = labels
     for round_no in range(1, max_rounds + 1):
-        if round_no == 1:          # every row is new: no need to narrow the entries
-            cand = _propagate_once(delta, src, tgt, bucket)
+        moved = src.join(delta, "pos")          # source entries of rows whose label dropped
+        if round_no == 1:                        # every row is new: all targets are in play
+            cand = _propagate_once(moved, tgt, bucket)
         else:
-            moved = src.join(delta.select("pos"), "pos", "left_semi")
-            cand = _propagate_once(delta, moved,
-                                   tgt.join(moved.select("term").distinct(), "term", "left_semi"), bucket)
+            cand = _propagate_once(moved, tgt.join(moved.select("term").distinct(), "term", "left_semi"),
+                                   bucket)
         # both tables are cut from their lineage every round (reliable
         # checkpoints in the shared folder), so plans stay flat and a lost
         # executor only costs the current round

@@ -27,25 +27,27 @@ def _as_cols(xs: Sequence[ColumnLike] | ColumnLike) -> list[Column]:
 def _pick_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike], pick) -> DataFrame:
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    payload = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(True)
-    ordering = F.struct(*_as_cols(order))
-    out = df.groupBy(*keys).agg(pick(payload, ordering).alias("_row"))
-    return out.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]) if rest else out.select(*keys)
+    ordering = [c.alias(f"_ord{i}") for i, c in enumerate(_as_cols(order))]
+    # min / max of a struct compares the ordering fields first; the payload
+    # only breaks exact ties, so even a non-total order gives one fixed answer
+    packed = F.struct(*ordering, *[F.col(f"`{c}`") for c in rest])
+    out = df.groupBy(*keys).agg(pick(packed).alias("_row"))
+    return out.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike]) -> DataFrame:
     """W2 / A9 first-wins: the row with the smallest ``order`` for each key.
 
-    An aggregate (``min_by``) rather than ``row_number``: the partial aggregate
-    runs before the shuffle, so a key holding a third of the rows still sends
-    one row per map task.
+    An aggregate (``min`` of an (order, row) struct) rather than
+    ``row_number``: the partial aggregate runs before the shuffle, so a key
+    holding a third of the rows still sends one row per map task.
     """
-    return _pick_per_key(df, keys, order, F.min_by)
+    return _pick_per_key(df, keys, order, F.min)
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike]) -> DataFrame:
     """A9 / G1 last-wins: the row with the largest ``order`` for each key."""
-    return _pick_per_key(df, keys, order, F.max_by)
+    return _pick_per_key(df, keys, order, F.max)
 
 
 def top_k_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int,
