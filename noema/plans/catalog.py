@@ -203,15 +203,13 @@ def id_to_name_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
            .join(order_nation, F.col("l_orderkey") == F.col("o_orderkey"))
            .select(F.col("s_nationkey").alias("source_topic_id"), F.col("c_nationkey").alias("target_topic_id"),
                    F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("prereq_relation")))
-    ann = ann.where(F.col("prereq_relation") == 1)                                      # P3
-    bad = topics.where(F.col("wikipedia_link").isNull()).select("topic_id")            # P5
-    ann = J.anti_on_ids(ann, bad, ["source_topic_id", "target_topic_id"], "topic_id")  # J3
-    nodes = topics.join(bad, "topic_id", "left_anti").select(
-        F.col("topic_id").alias("id"), X.title_from_url("wikipedia_link").alias("name"))  # F10
-    edges = J.lookup_twice(ann, nodes, "id", "name",
-                           [("source_topic_id", "prereq_name"), ("target_topic_id", "name")])  # J1
-    return edges.groupBy("name", "prereq_name").agg(F.count(F.lit(1)).alias("n_edges")) \
-                .withColumn("unmatched", F.col("name").isNull() | F.col("prereq_name").isNull())  # J2
+    from noema.plans.kc_datasets import clean_tutorialbank
+    res = clean_tutorialbank(                                     # D7: P3 → P5 → J3 → F10 → J1 → J2
+        topics.select(F.col("topic_id").cast("long").alias("pos"), "topic_id",
+                      F.lit(None).cast("string").alias("topic_name"), "wikipedia_link"),
+        ann.withColumn("pos", F.lit(0).cast("long")))
+    return res.edges.groupBy("name", "prereq_name").agg(F.count(F.lit(1)).alias("n_edges")) \
+                    .withColumn("unmatched", F.col("name").isNull() | F.col("prereq_name").isNull())
 
 
 # --------------------------------------------------------------------------
@@ -902,3 +900,74 @@ def entity_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     _actions, nodes = resolve(existing, incoming)
     return nodes.select("node_name", F.array_join("alias", "|").alias("alias_text"), "link",
                         F.array_join("categories", "|").alias("categories_text"), "n_merged")
+
+
+# --------------------------------------------------------------------------
+# The full prerequisite-dataset cleaning flow (repair → group → link →
+# explode → self-loop removal → orphans → node / edge tables)
+# --------------------------------------------------------------------------
+def _metacademy(spark: SparkSession, sf_dir: str):
+    from noema.plans.kc_datasets import CONCEPT, PREREQ, clean_metacademy
+    rows = _page_concepts(spark, sf_dir).select(
+        F.col("name").alias(CONCEPT), F.explode_outer("hrefs").alias("h")) \
+        .select(CONCEPT, F.regexp_replace("h", "^/", "").alias(PREREQ))
+    return clean_metacademy(rows)
+
+
+@query("metacademy_nodes", f"""
+WITH {_PREREQ_CTE},
+names AS (SELECT DISTINCT name FROM edges WHERE name IS NOT NULL),
+orphans AS (SELECT DISTINCT prereq_name AS name FROM edges WHERE prereq_name IS NOT NULL
+            EXCEPT SELECT name FROM names)
+SELECT name, {S.name_link('name')} AS link FROM (SELECT name FROM names UNION ALL SELECT name FROM orphans)
+""")
+def metacademy_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _metacademy(spark, sf_dir).nodes.select("name", "link")
+
+
+@query("metacademy_edges", f"""
+WITH {_PREREQ_CTE}
+SELECT DISTINCT name, prereq_name FROM edges WHERE name IS NOT NULL AND prereq_name IS NOT NULL
+""")
+def metacademy_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _metacademy(spark, sf_dir).edges.select("name", "prereq_name")
+
+
+# --------------------------------------------------------------------------
+# D5 through the library flow: saved reference responses (one per line item
+# in line order) + paper details (parts) → top-5 references per seed (order)
+# --------------------------------------------------------------------------
+@query("reference_selection", f"""
+WITH refs AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS seed, CAST(l_partkey AS VARCHAR) AS ref, l_partkey,
+         l_returnflag = 'R' AS inf, {_LINE_ORDER_SQL}
+  FROM lineitem WHERE l_partkey IS NOT NULL AND l_orderkey IN (SELECT o_orderkey FROM orders)
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY {_LINE_ORDER_SQL}) = 1
+), scored AS (
+  SELECT r.*, p.p_name AS title, p.p_retailprice AS citationCount, coalesce(p.p_retailprice, 0) AS cit
+  FROM refs r LEFT JOIN part p ON p.p_partkey = r.l_partkey
+)
+SELECT seed AS seed_paper_id, ref AS ref_paper_id, title, inf AS isInfluential, citationCount,
+       row_number() OVER (PARTITION BY seed ORDER BY inf DESC, cit DESC, {_LINE_ORDER_SQL}) AS rank
+FROM scored QUALIFY rank <= 5
+""")
+def reference_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from noema.plans.papers import select_references
+    t = Tables(spark, sf_dir)
+    seeds = t.orders.select(F.col("o_orderkey").cast("string").alias("paperId"))
+    responses = t.lineitem.select(
+        F.col("l_orderkey").cast("string").alias("seed_paper_id"),
+        F.struct(*LINE_ORDER).alias("ref_pos"),                       # response order
+        F.col("l_partkey").cast("string").alias("ref_paper_id"),
+        (F.col("l_returnflag") == "R").alias("isInfluential"),
+        F.array(F.col("l_linestatus")).alias("intents"), F.array().cast("array<string>").alias("contexts"))
+    details = t.part.select(F.col("p_partkey").cast("string").alias("paperId"), F.col("p_name").alias("title"),
+                            F.lit(None).cast("int").alias("year"), F.lit(None).cast("string").alias("url"),
+                            F.lit(None).cast("string").alias("abstract"), F.col("p_brand").alias("venue"),
+                            F.lit(None).cast("long").alias("referenceCount"),
+                            F.col("p_retailprice").alias("citationCount"),
+                            F.array("p_type").alias("fieldsOfStudy"),
+                            F.lit(None).cast("array<struct<category:string,source:string>>").alias("s2FieldsOfStudy"))
+    refs, _errors = select_references(seeds, responses, details, 5)
+    return refs.select("seed_paper_id", "ref_paper_id", "title", "isInfluential", "citationCount",
+                       F.col("rank").cast("long").alias("rank"))
