@@ -12,3 +12,18 @@ streaming  incremental (resumable) processing with Structured Streaming
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Serialise this package's functions (UDFs, generators) by value, so
+    Python workers need not be able to import ``noema`` themselves — on a
+    cluster or when the driver runs from another working directory."""
+    import sys
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # older cloudpickle: workers then import the package
+        pass
+
+
+_ship_by_value()
