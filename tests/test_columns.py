@@ -38,3 +38,30 @@ def test_describe_matches_numpy(spark):
     assert r["count"] == 501 and abs(r["mean"] - a.mean()) < 1e-9 and abs(r["std"] - a.std(ddof=1)) < 1e-9
     for q, k in [(0.25, "p25"), (0.5, "p50"), (0.75, "p75")]:
         assert abs(r[k] - np.quantile(a, q)) < 1e-9
+
+
+def test_top_cited_and_one_hop(spark):
+    from noema.operators.graph import graph_counts, one_hop
+    papers = spark.createDataFrame([("p1", "Deep nets", None, 5), ("p2", "Graph theory", "about graphs", 50),
+                                    ("p3", "Cooking", None, 99), ("p4", "Deep graphs", None, 50)],
+                                   "paperId string, title string, abstract string, citationCount long")
+    got = [r["paperId"] for r in C.top_cited(papers, "(?i)deep|graph", 2).collect()]
+    assert got == ["p2", "p4"]
+    nodes = spark.createDataFrame([("A", "Alpha"), ("B", "Beta")], "k string, name string")
+    edges = spark.createDataFrame([("A", "B", 0.5), ("A", "Z", 0.1)], "s string, d string, strength double")
+    hop = one_hop(edges, "s", "d", nodes, "k", "name", nodes, "k", "name", ["strength"]).collect()
+    assert [(r["source"], r["target"], r["strength"]) for r in hop] == [("Alpha", "Beta", 0.5)]
+    assert {r["table"]: r["n"] for r in graph_counts({"nodes": nodes, "edges": edges}).collect()} == \
+        {"nodes": 2, "edges": 2}
+
+
+def test_small_list_functions(spark):
+    from noema.functions import lists as L, text as X
+    df = spark.createDataFrame([("a, b, c", ["x", "y"], "['AI', 'ML']", "Category:Natural_language")],
+                               "s string, l array<string>, c string, t string")
+    r = df.select(L.split_alias("s").alias("a"), L.quoted_list("l", 1).alias("q"),
+                  L.merge_categories("c", F.array(F.lit("CS"), F.lit("AI"))).alias("m"),
+                  X.page_key(X.strip_category_prefix("t")).alias("k"),
+                  X.categories_text_from_string("c").alias("ct")).first()
+    assert r["a"] == ["a", "b", "c"] and r["q"] == '"x"'
+    assert r["m"] == ["AI", "CS", "ML"] and r["k"] == "natural language" and r["ct"] == "AI, ML"
