@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from noema.operators import aggregates as A, graph as G
-from noema.operators.categories import fill_from_lookup, page_hits
+from noema.operators.categories import RESPONSE, fill_from_lookup, page_hits
 from noema.operators.wikimatch import wiki_map
 from noema.plans.papers import build_paper_nodes, select_references
 from noema.schemas import PAPER
@@ -96,7 +96,7 @@ def test_category_lookup_fixture(spark):
         '"-1":{"title":"Nope","missing":""}}}}',
         '{"batch_id":0,"part":1,"query":{"pages":{"1":{"title":"Natural language processing",'
         '"categories":[{"title":"Category:Linguistics"},{"title":"Category:AI"}]}}}}']),
-        schema=__import__("noema.operators.categories", fromlist=["RESPONSE"]).RESPONSE)
+        schema=RESPONSE)
     names = spark.createDataFrame([("NLP", None, []), ("Nope", "keep", [])],
                                   "name string, link string, categories array<string>")
     hits = page_hits(responses, names)
