@@ -49,9 +49,10 @@ def ordered_distinct_union(df: DataFrame, key: str, list_col: str, order: Sequen
 def best_link(link: Column, pos: Column) -> Column:
     """A3 (aggregate): non-blank links only; containing ``#`` first, then the
     longest, then the earliest ``pos``.  A null ordering is ignored by
-    ``max_by``, so blank links never win."""
+    ``min_by``, so blank links never win."""
     nonblank = link.isNotNull() & (strip(link) != "")
-    return F.max_by(link, F.when(nonblank, F.struct(F.contains(link, F.lit("#")), F.length(link), -pos)))
+    # smallest (no '#', -length, pos) = has '#', longest, earliest; pos may be any orderable type
+    return F.min_by(link, F.when(nonblank, F.struct(~F.contains(link, F.lit("#")), -F.length(link), pos)))
 
 
 def first_non_null(value: Column, pos: Column) -> Column:

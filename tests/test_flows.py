@@ -123,3 +123,30 @@ def test_resumable_stream(spark):
     # a restart finds nothing new
     out2 = run_resumable(spark, inp, "name string", "name", process, done, ckpt, fmt="json")
     assert out2.count() == 3
+
+
+def test_paper_flow_end_to_end(spark):
+    from noema.plans.papers import paper_flow
+    from noema.schemas import PAPER
+    seeds = spark.createDataFrame(
+        [(0, "s1", "Seed paper", 2020, "u", "seed abstract", "V", 10, 100, ["CS"], None, None)],
+        "pos long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PAPER.fields))
+    responses = spark.createDataFrame(
+        [("s1", 0, "r1", True, ["background"], ["ctx"]), ("s1", 1, "r2", False, [], [])],
+        "seed_paper_id string, ref_pos int, ref_paper_id string, isInfluential boolean, "
+        "intents array<string>, contexts array<string>")
+    details = spark.createDataFrame([("r1", "Ref one", None, None, "ref abs", None, None, 5, None, None, None),
+                                     ("r2", "Ref two", None, None, None, None, None, None, None, None, None)], PAPER)
+    wiki = spark.createDataFrame([(0, "Graph theory", "['Graphs', 'Trees']")], "pos long, title string, subtitles string")
+    res = paper_flow(seeds, responses, details, wiki, fake_model)
+    assert sorted(r["ref_paper_id"] for r in res.references.collect()) == ["r1", "r2"]
+    nodes = {r["paperId"]: r for r in res.paper_nodes.collect()}
+    assert sorted(nodes) == ["r1", "r2", "s1"] and nodes["s1"]["description"] == "A paper about graphs."
+    kc = {r["name"]: r for r in res.kc_nodes.collect()}
+    assert kc["Graphs"]["link"] == "https://en.wikipedia.org/wiki/Graph_theory#Graphs"
+    assert "Sets" in kc and kc["Sets"]["link"] is None
+    edges = res.paper_kc_edges.collect()
+    assert {(r["paperId"], r["concept"], r["name"]) for r in edges} >= {("s1", "Graphs", "ABOUT"), ("s1", "Sets", "IN")}
+    assert all(r["strength"] == 1.0 for r in edges)
+    ref = {r["ref_paper_id"]: r for r in res.ref_edges.collect()}
+    assert ref["r1"]["name"] == "REF_BY" and ref["r1"]["strength"] == 1.0 and ref["r1"]["edge_ok"]
