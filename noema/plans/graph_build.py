@@ -33,6 +33,7 @@ class Graph:
     dangling: dict[str, DataFrame] = field(default_factory=dict)
     actions: DataFrame | None = None
     quarantined_papers: DataFrame | None = None
+    collapsed_papers: DataFrame | None = None
 
 
 def keyword_rows(nodes_csv: DataFrame, source_ord: int) -> DataFrame:
@@ -65,7 +66,8 @@ def prereq_edges(edge_sources: list[DataFrame], keywords: DataFrame) -> tuple[Da
 
 def upsert_papers(paper_csv: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Paper nodes keyed by title (stored as ``name``), last row wins;
-    rows with a blank title are quarantined [Q9].  Categories are written [Q2]."""
+    rows with a blank title are quarantined [Q9].  Categories are written [Q2].
+    ``collapsed_paper_ids`` reports the ids lost to a same-title node."""
     rows = paper_csv.withColumn("name", F.col("title"))
     blank = rows.where(F.col("name").isNull() | (X.strip("name") == ""))
     ok = rows.where(F.col("name").isNotNull() & (X.strip("name") != "")) \
@@ -112,7 +114,15 @@ def build_graph(keyword_sources: list[DataFrame], prereq_sources: list[DataFrame
         in_failed.withColumn("edge_type", F.lit("IN")))
     return Graph(keywords, papers, prereq, about, inn, ref_by, failed,
                  {"prereq": dangling_prereq, "about": dangling_about, "in": dangling_in, "ref_by": dangling_ref},
-                 actions, quarantined)
+                 actions, quarantined, collapsed_paper_ids(paper_csv, papers))
+
+
+def collapsed_paper_ids(paper_csv: DataFrame, papers: DataFrame) -> DataFrame:
+    """Q9: paper ids whose node kept another paper's id (same title); edges to
+    them are dropped as dangling."""
+    ids = paper_csv.where(F.col("paperId").isNotNull()).select("paperId", F.col("title").alias("name")).distinct()
+    kept = papers.select("name", F.col("paperId").alias("kept_paperId"))
+    return ids.join(kept, "name").where(F.col("paperId") != F.col("kept_paperId"))
 
 
 def graph_stats(g: Graph) -> DataFrame:

@@ -80,8 +80,8 @@ def test_graph_build(spark):
     kc = spark.createDataFrame([(0, "ml", "L1", "['machine-learning', 'ML']", "['AI', 'CS']"),
                                 (1, "Deep Net", "L2", "['DNN']", "[]")],
                                "pos long, name string, link string, alias string, categories string")
-    papers = spark.createDataFrame([(0, "p1", "Paper One", None), (1, "p2", "Paper Two", "['CS']"),
-                                    (2, "p3", "  ", None)],
+    papers = spark.createDataFrame([(0, "p0", "Paper One", None), (1, "p2", "Paper Two", "['CS']"),
+                                    (2, "p3", "  ", None), (3, "p1", "Paper One", None)],
                                    "pos long, paperId string, title string, categories string")
     pkc = spark.createDataFrame([(0, "p1", " ML ", "ABOUT", 0.5, None), (1, "p1", "dnn", "IN", 0.4, "x"),
                                  (2, "p2", "unknown", "ABOUT", 0.1, None)],
@@ -100,6 +100,7 @@ def test_graph_build(spark):
     assert [(r["keyword_name"], r["paperId"]) for r in g.in_edges.collect()] == [("Deep Net", "p1")]
     assert [(r["ref_paper_id"], r["seed_paper_id"]) for r in g.ref_by.collect()] == [("p2", "p1")]
     assert g.quarantined_papers.count() == 1
+    assert [(r["paperId"], r["kept_paperId"]) for r in g.collapsed_papers.collect()] == [("p0", "p1")]
     s = {r["table"]: r["n"] for r in graph_stats(g).collect()}
     assert (s["keywords"], s["papers"], s["failed_mappings"], s["created"], s["merged"]) == (3, 2, 1, 1, 1)
 
