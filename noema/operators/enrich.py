@@ -265,7 +265,7 @@ def article_prerequisites(articles: DataFrame, generator: Generator | None = Non
     parsed = p.join(gen, "prompt_key", "left").withColumn("p", parse_fenced_output(F.col("raw")))   # F24
     results = parsed.select("pos", F.col("title").alias("original_title"), F.col("p.json").alias("result"),
                             F.col("raw").alias("raw_output"),
-                            (F.col("p.is_object") & F.col("p.prerequisites").isNotNull()).alias("ok"))
+                            F.coalesce(F.col("p.truthy"), F.lit(False)).alias("ok"))   # parsed and non-empty
     flat = parsed.where(F.col("p.prerequisites").isNotNull()).select(
         "pos", "title", F.posexplode("p.prerequisites").alias("_i", "x")).select(
         "pos", "_i", "title", F.col("x.rank").alias("rank"), F.col("x.topic").alias("prerequisite_topic"),
