@@ -24,11 +24,14 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+STRICT = bool(int(__import__("os").environ.get("ORACLE_STRICT", "0")))
+
+
 def norm_value(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return v if STRICT else round(v, 6)
     if isinstance(v, Decimal):
         return round(float(v), 6)
     if isinstance(v, (list, tuple)):
