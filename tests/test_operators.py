@@ -103,3 +103,12 @@ def test_category_lookup_fixture(spark):
     out = {r["name"]: (r["link"], r["categories"]) for r in fill_from_lookup(names, hits).collect()}
     assert out["NLP"] == ("https://en.wikipedia.org/wiki/Natural_language_processing", ["AI", "Linguistics"])
     assert out["Nope"] == ("keep", [])
+
+
+def test_upsert_onto_existing_snapshot(spark):
+    current = spark.createDataFrame([("K", "old", ["a"]), ("L", "keep", ["b"])],
+                                    "name string, link string, alias array<string>")
+    incoming = spark.createDataFrame([("K", None, ["z"], 0), ("M", "new", [], 1)],
+                                     "name string, link string, alias array<string>, pos long")
+    out = {r["name"]: (r["link"], r["alias"]) for r in G.upsert_nodes(current, incoming, "name", ["pos"]).collect()}
+    assert out == {"K": (None, ["z"]), "L": ("keep", ["b"]), "M": ("new", [])}
