@@ -30,6 +30,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
+        # remove reliable-checkpoint files once their DataFrames are garbage collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
