@@ -67,6 +67,10 @@ def test_articles(spark):
     s = stats.first()
     assert (s["n_total"], s["n_ok"], s["mean_per_ok"]) == (1, 1, 2.0)
     assert top.count() == 2
+    from noema.plans.articles import write_article_outputs
+    out = tempfile.mkdtemp(prefix="noema-article-out-")
+    write_article_outputs(results, flat, out)
+    assert spark.read.json(os.path.join(out, "results")).count() == 1
 
 
 def test_graph_build(spark):
@@ -151,3 +155,8 @@ def test_paper_flow_end_to_end(spark):
     assert all(r["strength"] == 1.0 for r in edges)
     ref = {r["ref_paper_id"]: r for r in res.ref_edges.collect()}
     assert ref["r1"]["name"] == "REF_BY" and ref["r1"]["strength"] == 1.0 and ref["r1"]["edge_ok"]
+    from noema.plans.papers import write_paper_outputs
+    out = tempfile.mkdtemp(prefix="noema-paper-out-")
+    write_paper_outputs(res, out)
+    back = spark.read.option("header", True).option("escape", '"').csv(os.path.join(out, "nodes_kc"))
+    assert back.count() == res.kc_nodes.count()
