@@ -43,3 +43,25 @@ def test_json_readers_and_writers(spark):
     assert spark.read.json(os.path.join(out, "json")).count() == 2
     S.write_graph_snapshot({"papers": sp.select("paperId")}, os.path.join(out, "graph"))
     assert S.read_graph_snapshot(spark, os.path.join(out, "graph"), ["papers"])["papers"].count() == 2
+
+
+def test_input_order_across_files(spark):
+    d = tempfile.mkdtemp(prefix="noema-order-")
+    for name, rows in [("b.csv", ["3,c", "4,d"]), ("a.csv", ["1,a", "2,b"])]:
+        with open(os.path.join(d, name), "w") as f:
+            f.write("id,v\n" + "\n".join(rows) + "\n")
+    df = S.read_csv(spark, d, "id long, v string")
+    assert [r["v"] for r in df.orderBy("pos").collect()] == ["a", "b", "c", "d"]
+
+
+def test_bounded_broadcast_and_double_lookup(spark):
+    from noema.operators.joins import bounded_broadcast, lookup_twice
+    small = spark.range(5)
+    assert bounded_broadcast(small, 10) is not small          # hinted copy
+    big = spark.range(50)
+    assert bounded_broadcast(big, 10) is big
+    dim = spark.createDataFrame([(1, "x", 0), (1, "y", 1), (2, "z", 0)], "id long, name string, pos long")
+    edges = spark.createDataFrame([(1, 2), (9, 1)], "src long, dst long")
+    out = lookup_twice(edges, dim, "id", "name", [("src", "src_name"), ("dst", "dst_name")], dim_order="pos")
+    got = sorted((r["src"], r["src_name"], r["dst_name"]) for r in out.collect())
+    assert got == [(1, "y", "z"), (9, None, "y")]       # duplicate id: the last row wins
