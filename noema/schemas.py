@@ -1,4 +1,4 @@
-"""Explicit schemas of the pipeline inputs (no schema inference)."""
+"""Explicit schemas of the flow inputs (no schema inference)."""
 
 from __future__ import annotations
 
