@@ -24,8 +24,9 @@ prefix minimum of labels over ``pos``; the prefix is split into fixed-size
 ``pos`` buckets (bucket minima, a prefix over buckets, a running minimum inside
 a bucket), so a term shared by a third of all rows is spread over many tasks.
 No pairs are emitted and no group is collected into one task.  Labels are
-checkpointed to the shared checkpoint folder every round, and rounds are
-semi-naive: only rows whose label dropped act as sources in the next round.
+checkpointed to the shared checkpoint folder (the drops every round, the
+label table every few rounds, cached in between), and rounds are semi-naive:
+only rows whose label dropped act as sources in the next round.
 
 The final node properties are the fold results in closed form: an appended
 alias survives iff it is not already on the node and no earlier merged row of
@@ -42,6 +43,7 @@ from noema.session import checkpoint_dir
 
 CREATED = 1 << 62          # labels ≥ CREATED are "created by row label - CREATED"
 DEFAULT_BUCKET = 1 << 16   # pos values per prefix bucket
+LABEL_CHECKPOINT_EVERY = 3  # rounds between reliable checkpoints of the label table
 STR_ARRAY = "array<string>"
 
 
@@ -111,6 +113,7 @@ def resolve_labels(existing: DataFrame, incoming: DataFrame, bucket: int = DEFAU
     # semi-naive rounds: only rows whose label dropped in the previous round
     # can lower anyone else's label, so only they act as sources
     delta = labels
+    cached: list[DataFrame] = []
     for round_no in range(1, max_rounds + 1):
         moved = src.join(delta, "pos")          # source entries of rows whose label dropped
         if round_no == 1:                        # every row is new: all targets are in play
@@ -118,15 +121,28 @@ def resolve_labels(existing: DataFrame, incoming: DataFrame, bucket: int = DEFAU
         else:
             cand = _propagate_once(moved, tgt.join(moved.select("term").distinct(), "term", "left_semi"),
                                    bucket)
-        # both tables are cut from their lineage every round (reliable
-        # checkpoints in the shared folder), so plans stay flat and a lost
-        # executor only costs the current round
         improved = cand.join(labels, "pos").where(F.col("cand") < F.col("label")) \
                        .select("pos", F.col("cand").alias("label")).checkpoint(eager=True)
         if improved.limit(1).count() == 0:
-            return labels
-        labels = labels.join(improved.withColumnRenamed("label", "_new"), "pos", "left") \
-                       .select("pos", F.coalesce("_new", "label").alias("label")).checkpoint(eager=True)
+            out = labels.checkpoint(eager=True)
+            for c in cached:
+                c.unpersist()
+            return out
+        nxt = labels.join(improved.withColumnRenamed("label", "_new"), "pos", "left") \
+                    .select("pos", F.coalesce("_new", "label").alias("label"))
+        # the drops are checkpointed every round (leaves of the next plan); the
+        # labels are cached and written to the shared folder every few rounds,
+        # so plans grow by one join per round and a lost executor recomputes
+        # at most those few joins
+        if round_no % LABEL_CHECKPOINT_EVERY == 0:
+            nxt = nxt.checkpoint(eager=True)
+            for c in cached:                  # the checkpoint no longer needs them
+                c.unpersist()
+            cached = []
+        else:
+            nxt = nxt.persist()               # filled by the next round's first job
+            cached.append(nxt)
+        labels = nxt
         delta = improved
     raise RuntimeError(f"entity resolution did not converge in {max_rounds} rounds")
 
