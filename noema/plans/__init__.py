@@ -1,0 +1 @@
+"""Composite flows built from the operators, and the registered query catalog."""

@@ -1,0 +1 @@
+"""Readers and writers: driver parquet tables, CSV / JSON inputs, CSV / JSON / parquet / graph-snapshot outputs."""

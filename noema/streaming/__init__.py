@@ -1,0 +1 @@
+"""Incremental processing with Structured Streaming (resumable runs)."""
