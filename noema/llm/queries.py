@@ -3,15 +3,17 @@ SQL can express."""
 
 from __future__ import annotations
 
-from noema.llm import decontaminate, license_scan, suffix_dedup
+from noema.llm import decontaminate, license_scan, mixing, suffix_dedup
 
 QUERIES = {
+    "op4_mix_sources": mixing.op4,
     "op8_decontaminate": decontaminate.op8,
     "op9_license_scan": license_scan.op9,
     "op10_suffix_dedup": suffix_dedup.op10,
 }
 
 ORACLE: dict[str, str] = {
+    "op4_mix_sources": mixing.OP4_SQL,
     "op8_decontaminate": decontaminate.OP8_SQL,
     "op9_license_scan": license_scan.OP9_SQL,
 }
