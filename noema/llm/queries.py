@@ -3,10 +3,11 @@ SQL can express."""
 
 from __future__ import annotations
 
-from noema.llm import decontaminate, license_scan, mixing, suffix_dedup
+from noema.llm import decontaminate, jaccard_join, license_scan, mixing, suffix_dedup
 
 QUERIES = {
     "op4_mix_sources": mixing.op4,
+    "op5_jaccard_join": jaccard_join.op5,
     "op8_decontaminate": decontaminate.op8,
     "op9_license_scan": license_scan.op9,
     "op10_suffix_dedup": suffix_dedup.op10,
@@ -14,6 +15,7 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op4_mix_sources": mixing.OP4_SQL,
+    "op5_jaccard_join": jaccard_join.OP5_SQL,
     "op8_decontaminate": decontaminate.OP8_SQL,
     "op9_license_scan": license_scan.OP9_SQL,
 }

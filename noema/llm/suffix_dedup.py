@@ -43,8 +43,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from noema.llm import textcore as T
-from noema.llm.store import columns, table
-from noema.operators.rows import with_global_index
+from noema.llm.store import columns, table, with_row_order
 
 BUCKET_ROWS = 2000
 _BATCH_BYTES = 4 << 20
@@ -306,26 +305,6 @@ def _apply(length: int):
     return run
 
 
-def with_row_order(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """``docs`` (id, text) with ``rid``, a bigint that orders documents.
-
-    Distinct non-null bigint ids are their own order.  Otherwise each distinct
-    (id, text hash) gets its index in the order of id (null last) and hash; the
-    second result then maps rid to id.
-    """
-    kind = dict(docs.dtypes)["id"]
-    if kind in ("bigint", "int", "smallint", "tinyint"):
-        odd = docs.groupBy("id").count().where((F.col("count") > 1) | F.col("id").isNull())
-        if odd.limit(1).count() == 0:
-            return docs.select(F.col("id").cast("bigint").alias("rid"), "text"), None
-    keyed = docs.withColumn("key", F.xxhash64("text")).withColumn("void", F.col("id").isNull())
-    index = table(with_global_index(keyed.select("void", "id", "key").distinct(), ["void", "id", "key"], "rid"),
-                  "row-order")
-    on = keyed["id"].eqNullSafe(index["id"]) & (keyed["key"] == index["key"])
-    rows = keyed.join(index, on).groupBy(index["rid"]).agg(F.any_value(keyed["text"]).alias("text"))
-    return table(rows, "ordered-docs"), index.select("rid", "id", "key")
-
-
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      length: int = 100, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One row per row of ``docs``: id (under its own name), n_bytes, n_removed,
