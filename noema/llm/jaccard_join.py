@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from noema.llm import textcore as T
 from noema.llm.components import components
+from noema.llm.pairs import LINKS, block_pairs, by_task, links_of
 from noema.llm.store import columns, table, with_row_order
 
 SHINGLE, THRESHOLD, TREES, DEPTH, RECALL = 5, 0.8, 24, 10, 0.999
@@ -116,19 +117,6 @@ def _common(doc: np.ndarray, ids: np.ndarray, n: int, left: np.ndarray, right: n
     return out
 
 
-def _forest(linked: np.ndarray, left: np.ndarray, right: np.ndarray, rid: np.ndarray):
-    """(a, b) edges that join what the linked pairs join: each to its group's smallest."""
-    label, top = rid.copy(), np.iinfo(np.int64).max
-    while True:
-        before = label.copy()
-        np.minimum.at(label, left, np.where(linked, label[right][None, :], top).min(axis=1))
-        np.minimum.at(label, right, np.where(linked, label[left][:, None], top).min(axis=0))
-        if (label == before).all():
-            break
-    used = np.flatnonzero(label != rid)
-    return rid[used], label[used]
-
-
 def _verify(k: int, threshold: float):
     """Rows sorted by task (grp, i, j); out: (rid, links, root)."""
     def work(t: pa.Table):
@@ -146,40 +134,8 @@ def _verify(k: int, threshold: float):
         linked = common / (size[left][:, None] + size[right][None, :] - common) >= threshold
         if i == j:
             np.fill_diagonal(linked, False)
-        links = np.zeros(n, np.int64)
-        links[left] += linked @ copies[right]
-        if i != j:
-            links[right] += copies[left] @ linked
-        a, b = _forest(linked, left, right, rid)
-        root = dict(zip(a.tolist(), b.tolist()))
-        some = np.flatnonzero(links)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(rid[some]), pa.array(links[some]), pa.array([root.get(r, r) for r in rid[some].tolist()], pa.int64())],
-            ["rid", "links", "root"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        last = None
-        for b in batches:
-            keys = [b.column(c).to_numpy() for c in ("grp", "i", "j")]
-            edge = np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in keys])) + 1
-            cuts = [0, *edge.tolist(), b.num_rows]
-            for x, y in zip(cuts[:-1], cuts[1:]):
-                if x == y:
-                    continue
-                key = tuple(c[x] for c in keys)
-                if held and key != last:
-                    out = work(pa.Table.from_batches(held))
-                    if out is not None and out.num_rows:
-                        yield out
-                    held = []
-                held.append(b.slice(x, y - x))
-                last = key
-        if held:
-            out = work(pa.Table.from_batches(held))
-            if out is not None and out.num_rows:
-                yield out
-    return run
+        return links_of(linked, left, right, i == j, rid, copies)
+    return by_task(work)
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, trees: int = TREES,
@@ -218,15 +174,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, shingle: int
         "rid", F.col("component").alias("grp"), "copies", "bytes"), "members")
     parts = member.groupBy("grp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)),
                                                  F.ceil(F.sum("bytes") / F.lit(block_bytes))).cast("int").alias("parts"))
-    dealt = member.join(parts, "grp").withColumn("block", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int"))
     packed = rows.mapInArrow(_pack, "rid bigint, packed binary")
-    loaded = dealt.join(packed, "rid")
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    tasks = loaded.withColumn("other", other).select(
-        "grp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "block", "rid", "copies", "packed")
+    loaded = member.join(parts, "grp").join(packed, "rid")
+    tasks = block_pairs(loaded, F.col("parts"), F.col("rid"), ["rid", "copies", "packed"])
     checked = table(tasks.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j").mapInArrow(
-        _verify(shingle, threshold), "rid bigint, links bigint, root bigint"), "links")
+        _verify(shingle, threshold), LINKS), "links")
     links = checked.groupBy("rid").agg(F.sum("links").alias("links"))
     joined = components(checked.select(F.col("rid").alias("a"), F.col("root").alias("b")))
 

@@ -3,9 +3,10 @@ SQL can express."""
 
 from __future__ import annotations
 
-from noema.llm import decontaminate, jaccard_join, license_scan, mixing, suffix_dedup
+from noema.llm import decontaminate, embedding_dedup, jaccard_join, license_scan, mixing, suffix_dedup
 
 QUERIES = {
+    "op3_embedding_dedup": embedding_dedup.op3,
     "op4_mix_sources": mixing.op4,
     "op5_jaccard_join": jaccard_join.op5,
     "op8_decontaminate": decontaminate.op8,
@@ -14,6 +15,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_embedding_dedup": embedding_dedup.OP3_SQL,
     "op4_mix_sources": mixing.OP4_SQL,
     "op5_jaccard_join": jaccard_join.OP5_SQL,
     "op8_decontaminate": decontaminate.OP8_SQL,

@@ -38,21 +38,21 @@ def columns(df: DataFrame, **names: str) -> DataFrame:
     return df.select(*[F.col(f"`{v}`").alias(k) for k, v in names.items()])
 
 
-def with_row_order(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """``docs`` (id, text) with ``rid``, a bigint that orders documents.
+def with_row_order(docs: DataFrame, payload: str = "text") -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` (id, payload) with ``rid``, a bigint that orders documents.
 
     Distinct non-null bigint ids are their own order.  Otherwise each distinct
-    (id, text hash) gets its index in the order of id (null last) and hash; the
-    second result then maps rid to id.
+    (id, payload hash) gets its index in the order of id (null last) and hash; the
+    second result then maps rid to (id, hash of the payload).
     """
     kind = dict(docs.dtypes)["id"]
     if kind in ("bigint", "int", "smallint", "tinyint"):
         odd = docs.groupBy("id").count().where((F.col("count") > 1) | F.col("id").isNull())
         if odd.limit(1).count() == 0:
-            return docs.select(F.col("id").cast("bigint").alias("rid"), "text"), None
-    keyed = docs.withColumn("key", F.xxhash64("text")).withColumn("void", F.col("id").isNull())
+            return docs.select(F.col("id").cast("bigint").alias("rid"), payload), None
+    keyed = docs.withColumn("key", F.xxhash64(payload)).withColumn("void", F.col("id").isNull())
     index = table(with_global_index(keyed.select("void", "id", "key").distinct(), ["void", "id", "key"], "rid"),
                   "row-order")
     on = keyed["id"].eqNullSafe(index["id"]) & (keyed["key"] == index["key"])
-    rows = keyed.join(index, on).groupBy(index["rid"]).agg(F.any_value(keyed["text"]).alias("text"))
+    rows = keyed.join(index, on).groupBy(index["rid"]).agg(F.any_value(keyed[payload]).alias(payload))
     return table(rows, "ordered-docs"), index.select("rid", "id", "key")
