@@ -3,9 +3,12 @@ SQL can express."""
 
 from __future__ import annotations
 
-from noema.llm import decontaminate, embedding_dedup, jaccard_join, license_scan, mixing, suffix_dedup
+from noema.llm import (
+    decontaminate, embedding_dedup, jaccard_join, language_id, license_scan, mixing, suffix_dedup, toxicity)
 
 QUERIES = {
+    "op1_language_id": language_id.op1,
+    "op2_toxicity": toxicity.op2,
     "op3_embedding_dedup": embedding_dedup.op3,
     "op4_mix_sources": mixing.op4,
     "op5_jaccard_join": jaccard_join.op5,
