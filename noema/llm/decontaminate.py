@@ -23,7 +23,7 @@ What keeps it bounded:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -128,6 +128,7 @@ _PROBE_SQL = "item bigint, j1 bigint, t1 bigint, j2 bigint, t2 bigint, lo bigint
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
+        carried = [c for c in ("body", "extra") if c in b.schema.names]
         for lo, hi, data, offsets in T.runs(b.column("text")):
             w = T.words(data, offsets)
             n_words, n_hit, names, spans = w.counts(), [], [], []
@@ -162,13 +163,13 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [b.column("id").slice(lo, hi - lo), pa.array(n_words.astype(np.int64)),
                  pa.array(n_hit, pa.int64()), pa.array(names, pa.list_(pa.string())),
                  pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))),
-                 b.column("near").slice(lo, hi - lo)],
-                ["id", "n_words", "n_hit", "items", "spans", "near_items"])
+                 b.column("near").slice(lo, hi - lo), *(b.column(c).slice(lo, hi - lo) for c in carried)],
+                ["id", "n_words", "n_hit", "items", "spans", "near_items", *carried])
 
 
 def find_matches(docs: DataFrame, items: DataFrame, window: int = 10, near: int = 3,
                  id_col: str = "doc_id", text_col: str = "text",
-                 item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+                 item_col: str = "item_id", item_text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
     """Benchmark passages in documents: per row of ``docs`` its id (as ``id_col``),
     n_words, n_hit (words inside an occurring window), ``items`` (names of items
     with an occurring window, as sorted strings), ``spans`` (hit words, from 0) and
@@ -179,10 +180,13 @@ def find_matches(docs: DataFrame, items: DataFrame, window: int = 10, near: int
     but not none, is one window.  Null texts have no words.  Items without an id
     are left out, as they can't be named; items that repeat an id are one item.
     Repeated documents get equal results.  Empty tables give empty results, or
-    results without hits.  Other columns are ignored.
+    results without hits.  Other columns are ignored, but for those named in ``carry``,
+    which come back as a struct ``extra`` beside the text, ``body``.
     """
     id_type = dict(docs.dtypes)[id_col]
-    source = columns(docs, id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
+    source = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),
+                         F.struct(*[F.col(f"`{c}`") for c in carry]).alias("extra")) if carry \
+        else columns(docs, id=id_col, text=text_col)
     source = source.withColumn("key", F.xxhash64("text"))
     named = columns(items, name=item_col, text=item_text_col).where("name is not null and text is not null")
     named = named.select(F.col("name").cast("string").alias("name"), "text").distinct()
@@ -219,11 +223,15 @@ def find_matches(docs: DataFrame, items: DataFrame, window: int = 10, near: int
         F.collect_list(F.when(F.col("base").isNotNull(),
                               F.struct("base", "lo", "size", "phrase", "name"))).alias("found"),
         F.sort_array(F.collect_set("name")).alias("near"))
-    out = source.join(found, "key", "left").select("id", "text", "found", "near").mapInArrow(
-        _verify, f"id {id_type}, n_words bigint, n_hit bigint, items array<string>, "
-                 "spans array<struct<first:bigint,last:bigint>>, near_items array<string>")
-    return out.select(F.col("id").alias(id_col), "n_words", "n_hit", "items", "spans",
-                      F.coalesce("near_items", F.array().cast("array<string>")).alias("near_items"))
+    met = source.join(found, "key", "left")
+    schema = (f"id {id_type}, n_words bigint, n_hit bigint, items array<string>, "
+              "spans array<struct<first:bigint,last:bigint>>, near_items array<string>")
+    if carry:
+        met = met.withColumn("body", F.col("text"))
+        schema += f", body string, extra {source.schema['extra'].dataType.simpleString()}"
+    out = met.drop("key").mapInArrow(_verify, schema)
+    return out.withColumn("near_items", F.coalesce("near_items", F.array().cast("array<string>"))) \
+        .withColumnRenamed("id", id_col)
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

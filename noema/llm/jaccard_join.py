@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from noema.llm import textcore as T
 from noema.llm.components import components
@@ -59,7 +59,7 @@ def _sets(w: T.Words, docs: int, k: int):
 
 
 def _signatures(k: int, trees: int, depth: int):
-    """(rid, size, set1, set2, nodes): two names of the set, and its trie nodes."""
+    """(rid, text_key, size, set1, set2, nodes, bytes): two names of the set, and its trie nodes."""
     factor = T.mix(np.arange(1, trees * depth + 1, dtype=np.uint64)) | np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,10 +81,11 @@ def _signatures(k: int, trees: int, depth: int):
                         nodes[some, t] = node
                 cut = pa.array(np.concatenate([[0], np.cumsum(np.where(size > 0, trees, 0))]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("rid").slice(lo, n), pa.array(size.astype(np.int64)), T.as_long(set1),
+                    [b.column("rid").slice(lo, n), b.column("text_key").slice(lo, n),
+                     pa.array(size.astype(np.int64)), T.as_long(set1),
                      T.as_long(set2), pa.ListArray.from_arrays(cut, T.as_long(nodes[some].ravel())),
                      pa.array(np.diff(offsets))],
-                    ["rid", "size", "set1", "set2", "nodes", "bytes"])
+                    ["rid", "text_key", "size", "set1", "set2", "nodes", "bytes"])
     return run
 
 
@@ -144,7 +145,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, shingle: int
     """One row per row of ``docs``: its id; class_id (smallest id with the same set of
     shingles); n_links (other documents, copies included, with Jaccard similarity of
     at least ``threshold``); component_id (smallest id reachable by links, itself
-    included); kept (id = component_id).
+    included); kept (id = component_id; of rows that share an id, the first by
+    text_key); text_key (xxhash64 of the text, null as empty).
 
     Words are lower-cased (A-Z); a text of 1 to shingle - 1 words has one shingle:
     all its words.  Null texts and texts without words have none and link with
@@ -156,8 +158,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, shingle: int
     source = columns(docs, id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
     rows, index = with_row_order(source)
     d = matched_depth(threshold, trees, depth, recall)
-    sign = table(rows.mapInArrow(_signatures(shingle, trees, d),
-                                 "rid bigint, size bigint, set1 bigint, set2 bigint, nodes array<bigint>, bytes bigint"),
+    keyed = rows.withColumn("text_key", F.xxhash64("text"))
+    sign = table(keyed.mapInArrow(_signatures(shingle, trees, d),
+                                 "rid bigint, text_key bigint, size bigint, set1 bigint, set2 bigint, nodes array<bigint>, bytes bigint"),
                  "signatures")
     classes = table(sign.where("size > 0").groupBy("set1", "set2").agg(
         F.min("rid").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
@@ -189,23 +192,39 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, shingle: int
     # documents without shingles have no class row
     c = per_class.select(F.col("set1").alias("c1"), F.col("set2").alias("c2"), "rep", "n_links", "component")
     out = sign.join(c, (F.col("size") > 0) & (F.col("set1") == F.col("c1")) & (F.col("set2") == F.col("c2")), "left").select(
-        "rid", F.coalesce("rep", "rid").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        "rid", "text_key", F.coalesce("rep", "rid").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
         F.coalesce("component", "rid").alias("component_id"), (F.coalesce("component", "rid") == F.col("rid")).alias("kept"))
     kind = dict(source.dtypes)["id"]
     if index is None:
         return out.select(F.col("rid").cast(kind).alias(id_col), F.col("class_id").cast(kind).alias("class_id"),
-                          "n_links", F.col("component_id").cast(kind).alias("component_id"), "kept")
+                          "n_links", F.col("component_id").cast(kind).alias("component_id"), "kept", "text_key")
     name = lambda c: index.select(F.col("rid").alias(f"{c}_r"), F.col("id").alias(f"{c}_v"))
-    out = index.join(out, "rid").join(name("c"), F.col("class_id") == F.col("c_r")) \
+    out = index.join(out.drop("text_key"), "rid").join(name("c"), F.col("class_id") == F.col("c_r")) \
         .join(name("k"), F.col("component_id") == F.col("k_r"))
     mine = source.select(F.col("id").alias("row_id"), F.xxhash64("text").alias("row_key"))
     return mine.join(out, mine["row_id"].eqNullSafe(out["id"]) & (mine["row_key"] == out["key"])).select(
-        F.col("row_id").alias(id_col), F.col("c_v").alias("class_id"), "n_links", F.col("k_v").alias("component_id"), "kept")
+        F.col("row_id").alias(id_col), F.col("c_v").alias("class_id"), "n_links", F.col("k_v").alias("component_id"), "kept",
+        F.col("row_key").alias("text_key"))
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
     """Whole ``documents``: five words, similarity 0.8 or more."""
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("text_key")
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``docs``, whole, that stand for their group of near duplicates; of rows
+    equal in id and text one stays.  Other arguments as for ``near_duplicates``."""
+    kept = near_duplicates(docs, id_col=id_col, text_col=text_col, **how).where("kept")
+    text_key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    # one non-null key of the row to join and number by, so the texts are dealt out once
+    kept = kept.select(F.col(id_col).alias("_id"), F.col("text_key").alias("_key"),
+                       F.xxhash64(id_col, "text_key").alias("_row")).distinct()
+    rows = docs.withColumn("_text_key", text_key).withColumn("_row_key", F.xxhash64(F.col(id_col), F.col("_text_key")))
+    met = rows.join(kept, (F.col("_row_key") == F.col("_row")) & (F.col("_text_key") == F.col("_key"))
+                    & F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
+    one = Window.partitionBy("_row_key", id_col, "_text_key").orderBy(F.lit(0))
+    return met.withColumn("_n", F.row_number().over(one)).where("_n = 1").select(*docs.columns)
 
 
 #: The exact join in DuckDB SQL.

@@ -24,7 +24,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from noema.llm import textcore as T
 from noema.llm.store import columns, held_out, table
@@ -175,27 +175,29 @@ class ToxicityModel:
     def __init__(self, names: np.ndarray, weights: np.ndarray, bias: float):
         self.names, self.weights, self.bias = names, weights, bias
 
-    def score(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-              threshold: float = THRESHOLD) -> DataFrame:
-        """One row per row of ``docs``: id, score (0 to 1) and predicted (1 from
-        ``threshold`` on).  Null and empty texts get the score of the bias alone;
-        nulls, repeats and order of ids do not matter; an empty table gives an
-        empty result; other columns are ignored."""
+    def column(self, text: Column) -> Column:
+        """Score (0 to 1) of a text column; null and empty texts get that of the bias alone."""
         names, weights, bias = self.names, self.weights, self.bias
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                for lo, hi, data, offsets in T.runs(b.column("text")):
-                    doc, at = _chosen(names, data, offsets)
-                    z = np.bincount(doc, weights[at], hi - lo) + bias if len(at) else np.full(hi - lo, bias)
-                    yield pa.RecordBatch.from_arrays(
-                        [b.column("id").slice(lo, hi - lo), pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))))],
-                        ["id", "score"])
+        @F.arrow_udf("double")
+        def score(texts: pa.Array) -> pa.Array:
+            out = [np.zeros(0)]
+            for lo, hi, data, offsets in T.runs(texts):
+                doc, at = _chosen(names, data, offsets)
+                z = np.bincount(doc, weights[at], hi - lo) + bias if len(at) else np.full(hi - lo, bias)
+                out.append(1 / (1 + np.exp(-np.clip(z, -500, 500))))
+            return pa.array(np.concatenate(out))
+
+        return score(text)
 
+    def score(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              threshold: float = THRESHOLD) -> DataFrame:
+        """One row per row of ``docs``: id, score and predicted (1 from ``threshold`` on).
+        Nulls, repeats and order of ids do not matter; an empty table gives an
+        empty result; other columns are ignored."""
         source = columns(docs, id=id_col, text=text_col)
-        out = source.mapInArrow(run, f"id {dict(source.dtypes)['id']}, score double")
-        return out.select(F.col("id").alias(id_col), "score",
-                          F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
+        out = source.select(F.col("id").alias(id_col), self.column(F.col("text")).alias("score"))
+        return out.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
 
 
 def train(docs: DataFrame, labels: DataFrame, groups: Sequence[Sequence[str]] = IDENTITY,
