@@ -125,10 +125,17 @@ def categories_of(fields, s2_fields) -> Column:
     return F.array_distinct(F.concat(a, b))
 
 
-def clean_concepts(c, max_len: int = 80) -> Column:
-    """strip, drop empty and over-long (> max_len code points), ordered distinct."""
+def clean_concepts(c, max_len: int | None = None) -> Column:
+    """strip, drop empty, ordered distinct; with ``max_len`` also without those of more
+    code points, which ``long_concepts`` returns."""
     xs = F.transform(F.coalesce(col_of(c), empty_str_array()), strip)
-    return F.array_distinct(F.filter(xs, lambda s: s.isNotNull() & (s != "") & (F.length(s) <= max_len)))
+    xs = F.array_distinct(F.filter(xs, lambda s: s.isNotNull() & (s != "")))
+    return xs if max_len is None else F.filter(xs, lambda s: F.length(s) <= max_len)
+
+
+def long_concepts(c, max_len: int) -> Column:
+    """The concepts that ``clean_concepts`` leaves out for their length."""
+    return F.filter(clean_concepts(c), lambda s: F.length(s) > max_len)
 
 
 def clean_aliases(c, name) -> Column:
@@ -163,9 +170,10 @@ def fill_if_empty(current, new) -> Column:
     return F.when(cur.isNull() | (cur == ""), col_of(new)).otherwise(cur)
 
 
-def quoted_list(c, n: int = 200) -> Column:
-    """``"a", "b"`` rendering of the first ``n`` elements."""
-    return F.array_join(F.transform(F.slice(col_of(c), 1, n),
+def quoted_list(c, n: int | None = None) -> Column:
+    """``"a", "b"`` rendering of all elements, or of the first ``n``."""
+    xs = col_of(c) if n is None else F.slice(col_of(c), 1, n)
+    return F.array_join(F.transform(xs,
                                     lambda x: F.concat(F.lit('"'), x, F.lit('"'))), ", ")
 
 

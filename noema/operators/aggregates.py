@@ -9,7 +9,6 @@ already-deduplicated values), so a hot group never ships its raw rows.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -17,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from noema.functions._col import col_of
 from noema.functions.text import strip
 from noema.operators.rows import with_global_index
+from noema.session import checkpoint_dir
 
 
 def grouped_sorted_distinct(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
@@ -87,30 +87,43 @@ def top_values(df: DataFrame, c: str, n: int = 10) -> DataFrame:
 
 
 def describe(df: DataFrame, c: str, quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """Count, mean, sample std, min, exact quantiles (linear interpolation), max.
+    """Count, mean, sample std, min, exact quantiles (linear interpolation), max of
+    the values that are neither null nor NaN.
 
-    Exact quantiles without gathering the column in one task: the non-null
-    values get a distributed dense row index under a range-partitioned sort
-    (materialised once); with the row count known, one aggregation picks the
-    values at the two ranks around each quantile and interpolates.
+    Values are counted first (with map-side combine), so a value that a third of the rows
+    share is one row; the distinct values are range-sorted, and a value's first rank is
+    the sum of the counts before it: inside its partition by a window, plus the sums
+    of the earlier partitions (a row per partition).
     """
-    vals = df.select(F.col(c).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    ranked = with_global_index(vals, ["_x"], "_r")
-    n = ranked.count()
-    aggs = [F.count(F.lit(1)).alias("count"), F.avg("_x").alias("mean"), F.stddev_samp("_x").alias("std"),
-            F.min("_x").alias("min"), F.max("_x").alias("max")]
+    x = F.col(c).cast("double")
+    vals = df.select(x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    counts = vals.groupBy("_x").agg(F.count(F.lit(1)).alias("_n"))
+    parted = counts.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "_x") \
+                   .withColumn("_p", F.spark_partition_id()).checkpoint(eager=True)
+    sums = parted.groupBy("_p").agg(F.sum("_n").alias("_s"), F.sum(F.col("_n") * F.col("_x")).alias("_sx"))
+    everything = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_p", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"),
+                          F.sum("_s").over(everything).alias("_total"),
+                          (F.sum("_sx").over(everything) / F.sum("_s").over(everything)).alias("_mean"))
+    inside = Window.partitionBy("_p").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = parted.withColumn("_lo", F.coalesce(F.sum("_n").over(inside), F.lit(0))) \
+                   .join(F.broadcast(offsets), "_p").withColumn("_lo", F.col("_lo") + F.col("_off"))
     names = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
-    picks = []
-    for q in quantiles:
-        h = (n - 1) * float(q)
-        lo, hi = math.floor(h), math.ceil(h)
-        name = names.get(q, f"p{int(q * 100)}")
-        aggs += [F.max(F.when(F.col("_r") == lo, F.col("_x"))).alias(f"_{name}_lo"),
-                 F.max(F.when(F.col("_r") == hi, F.col("_x"))).alias(f"_{name}_hi")]
-        picks.append((F.col(f"_{name}_lo") + (F.col(f"_{name}_hi") - F.col(f"_{name}_lo")) * F.lit(h - lo))
-                     .alias(name))
-    out = ranked.agg(*aggs)
-    return out.select("count", "mean", "std", "min", *picks, "max")
+    at = [(names.get(q, f"p{int(q * 100)}"), (F.col("_total") - 1) * F.lit(float(q))) for q in quantiles]
+    holds = lambda r: F.max(F.when((F.col("_lo") <= r) & (r < F.col("_lo") + F.col("_n")), F.col("_x")))
+    off = F.col("_x") - F.col("_mean")
+    out = ranked.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("count"), F.max("_mean").alias("mean"),
+        F.when(F.sum("_n") > 1, F.sqrt(F.sum(F.col("_n") * off * off) / (F.sum("_n") - 1))).alias("std"),
+        F.min("_x").alias("min"), F.max("_x").alias("max"),
+        *[holds(F.floor(h)).alias(f"_{n}_lo") for n, h in at], *[holds(F.ceil(h)).alias(f"_{n}_hi") for n, h in at],
+        *[F.max(h - F.floor(h)).alias(f"_{n}_f") for n, h in at])
+    lo, hi, part = (lambda n: F.col(f"_{n}_lo")), (lambda n: F.col(f"_{n}_hi")), (lambda n: F.col(f"_{n}_f"))
+    values = [(lo(n) + (hi(n) - lo(n)) * part(n)).alias(n) for n, _ in at]
+    return out.select("count", "mean", "std", "min", *values, "max")
 
 
 def merged_category_sets(df: DataFrame, key: str, cats: str, out: str = "categories") -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from noema.functions import text as X
-from noema.functions.lists import empty_str_array
+from noema.functions.lists import empty_str_array, parse_to_list
 from noema.functions.predicates import is_empty_arr, is_empty_str, needs_lookup
 
 FROM_TO = T.ArrayType(T.StructType([T.StructField("from", T.StringType()), T.StructField("to", T.StringType())]))
@@ -36,7 +36,9 @@ def page_hits(responses: DataFrame, names: DataFrame, name: str = "name") -> Dat
     (F9c) and the sorted union of its categories over all response parts.
 
     Every input whose normalised or redirected spelling reaches the page gets
-    the hit (the reference credits only one of them)."""
+    the hit.  Spellings are compared without case, but an exact title wins, a
+    normalised or redirected spelling counts in its own batch, and an input gets one
+    page's categories, never a mixture."""
     q = responses.select("batch_id", "query.*")
     pages = q.select("batch_id", F.explode("pages").alias("page_id", "p")) \
              .where((F.col("page_id") != "-1") & F.col("p.missing").isNull() &
@@ -46,36 +48,39 @@ def page_hits(responses: DataFrame, names: DataFrame, name: str = "name") -> Dat
                                  lambda c: X.strip_category_prefix(F.coalesce(c["title"], F.lit(""))))
                      .alias("cats"))
     pages = pages.select("batch_id", "page_title", F.filter("cats", lambda c: c != "").alias("cats"))
-    cats = pages.select("batch_id", "page_title", F.explode_outer("cats").alias("c")).distinct() \
-                .groupBy("batch_id", "page_title").agg(
-                    F.array_sort(F.collect_list("c")).alias("categories"))          # A10
-    norm = q.select(F.explode("normalized").alias("n")).select(
-        F.col("n.from").alias("n_from"), F.col("n.to").alias("n_to")).distinct()
-    redir = q.select(F.explode("redirects").alias("r")).select(
-        F.col("r.from").alias("r_from"), F.col("r.to").alias("r_to")).distinct()
+    cats = pages.select("page_title", F.explode_outer("cats").alias("c")).distinct() \
+                .groupBy("page_title").agg(F.array_sort(F.collect_list("c")).alias("new_categories"))  # A10
+    titles = pages.select("batch_id", "page_title").distinct().withColumn("_pk", X.page_key("page_title"))
     inp = names.select(F.col(name).alias("_in")).where(F.col("_in").isNotNull()).distinct()
-    # resolution chain: input → normalised spelling → redirect target
-    t1 = inp.join(norm, X.page_key(inp["_in"]) == X.page_key(norm["n_from"]), "left") \
-            .select("_in", F.coalesce("n_to", "_in").alias("_t1"))
-    t2 = t1.join(redir, X.page_key(t1["_t1"]) == X.page_key(redir["r_from"]), "left") \
-           .select("_in", "_t1", F.coalesce("r_to", "_t1").alias("_t2"))
-    cand = (t2.select("_in", F.col("_in").alias("_t"))
-            .union(t2.select("_in", F.col("_t1").alias("_t")))
-            .union(t2.select("_in", F.col("_t2").alias("_t"))).distinct())
-    keyed = cats.withColumn("_pk", X.page_key("page_title"))
-    hit = cand.join(keyed, X.page_key(cand["_t"]) == keyed["_pk"]).select("_in", "page_title", "categories")
-    merged = hit.select("_in", "page_title", F.explode_outer("categories").alias("c")).distinct() \
-                .groupBy("_in").agg(F.min("page_title").alias("page_title"),
-                                    F.array_sort(F.collect_list("c")).alias("new_categories"))
-    return merged.select(F.col("_in").alias(name), "page_title",
-                         X.page_link("page_title").alias("new_link"), "new_categories")
+
+    def renamed(kind: str) -> DataFrame:
+        return q.select(F.col("batch_id").alias("_rb"), F.explode(kind).alias("x")).select(
+            "_rb", X.page_key("x.from").alias("_from"), F.col("x.to").alias("_to")).distinct()
+
+    # spellings to try, each within the batch whose response gave it (null: any batch)
+    tried = inp.select("_in", F.lit(None).cast("bigint").alias("_b"), F.col("_in").alias("_t"), F.lit(0).alias("_step"))
+    for step, kind in ((1, "normalized"), (2, "redirects")):
+        r = renamed(kind)
+        more = tried.join(r, (X.page_key(tried["_t"]) == r["_from"]) & F.coalesce(tried["_b"] == r["_rb"], F.lit(True)))
+        tried = tried.unionByName(more.select("_in", F.col("_rb").alias("_b"), F.col("_to").alias("_t"),
+                                              F.lit(step).alias("_step"))).distinct()
+    hit = tried.join(titles, (X.page_key("_t") == titles["_pk"])
+                     & F.coalesce(F.col("_b") == F.col("batch_id"), F.lit(True)))
+    # one page per input: an exact title before one that differs in case, then the shortest way
+    best = hit.groupBy("_in").agg(F.min(F.struct((F.col("_t") != F.col("page_title")).alias("inexact"), "_step",
+                                                 "page_title")).alias("h")).select("_in", "h.page_title")
+    return best.join(cats, "page_title").select(
+        F.col("_in").alias(name), "page_title", X.page_link("page_title").alias("new_link"), "new_categories")
 
 
 def fill_from_lookup(df: DataFrame, hits: DataFrame, key: str = "name", link: str = "link",
                      categories: str = "categories", only_when_missing: bool = True) -> DataFrame:
     """Link filled only when empty (and the hit has one); categories filled
-    only when empty, or unioned (sorted) in merge mode.  Only rows passing the
-    P10 mask are looked up; the lookup key is the stripped name."""
+    only when empty, or unioned (sorted) in merge mode (F28; a text column is
+    parsed first).  Only rows passing the P10 mask are looked up; the lookup key is
+    the stripped name."""
+    if dict(df.dtypes)[categories] == "string":
+        df = df.withColumn(categories, parse_to_list(categories))
     h = hits.select(F.col(key).alias("_hk"), "new_link", "new_categories")
     d = df.withColumn("_need", needs_lookup(key, link, categories)) \
           .withColumn("_k", X.strip(F.col(key)))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from noema.functions import lists as L, text as X
 from noema.functions.jsonx import clamp01, parse_fenced_output, parse_model_output
-from noema.operators.rows import first_per_key
+from noema.operators.rows import first_per_key, last_per_key
 
 Generator = Callable[[list[str], list[str]], list[str]]
 
@@ -42,12 +42,15 @@ CONCEPTS_TEMPLATE = ("Title: {INPUT_TITLE}\nAbstract: {INPUT_ABSTRACT}\nJSON {\"
                      "\"prerequisite_concepts\": [...]}.")
 DESCRIPTION_TEMPLATE = ("Title: {INPUT_TITLE}\nAbstract: {INPUT_ABSTRACT}\nCategories: {INPUT_CATEGORIES}\n"
                         "JSON {\"description\": \"...\"}.")
-ARTICLE_SYSTEM = "Choose up to 20 prerequisite topics among the links; JSON {\"prerequisites\": [...]}."
+ARTICLE_SYSTEM = ("Name the 20 linked topics that a reader should know first, best first, as JSON "
+                  "{\"prerequisites\": [{\"rank\": 1, \"topic\": \"...\", \"rationale\": \"...\"}]}.")
 
-USER_RAW_JSON = "Return raw JSON only."
-USER_ALIAS = 'Return ONLY raw JSON in the form {"alias": [...]}'
-USER_CONCEPTS = 'Return ONLY raw JSON with keys "proposed_concepts" and "prerequisite_concepts".'
-USER_DESCRIPTION = 'Return ONLY raw JSON with key "description".'
+# Default user messages; every step takes its own as a parameter.
+USER_RAW_JSON = "Answer with one JSON object."
+USER_ALIAS = "Answer with one JSON object that holds the list alias."
+USER_CONCEPTS = "Answer with one JSON object that holds the lists proposed_concepts and prerequisite_concepts."
+USER_DESCRIPTION = "Answer with one JSON object that holds the text description."
+ARTICLE_USER = "Article {INPUT_TITLE} links to: {INPUT_LINKS}"
 
 
 # --------------------------------------------------------------------------
@@ -175,13 +178,15 @@ def build_scored_edges(mentions: DataFrame, generator: Generator | None = None,
 # L6 reference edge scoring
 # --------------------------------------------------------------------------
 def score_ref_edges(refs: DataFrame, seeds: DataFrame, generator: Generator | None = None,
-                    responses: DataFrame | None = None, template: str = REF_EDGE_TEMPLATE) -> DataFrame:
+                    responses: DataFrame | None = None, template: str = REF_EDGE_TEMPLATE,
+                    max_contexts: int | None = None) -> DataFrame:
     """Per distinct (seed, ref): seed context from the seed papers, ref
-    context and the first row's intents / influence / first 3 contexts from
-    the reference table.  ok = numeric strength."""
+    context and the first row's intents / influence / contexts from the
+    reference table (all contexts, or the first ``max_contexts``).  Of several seed rows with one id
+    the last counts.  ok = numeric strength."""
     r = refs.withColumn("seed_paper_id", F.col("seed_paper_id").cast("string")) \
             .withColumn("ref_paper_id", F.col("ref_paper_id").cast("string"))
-    seed_ctx = first_per_key(seeds.where(F.col("paperId").isNotNull()).select(
+    seed_ctx = last_per_key(seeds.where(F.col("paperId").isNotNull()).select(
         F.col("paperId").cast("string").alias("seed_paper_id"),
         F.coalesce("title", F.lit("")).alias("t_title"), F.coalesce("abstract", F.lit("")).alias("t_abs"), "pos"),
         ["seed_paper_id"], ["pos"]).drop("pos")
@@ -190,13 +195,14 @@ def score_ref_edges(refs: DataFrame, seeds: DataFrame, generator: Generator | No
     row0 = first_per_key(r.select("seed_paper_id", "ref_paper_id", "intents", "isInfluential", "contexts", "pos")
                          .where(F.col("seed_paper_id").isNotNull() & F.col("ref_paper_id").isNotNull()),
                          ["seed_paper_id", "ref_paper_id"], ["pos"]).drop("pos")
+    contexts = F.coalesce("contexts", L.empty_str_array())
     k = row0.join(seed_ctx, "seed_paper_id", "left").join(ref_ctx, "ref_paper_id", "left")
     system = render(template, {
         "TARGET_TITLE": F.col("t_title"), "TARGET_ABSTRACT": F.col("t_abs"),
         "REF_TITLE": F.col("r_title"), "REF_ABSTRACT": F.col("r_abs"),
         "INTENTS": F.to_json(F.coalesce("intents", L.empty_str_array())),
         "IS_INF": F.initcap(F.coalesce(F.col("isInfluential"), F.lit(False)).cast("string")),
-        "CONTEXTS": F.to_json(F.slice(F.coalesce("contexts", L.empty_str_array()), 1, 3))})
+        "CONTEXTS": F.to_json(contexts if max_contexts is None else F.slice(contexts, 1, max_contexts))})
     s = _scored(k, system, USER_RAW_JSON, generator, responses)
     ok = F.coalesce(F.col("p.is_object") & F.col("p.strength").isNotNull(), F.lit(False))
     res = s.select("seed_paper_id", "ref_paper_id", F.when(ok, clamp01(F.col("p.strength"))).alias("strength"),
@@ -248,17 +254,16 @@ def add_description(papers: DataFrame, generator: Generator | None = None, respo
 # --------------------------------------------------------------------------
 def article_prerequisites(articles: DataFrame, generator: Generator | None = None,
                           responses: DataFrame | None = None, system: str = ARTICLE_SYSTEM,
-                          max_links: int = 200) -> tuple[DataFrame, DataFrame]:
+                          user_template: str = ARTICLE_USER,
+                          max_links: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Articles ``(pos, title, links)`` with list-literal links → parsed
     results per article and the flattened ``(title, rank, prerequisite_topic,
     rationale)`` rows (F6).  Results are joined back by key (the reference
     attaches them by position inside a batch [Q1])."""
     a = articles.withColumn("links_parsed", L.literal_or_empty("links")) \
                 .where(F.size("links_parsed") > 0)                                   # F2 / P6
-    user = F.concat(F.lit('Analyze the following Wikipedia article:\nTitle: "'), F.coalesce("title", F.lit("")),
-                    F.lit('"\nLinks: ['), L.quoted_list(F.col("links_parsed"), max_links),
-                    F.lit("]\nSelect up to 20 most essential prerequisite topics from the links list. "
-                          "Return only valid JSON."))                                # F26 / L1
+    user = render(user_template, {"INPUT_TITLE": F.col("title"),
+                                  "INPUT_LINKS": L.quoted_list(F.col("links_parsed"), max_links)})   # F26 / L1
     p = a.select("pos", "title", F.lit(system).alias("system"), user.alias("user")) \
          .withColumn("prompt_key", prompt_key(F.col("system"), F.col("user")))
     gen = generate(p, generator, responses)

@@ -4,9 +4,8 @@ J1 double-role dimension lookup, J2 unmatched audit, J3 anti join on ids,
 J4 referential check, J5 orphan promotion, J6/J7 context and result back-joins,
 J8 detail enrichment, J11 endpoint resolution with dangling count.
 
-Broadcasting is only done behind a row-count check (``bounded_broadcast``):
-a side above the bound is joined with a shuffle join instead, and AQE may
-still convert it at run time from real sizes.
+No join is hinted: Spark broadcasts a side whose measured size is below
+``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise.
 """
 
 from __future__ import annotations
@@ -15,29 +14,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only if ``df`` provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a limited count), so it is
-    cheap for small tables and bounded for big ones.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def lookup_twice(edges: DataFrame, dim: DataFrame, dim_key: str, dim_value: str,
-                 roles: Sequence[tuple[str, str]], dim_order: str | None = None,
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 roles: Sequence[tuple[str, str]], dim_order: str | None = None) -> DataFrame:
     """Left-join one dimension under several roles (e.g. source id, target
     id).  Duplicate dimension keys: the last row (by ``dim_order``) wins."""
     from noema.operators.rows import last_per_key
     d = dim.select(dim_key, dim_value, *([dim_order] if dim_order else []))
     if dim_order:
         d = last_per_key(d, [dim_key], [dim_order]).drop(dim_order)
-    d = bounded_broadcast(d, max_broadcast_rows)
     out = edges
     for id_col, out_col in roles:
         dd = d.withColumnRenamed(dim_key, f"_k_{out_col}").withColumnRenamed(dim_value, out_col)
@@ -79,13 +63,9 @@ def promote_orphans(edges: DataFrame, name: str, prereq: str) -> DataFrame:
 def resolve_endpoints(edges: DataFrame, src_nodes: DataFrame, src_edge_key: str, src_node_key: str,
                       dst_nodes: DataFrame, dst_edge_key: str, dst_node_key: str
                       ) -> tuple[DataFrame, DataFrame]:
-    """Keep edges whose both endpoints exist (semi joins keep the edge
-    columns only); return (written, dangling)."""
+    """(written, dangling): edges with both endpoints, and the others."""
     s = src_nodes.select(F.col(src_node_key).alias("_s")).distinct()
     d = dst_nodes.select(F.col(dst_node_key).alias("_d")).distinct()
-    ok = edges.join(s, edges[src_edge_key] == s["_s"], "left_semi")
-    ok = ok.join(d, ok[dst_edge_key] == d["_d"], "left_semi")
-    bad_src = edges.join(s, edges[src_edge_key] == s["_s"], "left_anti")
-    has_src = edges.join(s, edges[src_edge_key] == s["_s"], "left_semi")
-    bad_dst = has_src.join(d, has_src[dst_edge_key] == d["_d"], "left_anti")
-    return ok, bad_src.unionByName(bad_dst)
+    met = edges.join(s, edges[src_edge_key] == s["_s"], "left").join(d, edges[dst_edge_key] == d["_d"], "left")
+    both = F.col("_s").isNotNull() & F.col("_d").isNotNull()
+    return met.where(both).drop("_s", "_d"), met.where(~both).drop("_s", "_d")

@@ -187,7 +187,7 @@ GROUP BY ALL
 """)
 def id_to_name_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    topics = t.nation.join(J.bounded_broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey")).select(
+    topics = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_nationkey").alias("topic_id"),
         F.when(F.col("r_name") == "AFRICA", F.lit(None).cast("string")).otherwise(
             F.concat(F.lit(X.WIKI_PREFIX), F.col("n_name"),
@@ -198,7 +198,7 @@ def id_to_name_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
         t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")) \
         .select("o_orderkey", "c_nationkey")
     ann = (t.lineitem.select("l_orderkey", "l_suppkey", "l_returnflag")
-           .join(J.bounded_broadcast(t.supplier.select("s_suppkey", "s_nationkey")),
+           .join(t.supplier.select("s_suppkey", "s_nationkey"),
                  F.col("l_suppkey") == F.col("s_suppkey"))
            .join(order_nation, F.col("l_orderkey") == F.col("o_orderkey"))
            .select(F.col("s_nationkey").alias("source_topic_id"), F.col("c_nationkey").alias("target_topic_id"),
@@ -396,7 +396,7 @@ QUALIFY row_number() OVER (PARTITION BY name ORDER BY source_ord DESC, pos DESC)
 def node_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     from noema.operators.graph import upsert_nodes
     t = Tables(spark, sf_dir)
-    nation = J.bounded_broadcast(t.nation.select("n_nationkey", "n_name"))
+    nation = t.nation.select("n_nationkey", "n_name")
     cust = t.customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("n_name").alias("name"), F.col("c_name").alias("link"), F.col("c_mktsegment").alias("category"),
         F.lit(1).alias("source_ord"), F.col("c_custkey").alias("pos"))
@@ -586,7 +586,7 @@ SELECT 'pair' AS kind, name, k AS key FROM (SELECT name, k FROM c INTERSECT SELE
 def dup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     from noema.operators.sets import intersect_names, intersect_pairs
     t = Tables(spark, sf_dir)
-    nation = J.bounded_broadcast(t.nation.select("n_nationkey", "n_name"))
+    nation = t.nation.select("n_nationkey", "n_name")
     c = t.customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("n_name").alias("name"), F.col("c_custkey").alias("k"))
     s = t.supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(

@@ -87,9 +87,12 @@ def build_graph(keyword_sources: list[DataFrame], prereq_sources: list[DataFrame
     existing = with_global_index(base.select("name", "alias", "link", "categories"), ["name"], "ord")
     incoming = keyword_rows(kc_nodes_csv, 0).select("pos", "name", "alias", "link", "categories")
     actions, keywords = resolve(existing, incoming)
-    keywords = keywords.select(F.col("node_name").alias("name"), "link", "alias", "categories")
+    keywords = keywords.select("node_ord", F.col("node_name").alias("name"), "link", "alias", "categories") \
+                       .checkpoint(eager=True)
     papers, quarantined = upsert_papers(paper_csv)
-    amap = G.alias_map(keywords.withColumn("_o", F.monotonically_increasing_id()), "name", "alias", [F.col("_o")])
+    papers = papers.checkpoint(eager=True)  # read by six of the outputs
+    amap = G.alias_map(keywords, "name", "alias", [F.col("node_ord")])
+    keywords = keywords.drop("node_ord")
     about_rows = paper_kc_csv.where(F.col("name") == "ABOUT")
     in_rows = paper_kc_csv.where(F.col("name") == "IN")
     about_ok, about_failed = G.map_concepts(about_rows.drop("name"), amap, "concept")

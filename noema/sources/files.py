@@ -64,11 +64,11 @@ def read_seed_papers(spark: SparkSession, path: str) -> DataFrame:
               .transform(lambda d: with_global_index(d, ["_o"], "pos").drop("_o"))
 
 
-def read_reference_responses(spark: SparkSession, path: str, ref_fetch: int = 100) -> DataFrame:
-    """JSON lines ``(seed_paper_id, data[])`` → one row per reference with
-    its position in the response (at most ``ref_fetch`` per seed)."""
+def read_reference_responses(spark: SparkSession, path: str) -> DataFrame:
+    """JSON lines ``(seed_paper_id, data[])`` → one row per saved reference with
+    its position in the response."""
     r = spark.read.schema(schemas.REFERENCE_RESPONSE).json(path)
-    return r.select("seed_paper_id", F.posexplode(F.slice("data", 1, ref_fetch)).alias("ref_pos", "e")) \
+    return r.select("seed_paper_id", F.posexplode("data").alias("ref_pos", "e")) \
             .select("seed_paper_id", "ref_pos", F.col("e.citedPaper.paperId").alias("ref_paper_id"),
                     F.col("e.isInfluential").alias("isInfluential"), F.col("e.intents").alias("intents"),
                     F.col("e.contexts").alias("contexts"))
@@ -98,9 +98,12 @@ def write_parquet(df: DataFrame, path: str, cols: list[str] | None = None) -> No
     df.select(*(cols or df.columns)).write.mode("overwrite").parquet(path)
 
 
-def write_json_lines(df: DataFrame, path: str) -> None:
-    """JSON lines, UTF-8, non-ASCII kept."""
-    df.write.mode("overwrite").json(path)
+def write_json_lines(df: DataFrame, path: str, json_cols: tuple[str, ...] = ()) -> None:
+    """JSON lines, UTF-8, non-ASCII kept; null fields are written as null.
+
+    ``json_cols`` hold JSON text and are written as the nested value they denote."""
+    nested = df.select(*[F.parse_json(F.col(c)).alias(c) if c in json_cols else F.col(c) for c in df.columns])
+    nested.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
 def write_graph_snapshot(tables: dict[str, DataFrame], root: str) -> None:

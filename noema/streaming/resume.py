@@ -14,9 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from noema.session import scratch_path
 
 
 def pending(inputs: DataFrame, done: DataFrame | None, key: str) -> DataFrame:
@@ -27,23 +27,26 @@ def pending(inputs: DataFrame, done: DataFrame | None, key: str) -> DataFrame:
 
 
 def _read_done(spark: SparkSession, done_path: str) -> DataFrame | None:
+    """The results so far; None only if the path does not exist yet."""
     try:
         return spark.read.parquet(done_path)
-    except Exception:  # no result written yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def run_resumable(spark: SparkSession, input_dir: str, input_schema: str, key: str,
                   process: Callable[[DataFrame], DataFrame], done_path: str,
-                  checkpoint_location: str | None = None, fmt: str = "parquet",
+                  checkpoint_location: str, fmt: str = "parquet",
                   max_files_per_trigger: int = 5) -> DataFrame:
     """Process every input file once, appending results to ``done_path``.
 
     ``process`` maps a DataFrame of pending inputs to result rows that carry
     ``key``.  Rows whose key is already in ``done_path`` are skipped, so a
     restart after a failure neither loses nor repeats finished work.
+    ``checkpoint_location`` must be the same shared path in every run.
     """
-    ckpt = checkpoint_location or scratch_path(spark, "resume-checkpoint")
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         todo = pending(batch, _read_done(batch.sparkSession, done_path), key)
@@ -51,7 +54,7 @@ def run_resumable(spark: SparkSession, input_dir: str, input_schema: str, key: s
 
     stream = (spark.readStream.schema(input_schema).format(fmt)
               .option("maxFilesPerTrigger", max_files_per_trigger).load(input_dir))
-    q = (stream.writeStream.foreachBatch(handle).option("checkpointLocation", ckpt)
+    q = (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_location)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(done_path)

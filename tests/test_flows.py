@@ -17,14 +17,14 @@ def fake_model(systems, users):
     """Deterministic stand-in for the language model: answers from the prompt text."""
     out = []
     for s, u in zip(systems, users):
-        if '"alias"' in u:
+        if "list alias" in u:
             name = s.split("concept ", 1)[1].split(" as JSON", 1)[0]
             out.append(f'Sure: {{"alias": ["{name.upper()}", " {name} ", 3]}}')
         elif "proposed_concepts" in u:
             out.append('```json\n{"proposed_concepts": ["Graphs", " Trees "], "prerequisite_concepts": ["Sets"]}\n```')
         elif "description" in u:
             out.append('<think>hm</think>{"description": "  A paper\\n about graphs"}')
-        elif "Wikipedia article" in u:
+        elif u.startswith("Article "):
             out.append('```json\n{"prerequisites": [{"rank": 1, "topic": "A", "rationale": "r"}, {"topic": "B"}]}\n```')
         else:
             out.append('{"strength": 1.5, "reason": " because "}')

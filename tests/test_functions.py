@@ -53,7 +53,9 @@ def test_categories_and_cleanups(spark):
     got = [r["c"] for r in df.select(L.categories_of("f", "s").alias("c")).collect()]
     assert got == [["CS", "Math"], []]
     xs = [" a ", "a", "", "b" * 81, "b" * 80]
-    assert one(spark, L.clean_concepts, xs, "v array<string>") == ["a", "b" * 80]
+    assert one(spark, L.clean_concepts, xs, "v array<string>") == list(dict.fromkeys(x.strip() for x in xs if x and x.strip()))
+    assert one(spark, lambda c: L.clean_concepts(c, 80), xs, "v array<string>") == ["a", "b" * 80]
+    assert all(len(x) > 80 for x in one(spark, lambda c: L.long_concepts(c, 80), xs, "v array<string>"))
     r = spark.createDataFrame([(["x", " x ", "y", "N", ""], "N")], "a array<string>, n string") \
         .select(L.clean_aliases("a", "n").alias("r")).first()["r"]
     assert r == ["x", "y"]

@@ -112,3 +112,48 @@ def test_upsert_onto_existing_snapshot(spark):
                                      "name string, link string, alias array<string>, pos long")
     out = {r["name"]: (r["link"], r["alias"]) for r in G.upsert_nodes(current, incoming, "name", ["pos"]).collect()}
     assert out == {"K": (None, ["z"]), "L": ("keep", ["b"]), "M": ("new", [])}
+
+
+def test_describe_skips_null_and_nan_and_handles_hot_values(spark):
+    from noema.operators.aggregates import describe
+    nan = float("nan")
+    df = spark.createDataFrame([(x,) for x in [1.0, nan, 3.0, None]], "v double")
+    r = describe(df, "v").first()
+    assert (r["count"], r["mean"], r["p25"], r["p50"], r["p75"], r["min"], r["max"]) == (2, 2.0, 1.5, 2.0, 2.5, 1.0, 3.0)
+    assert abs(r["std"] - 2 ** 0.5) < 1e-12
+    hot = spark.createDataFrame([(0.0,)] * 500 + [(float(i),) for i in range(1, 501)], "v double")
+    r = describe(hot, "v").first()
+    assert (r["count"], r["p25"], r["p50"], r["p75"]) == (1000, 0.0, 0.5, 250.25)
+    one = describe(spark.createDataFrame([(4.0,)], "v double"), "v").first()
+    assert (one["count"], one["std"], one["p50"]) == (1, None, 4.0)
+    none = describe(spark.createDataFrame([], "v double"), "v").first()
+    assert (none["count"], none["mean"], none["p50"]) == (0, None, None)
+
+
+def test_page_hits_prefers_exact_titles_and_never_mixes_pages(spark):
+    from noema.operators.categories import RESPONSE, page_hits
+    page = lambda t, *c: (t, None, [(f"Category:{x}",) for x in c])
+    data = [(1, 0, (None, None, {"1": page("IT", "Computing")})), (2, 0, (None, None, {"2": page("It", "Pronouns", "Films")})),
+            (2, 1, (None, None, {"2": page("It", "English")})),
+            (3, 0, ([("Learning machine", "Machine learning")], [("learning machine", "Learning machine")],
+                    {"3": page("Machine learning", "AI")})),
+            (4, 0, (None, [("x", "Elsewhere")], {"-1": page("X")}))]
+    hits = {r["name"]: (r["page_title"], r["new_categories"]) for r in page_hits(
+        spark.createDataFrame(data, RESPONSE),
+        spark.createDataFrame([("It",), ("IT",), ("learning machine",), ("x",), (None,)], "name string")).collect()}
+    assert hits == {"It": ("It", ["English", "Films", "Pronouns"]), "IT": ("IT", ["Computing"]),
+                    "learning machine": ("Machine learning", ["AI"])}
+
+
+def test_bad_model_texts_never_fail_the_job(spark):
+    from noema.functions import jsonx as J
+    texts = ['{"strength": ' + "9" * 400 + "}", '{"reason": "\\ud800 x"}', '{"prerequisites": [{"rank": 1.0, "topic": "a"}, '
+             '{"rank": 99999999999999999999}]}', "[" * 5000, '{"a":' * 3000, "```json\n{\"strength\": 0.5}\n```", None, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    rows = {r["i"]: r["p"] for r in df.select("i", J.parse_model_output("t").alias("p")).collect()}
+    assert not rows[0]["is_object"] and rows[0]["strength"] is None
+    assert rows[1]["reason"] == "\ufffd x"
+    assert [x["rank"] for x in rows[2]["prerequisites"]] == [1, None]
+    assert not any(rows[i]["is_object"] for i in (3, 4, 6, 7)) and rows[5]["strength"] == 0.5
+    fenced = df.select("i", J.parse_fenced_output("t").alias("p")).collect()
+    assert {r["i"] for r in fenced if r["p"]["is_object"]} >= {1, 2, 5}
