@@ -658,50 +658,52 @@ def _match_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _norm_sql(x: str) -> str:
-    return S.strip(f"regexp_replace(lower({x}), '[' || {S.WS.replace(' || ', ' || ')} || ']+', ' ', 'g')")
+    return S.strip(f"regexp_replace(lower({x}), '[{X.PY_WHITESPACE_CLASS}]+', ' ', 'g')")
 
 
 @query("wiki_match", f"""
-WITH c AS (
+WITH c AS MATERIALIZED (
   SELECT page_id AS pos, {S.title_from_url('url')} AS title,
          regexp_extract_all(html, '{HREF_RE}', 1) AS hrefs,
          regexp_extract_all(html, '{ANCHOR_TEXT_RE}', 1) AS subs
   FROM pages
-), ws AS (
+), raw AS (
   SELECT pos, i, title, {S.strip("coalesce(s, '')")} AS sub_raw
   FROM (SELECT pos, title, unnest(subs) AS s, generate_subscripts(subs, 1) AS i FROM c WHERE title IS NOT NULL)
-), sub_map AS (
-  SELECT {_norm_sql('sub_raw')} AS sub_n, title, sub_raw FROM ws WHERE {_norm_sql('sub_raw')} <> ''
-  QUALIFY row_number() OVER (PARTITION BY {_norm_sql('sub_raw')} ORDER BY pos, i) = 1
-), title_map AS (
-  SELECT {_norm_sql('title')} AS title_n, title FROM c WHERE title IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY {_norm_sql('title')} ORDER BY pos) = 1
-), nodes AS (
+), known AS MATERIALIZED (
+  SELECT x, {_norm_sql('x')} AS n FROM (SELECT DISTINCT sub_raw AS x FROM raw)
+), sub_map AS MATERIALIZED (
+  SELECT n AS sub_n, arg_min(title, pos * 1000000 + i) AS title, arg_min(sub_raw, pos * 1000000 + i) AS sub_raw
+  FROM raw JOIN known ON sub_raw = x WHERE n <> '' GROUP BY n
+), title_map AS MATERIALIZED (
+  SELECT {_norm_sql('title')} AS title_n, arg_min(title, pos) AS title FROM c WHERE title IS NOT NULL GROUP BY 1
+), nodes AS MATERIALIZED (
   SELECT DISTINCT 'a:' || regexp_replace(h, '^/', '') AS node_id, regexp_replace(h, '^/', '') AS name,
          [lower(regexp_replace(h, '^/', '')), regexp_replace(h, '^/', '') || ' page'] AS alias
-  FROM (SELECT unnest(hrefs) AS h FROM c)
+  FROM (SELECT DISTINCT unnest(hrefs) AS h FROM c)
   UNION ALL
   SELECT DISTINCT 's:' || title, title, []::VARCHAR[] FROM c
   UNION ALL
   SELECT DISTINCT 'p:' || p_name, p_name, string_split(p_name, ' ') FROM part
-), cand AS (
-  SELECT node_id, v AS c, j FROM (
-    SELECT node_id, {S.strip("coalesce(x, '')")} AS v, j
-    FROM (SELECT node_id, unnest([name] || alias) AS x, generate_subscripts([name] || alias, 1) AS j FROM nodes))
-  WHERE v <> '' QUALIFY row_number() OVER (PARTITION BY node_id, v ORDER BY j) = 1
-), hits AS (
-  SELECT cand.node_id, 0 AS kind, cand.j, {_norm_sql('cand.c')} AS hit_n, s.title, s.sub_raw AS sub
-  FROM cand JOIN sub_map s ON {_norm_sql('cand.c')} = s.sub_n
+), cand AS MATERIALIZED (
+  SELECT node_id, c, j, {_norm_sql('c')} AS cn FROM (
+    SELECT node_id, v AS c, min(j) AS j FROM (
+      SELECT node_id, {S.strip("coalesce(x, '')")} AS v, j
+      FROM (SELECT node_id, unnest([name] || alias) AS x, generate_subscripts([name] || alias, 1) AS j FROM nodes))
+    WHERE v <> '' GROUP BY node_id, v)
+), hits AS MATERIALIZED (
+  SELECT cand.node_id, 0 AS kind, cand.j, cn AS hit_n, s.title, s.sub_raw AS sub
+  FROM cand JOIN sub_map s ON cn = s.sub_n
   UNION ALL
-  SELECT cand.node_id, 1, cand.j, {_norm_sql('cand.c')}, t.title, NULL
-  FROM cand JOIN title_map t ON {_norm_sql('cand.c')} = t.title_n
-), best AS (
+  SELECT cand.node_id, 1, cand.j, cn, t.title, NULL
+  FROM cand JOIN title_map t ON cn = t.title_n
+), best AS MATERIALIZED (
   SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY node_id ORDER BY kind, j) = 1
 ), hit_alias AS (
   SELECT node_id, string_agg(v, '|' ORDER BY o) AS alias_text FROM (
     SELECT node_id, v, o FROM (
       SELECT cand.node_id, cand.c AS v, cand.j AS o FROM cand JOIN best b ON cand.node_id = b.node_id
-      WHERE {_norm_sql('cand.c')} <> b.hit_n
+      WHERE cand.cn <> b.hit_n
       UNION ALL
       SELECT n.node_id, {S.strip("coalesce(n.name, '')")}, 1000000 FROM nodes n JOIN best b ON n.node_id = b.node_id)
     WHERE v <> '' QUALIFY row_number() OVER (PARTITION BY node_id, v ORDER BY o) = 1)
