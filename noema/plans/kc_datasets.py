@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from noema.functions import text as X
 from noema.functions.predicates import not_self_loop
-from noema.operators import aggregates as A, joins as J, sets as U
+from noema.operators import enrich as E, aggregates as A, joins as J, sets as U
 from noema.operators.rows import first_per_key
 
 # The repair map for titles whose encoding was damaged (U+FFFD).
@@ -100,3 +100,27 @@ def duplicate_report(nodes_a: DataFrame, nodes_b: DataFrame, edges_a: DataFrame,
 def first_node_per_name(nodes: DataFrame) -> DataFrame:
     """W2 helper for callers that carry ``pos``."""
     return first_per_key(nodes, ["name"], ["pos"])
+
+
+@dataclass
+class EnrichedDataset:
+    nodes: DataFrame
+    edges: DataFrame
+    rejected_nodes: DataFrame
+    rejected_edges: DataFrame
+
+
+def enrich_dataset(nodes: DataFrame, edges: DataFrame, generator=None, responses: DataFrame | None = None) -> EnrichedDataset:
+    """E2 after cleaning: aliases of the nodes (L3) and scores of the edges (L4), and the
+    rows that the model gave no usable answer for, whole and unlimited (P11)."""
+    named = E.add_alias(nodes, generator, responses)
+    scored = E.score_prereq_edges(edges, generator, responses)
+    return EnrichedDataset(named, scored, named.where(~F.col("alias_ok")), scored.where(~F.col("edge_ok")))
+
+
+def write_dataset(data: EnrichedDataset, root: str) -> None:
+    """The dataset's node and edge files."""
+    from noema.sources.files import write_csv
+    base = root.rstrip("/")
+    write_csv(data.nodes, f"{base}/nodes")
+    write_csv(data.edges.select("name", "prereq_name", "strength", "reason"), f"{base}/edges")
