@@ -23,9 +23,10 @@ computed by iterating to a fixpoint.  Per iteration, each term carries a
 prefix minimum of labels over ``pos``; the prefix is split into fixed-size
 ``pos`` buckets (bucket minima, a prefix over buckets, a running minimum inside
 a bucket), so a term shared by a third of all rows is spread over many tasks.
-No pairs are emitted and no group is collected into one task.  Labels are
-checkpointed to the shared checkpoint folder (the drops every round, the
-label table every few rounds, cached in between), and rounds are semi-naive:
+No pairs are emitted and no group is collected into one task.  After each round
+a row whose label names a creating row takes that row's own label (pointer
+jumping), so rounds grow with the logarithm of a chain of matches, not with its
+length.  Labels are checkpointed to the shared folder, and rounds are semi-naive:
 only rows whose label dropped act as sources in the next round.
 
 The final node properties are the fold results in closed form: an appended
@@ -43,7 +44,6 @@ from noema.session import checkpoint_dir
 
 CREATED = 1 << 62          # labels ≥ CREATED are "created by row label - CREATED"
 DEFAULT_BUCKET = 1 << 16   # pos values per prefix bucket
-LABEL_CHECKPOINT_EVERY = 3  # rounds between reliable checkpoints of the label table
 STR_ARRAY = "array<string>"
 
 
@@ -86,8 +86,7 @@ def _propagate_once(src_labeled: DataFrame, tgt: DataFrame, bucket: int) -> Data
     return reach.groupBy("pos").agg(F.min("cand").alias("cand"))
 
 
-def resolve_labels(existing: DataFrame, incoming: DataFrame, bucket: int = DEFAULT_BUCKET,
-                   max_rounds: int = 10_000) -> DataFrame:
+def resolve_labels(existing: DataFrame, incoming: DataFrame, bucket: int = DEFAULT_BUCKET) -> DataFrame:
     """(pos, label) for every incoming row with a non-null name.
 
     ``existing``: ord, name, alias.  ``incoming``: pos, name, alias.
@@ -112,39 +111,23 @@ def resolve_labels(existing: DataFrame, incoming: DataFrame, bucket: int = DEFAU
     tgt = entries.where(F.col("kind") == 1).select("pos", "term")
     # semi-naive rounds: only rows whose label dropped in the previous round
     # can lower anyone else's label, so only they act as sources
-    delta = labels
-    cached: list[DataFrame] = []
-    for round_no in range(1, max_rounds + 1):
+    delta, first = labels, True
+    while True:
         moved = src.join(delta, "pos")          # source entries of rows whose label dropped
-        if round_no == 1:                        # every row is new: all targets are in play
-            cand = _propagate_once(moved, tgt, bucket)
-        else:
-            cand = _propagate_once(moved, tgt.join(moved.select("term").distinct(), "term", "left_semi"),
-                                   bucket)
-        improved = cand.join(labels, "pos").where(F.col("cand") < F.col("label")) \
-                       .select("pos", F.col("cand").alias("label")).checkpoint(eager=True)
-        if improved.limit(1).count() == 0:
-            out = labels.checkpoint(eager=True)
-            for c in cached:
-                c.unpersist()
-            return out
-        nxt = labels.join(improved.withColumnRenamed("label", "_new"), "pos", "left") \
-                    .select("pos", F.coalesce("_new", "label").alias("label"))
-        # the drops are checkpointed every round (leaves of the next plan); the
-        # labels are cached and written to the shared folder every few rounds,
-        # so plans grow by one join per round and a lost executor recomputes
-        # at most those few joins
-        if round_no % LABEL_CHECKPOINT_EVERY == 0:
-            nxt = nxt.checkpoint(eager=True)
-            for c in cached:                  # the checkpoint no longer needs them
-                c.unpersist()
-            cached = []
-        else:
-            nxt = nxt.persist()               # filled by the next round's first job
-            cached.append(nxt)
-        labels = nxt
-        delta = improved
-    raise RuntimeError(f"entity resolution did not converge in {max_rounds} rounds")
+        # in the first round every row is new: all targets are in play
+        aimed = tgt if first else tgt.join(moved.select("term").distinct(), "term", "left_semi")
+        cand = _propagate_once(moved, aimed, bucket)
+        met = labels.join(cand, "pos", "left").select(
+            "pos", F.col("label").alias("old"), F.least("label", "cand").alias("label")).checkpoint(eager=True)
+        # shortcut: a row labelled by row q takes q's label.  q reaches the row, so what
+        # reaches q does too; a chain of matches halves each round
+        roots = met.select(F.col("pos").alias("q"), F.col("label").alias("further"))
+        jumped = met.join(roots, F.col("q") == F.col("label") - F.lit(CREATED), "left").select(
+            "pos", "old", F.least("label", "further").alias("label")).checkpoint(eager=True)
+        labels, first = jumped.select("pos", "label"), False
+        delta = jumped.where("label < old").select("pos", "label")
+        if delta.limit(1).count() == 0:
+            return labels
 
 
 def resolve(existing: DataFrame, incoming: DataFrame, bucket: int = DEFAULT_BUCKET

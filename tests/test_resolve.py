@@ -84,3 +84,22 @@ def test_catalog_mapping_matches_fold(spark):
     want, _ = fold(ex, inc)
     assert got == want
     assert nodes.groupBy("node_name").count().where(F.col("count") > 1).count() == 0
+
+
+def test_rounds_grow_with_the_logarithm_of_a_chain(spark, monkeypatch):
+    """Row k matches row k - 1 only; each chain ends in its first row."""
+    from pyspark.sql import functions as F
+    from noema.operators import resolve as V
+    rounds = []
+    once = V._propagate_once
+    monkeypatch.setattr(V, "_propagate_once", lambda *a: rounds.append(1) or once(*a))
+    existing = spark.createDataFrame([], "ord long, name string, alias array<string>")
+    taken = {}
+    for n in (16, 1000):
+        rows = spark.range(n).select(F.col("id").alias("pos"), F.concat(F.lit("n"), "id").alias("name"),
+                                     F.array(F.concat(F.lit("n"), (F.col("id") - 1).cast("string"))).alias("alias"))
+        rounds.clear()
+        labels = {r["pos"]: r["label"] for r in V.resolve_labels(existing, rows).collect()}
+        taken[n] = len(rounds)
+        assert set(labels.values()) == {V.CREATED}
+    assert taken[1000] <= taken[16] + 7
