@@ -112,12 +112,13 @@ def _name_rows(length: int):
 
 
 def _placed_rows(length: int):
-    """(gram, block, rid, place, first, last, again): the first block of a name in
-    its document, and merged stretches of the later ones (again)."""
+    """(block, rid, spot, again): the first block of a name in its document, and
+    merged stretches of the later ones (again).  ``spot`` packs the place and its
+    distances to the first and last string start, or both starts if again."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, data, offsets in T.runs(b.column("text")):
-                place, first, last, doc, gram, block = _blocks(data, offsets, length)
+                place, first, last, doc, _, block = _blocks(data, offsets, length)
                 if not len(doc):
                     continue
                 keep = _first_in_doc(doc, block)
@@ -128,15 +129,14 @@ def _placed_rows(length: int):
                     last = last.copy()
                     last[later[head]] = last[later[np.append(np.flatnonzero(head)[1:], len(later)) - 1]]
                     later = later[head]
-                rows = np.concatenate([np.flatnonzero(keep), later])
+                rows = np.sort(np.concatenate([np.flatnonzero(keep), later]))
                 rid = b.column("rid").slice(lo, hi - lo).to_numpy(zero_copy_only=False)
-                base = offsets[doc[rows]]
+                base, again = offsets[doc[rows]], ~keep[rows]
+                x, y, z = (v[rows] - base for v in (first, last, place))
+                packed = np.where(again, x << 32 | y, z << 24 | (z - x) << 12 | np.maximum(z - y, 0))
                 yield pa.RecordBatch.from_arrays(
-                    [T.as_long(gram[rows]), T.as_long(block[rows]), pa.array(rid[doc[rows]]),
-                     pa.array((place[rows] - base).astype(np.int32)),
-                     pa.array((first[rows] - base).astype(np.int32)),
-                     pa.array((last[rows] - base).astype(np.int32)), pa.array(~keep[rows])],
-                    ["gram", "block", "rid", "place", "first", "last", "again"])
+                    [T.as_long(block[rows]), pa.array(rid[doc[rows]]), pa.array(packed), pa.array(again)],
+                    ["block", "rid", "spot", "again"])
     return run
 
 
@@ -173,7 +173,7 @@ def _contexts(length: int):
                 data = np.frombuffer(text, np.uint8)
                 sums = T.prefix_sums(T.BYTE_CODE[data])
                 at = np.unique(np.array(b.column("places")[i].as_py(), np.int64))
-                place, first, last = at >> 24, (at >> 24) - ((at >> 12) & 4095), (at >> 24) - (at & 4095) + length
+                place, first, last = at >> 24, (at >> 24) - ((at >> 12) & 4095), (at >> 24) - (at & 4095)
                 left, right = first <= place - split, last >= place - split + 1
                 for pick, lo, hi, c0, c1 in (
                         (left, first, np.minimum(last, place - split), place - split, place + q),
@@ -321,24 +321,23 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows, index = with_row_order(source)
 
     names = rows.mapInArrow(_name_rows(length), "gram bigint, block bigint, rid bigint")
+    # counted once and read by two aggregates: the exchange is reused
     buckets = names.groupBy("gram", "block").agg(F.min("rid").alias("holder"), F.count(F.lit(1)).alias("n"))
-    buckets = table(buckets.withColumn("n", F.col("n").cast("int")), "buckets")
     shared = (buckets.groupBy("gram").agg(F.count(F.lit(1)).alias("blocks"), F.sum("n").alias("members"))
               .where("members > 1").select("gram", (F.col("blocks") > 1).alias("mixed")))
-    known = buckets.join(shared, "gram").select(
-        F.col("gram").alias("g"), F.col("block").alias("k"), "holder", "mixed")
+    known = buckets.join(shared, "gram").select(F.col("block").alias("k"), "holder", "mixed")
 
-    placed = rows.mapInArrow(_placed_rows(length), "gram bigint, block bigint, rid bigint, place int, "
-                                                   "first int, last int, again boolean")
-    met = placed.join(known, (F.col("gram") == F.col("g")) & (F.col("block") == F.col("k")), "left")
+    placed = rows.mapInArrow(_placed_rows(length), "block bigint, rid bigint, spot bigint, again boolean")
+    met = placed.join(known, F.col("block") == F.col("k"), "left")
     gone = F.col("again") | F.coalesce(F.col("rid") > F.col("holder"), F.lit(False))
     rest = ~F.col("again") & (F.col("rid") == F.col("holder")) & F.col("mixed")
+    place = F.shiftright("spot", 24)
+    whole = F.shiftleft(place - F.shiftright("spot", 12).bitwiseAND(F.lit(4095)), 32).bitwiseOR(
+        place - F.col("spot").bitwiseAND(F.lit(4095)))
+    found = table(met.where(gone | rest).select(
+        "rid", F.when(F.col("again"), F.col("spot")).when(gone, whole).alias("gone"),
+        F.when(~gone, F.col("spot")).alias("place")), "met")
     span = F.shiftleft(F.col("first").cast("bigint"), 32).bitwiseOR(F.col("last").cast("bigint"))
-    spot = (F.shiftleft(F.col("place").cast("bigint"), 24)
-            .bitwiseOR(F.shiftleft(F.col("place") - F.col("first"), 12).cast("bigint"))
-            .bitwiseOR((F.col("place") - F.col("last") + F.lit(length)).cast("bigint")))
-    found = table(met.where(gone | rest).select("rid", F.when(gone, span).alias("gone"),
-                                                F.when(~gone, spot).alias("place")), "met")
 
     packed = rows.mapInArrow(_pack, "rid bigint, packed binary")
     places = found.where("place is not null").groupBy("rid").agg(F.collect_list("place").alias("places"))
