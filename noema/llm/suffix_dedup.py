@@ -23,8 +23,10 @@ it is asked for few suffixes:
   also holds other blocks;
 * those are refined once more, by the names of the 63 bytes that all strings of
   a half block share, and compared string by string inside a refined bucket.
-  A refined bucket with over ``bucket_rows`` members is compared by a plain
-  aggregation over string names instead, which has no large groups in a task.
+  A refined bucket with over ``bucket_rows`` members is refined recursively:
+  equal members are settled by one aggregation, and a holder of each goes on
+  with the two halves of its strings, which share more bytes, down to single
+  strings.  So no task ever holds a bucket of unbounded size.
 
 The text crosses the network twice, compressed: to cut out the contexts of the
 last refinement, and to apply the removals.
@@ -157,47 +159,84 @@ def _unpack(cells: pa.Array) -> Iterator[tuple[int, bytes]]:
 
 
 def _contexts(length: int):
-    """From (rid, packed, places) the half blocks: (core, rid, start, context).
+    """From (rid, packed, places) the half blocks: (core, rid, start, off, u, v, ctx).
 
-    All strings of the left half (chosen place in their later part) share the
-    bytes ``place - split .. place + q``, those of the right half the bytes
-    ``place .. place + length - split + 1``."""
+    A string's offset is the distance from its start to the chosen place.  All
+    strings with offsets ``u..v`` share the bytes ``place - u .. place - v + length``,
+    their core.  ``off`` is the offset of the first string of ``ctx``."""
     q = length // 4
     split = (length - q + 1) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rids = b.column("rid").to_numpy(zero_copy_only=False)
-            core, rid, start, ctx, size = [], [], [], [], 0
+            out, size = [], 0
             for i, text in _unpack(b.column("packed")):
                 data = np.frombuffer(text, np.uint8)
                 sums = T.prefix_sums(T.BYTE_CODE[data])
                 at = np.unique(np.array(b.column("places")[i].as_py(), np.int64))
-                place, first, last = at >> 24, (at >> 24) - ((at >> 12) & 4095), (at >> 24) - (at & 4095)
-                left, right = first <= place - split, last >= place - split + 1
-                for pick, lo, hi, c0, c1 in (
-                        (left, first, np.minimum(last, place - split), place - split, place + q),
-                        (right, np.maximum(first, place - split + 1), last, place, place + length - split + 1)):
-                    if not pick.any():
-                        continue
-                    core.append(T.span_ids(sums, c0[pick], c1[pick]) ^ U(1 if pick is left else 0))
-                    rid.append(np.full(pick.sum(), rids[i]))
-                    start.append(lo[pick])
-                    ctx.extend(text[x:y + length] for x, y in zip(lo[pick].tolist(), hi[pick].tolist()))
-                    size += 2 * length * int(pick.sum())
+                place = at >> 24
+                first, last = place - ((at >> 12) & 4095), place - (at & 4095)
+                for u, v in ((0, split - 1), (split, length - q)):
+                    lo, hi = np.maximum(first, place - v), np.minimum(last, place - u)
+                    some = np.flatnonzero(lo <= hi)
+                    lo, hi, at_ = lo[some], hi[some], place[some]
+                    out.append((T.span_ids(sums, at_ - u, at_ - v + length), np.full(len(some), rids[i]), lo, at_ - lo,
+                                np.full(len(some), u), np.full(len(some), v),
+                                [text[x:y + length] for x, y in zip(lo.tolist(), hi.tolist())]))
+                    size += 2 * length * len(some)
                 if size > _BATCH_BYTES:
-                    yield _context_batch(core, rid, start, ctx)
-                    core, rid, start, ctx, size = [], [], [], [], 0
-            if ctx:
-                yield _context_batch(core, rid, start, ctx)
+                    yield _context_batch(out)
+                    out, size = [], 0
+            if size:
+                yield _context_batch(out)
     return run
 
 
-def _context_batch(core, rid, start, ctx) -> pa.RecordBatch:
+def _context_batch(parts) -> pa.RecordBatch:
+    core, rid, start, off, u, v = (np.concatenate([p[k] for p in parts]) for k in range(6))
+    ctx = [x for p in parts for x in p[6]]
     return pa.RecordBatch.from_arrays(
-        [T.as_long(np.concatenate(core)), pa.array(np.concatenate(rid)),
-         pa.array(np.concatenate(start).astype(np.int32)), pa.array(ctx, pa.binary())],
-        ["core", "rid", "start", "ctx"])
+        [T.as_long(core ^ T.mix(u.astype(U))), pa.array(rid.astype(np.int64)), pa.array(start.astype(np.int32)),
+         *(pa.array(x.astype(np.int16)) for x in (off, u, v)), pa.array(ctx, pa.binary())], _CONTEXT.names)
+
+
+_CONTEXT = pa.schema([("core", pa.int64()), ("rid", pa.int64()), ("start", pa.int32()), ("off", pa.int16()),
+                      ("u", pa.int16()), ("v", pa.int16()), ("ctx", pa.binary())])
+_CONTEXT_SQL = "core bigint, rid bigint, start int, off smallint, u smallint, v smallint, ctx binary"
+
+
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts with the name of their whole content and place."""
+    for b in batches:
+        data = b.column("ctx").to_pylist()
+        cut = np.concatenate([[0], np.cumsum([len(x) for x in data])]).astype(np.int64)
+        name = T.span_ids(T.prefix_sums(T.BYTE_CODE[np.frombuffer(b"".join(data), np.uint8)]), cut[:-1], cut[1:])
+        where = b.column("off").to_numpy().astype(U) * U(4096) + b.column("u").to_numpy().astype(U)
+        yield pa.RecordBatch.from_arrays([*b.columns, T.as_long(T.pair_id(name, where))], [*b.schema.names, "whole"])
+
+
+def _halves(length: int):
+    """Each context as the contexts of the two halves of its range of offsets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, cores = [], []
+            for r in b.to_pylist():
+                n, mid = len(r["ctx"]) - length + 1, (r["u"] + r["v"]) // 2
+                for u, v in ((r["u"], mid), (mid + 1, r["v"])):
+                    hi, lo = min(v, r["off"]), max(u, r["off"] - n + 1)
+                    if u > v or lo > hi:
+                        continue
+                    cores.append(r["ctx"][r["off"] - u:r["off"] - v + length])
+                    rows.append((r["rid"], r["start"] + r["off"] - hi, hi, u, v,
+                                 r["ctx"][r["off"] - hi:r["off"] - lo + length]))
+            if not rows:
+                continue
+            cut = np.concatenate([[0], np.cumsum([len(x) for x in cores])]).astype(np.int64)
+            name = T.span_ids(T.prefix_sums(T.BYTE_CODE[np.frombuffer(b"".join(cores), np.uint8)]), cut[:-1], cut[1:])
+            rid, start, off, u, v, ctx = zip(*rows)
+            yield _context_batch([(name, *(np.array(x) for x in (rid, start, off, u, v)), list(ctx))])
+    return run
 
 
 def _strings(ctx: pa.Array, rid: np.ndarray, start: np.ndarray, length: int):
@@ -265,18 +304,6 @@ def _compare(length: int):
     return run
 
 
-def _string_rows(length: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo in range(0, b.num_rows, 4000):
-                s = b.slice(lo, 4000)
-                name, rid, start = _strings(s.column("ctx"), s.column("rid").to_numpy(),
-                                            s.column("start").to_numpy().astype(np.int64), length)
-                yield pa.RecordBatch.from_arrays(
-                    [T.as_long(name), pa.array(rid), pa.array(start.astype(np.int32))], ["name", "rid", "first"])
-    return run
-
-
 def _apply(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -341,20 +368,25 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     packed = rows.mapInArrow(_pack, "rid bigint, packed binary")
     places = found.where("place is not null").groupBy("rid").agg(F.collect_list("place").alias("places"))
-    contexts = table(places.join(packed, "rid").mapInArrow(
-        _contexts(length), "core bigint, rid bigint, start int, ctx binary"), "contexts")
-    large = contexts.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_rows).select("core")
-    small = (contexts.join(large, "core", "left_anti").repartition("core").sortWithinPartitions("core")
-             .mapInArrow(_compare(length), "rid bigint, first int, last int"))
-    each = (contexts.join(large, "core", "left_semi")
-            .mapInArrow(_string_rows(length), "name bigint, rid bigint, first int"))
-    earliest = each.groupBy("name").agg(F.min(F.struct("rid", "first")).alias("head"), F.count(F.lit(1)).alias("n"))
-    earliest = earliest.where("n > 1").select(F.col("name").alias("nm"), "head")
-    wide = each.join(earliest, F.col("name") == F.col("nm")).where(F.struct("rid", "first") > F.col("head"))
-
-    spans = (found.where("gone is not null").select("rid", "gone")
-             .unionAll(small.select("rid", span.alias("gone")))
-             .unionAll(wide.select("rid", F.col("first").alias("last"), "first").select("rid", span.alias("gone"))))
+    level = table(places.join(packed, "rid").mapInArrow(_contexts(length), _CONTEXT_SQL), "contexts")
+    spans = found.where("gone is not null").select("rid", "gone")
+    while True:
+        large = table(level.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_rows)
+                      .select("core"), "large-buckets")
+        small = (level.join(large, "core", "left_anti").repartition("core").sortWithinPartitions("core")
+                 .mapInArrow(_compare(length), "rid bigint, first int, last int"))
+        spans = spans.unionAll(small.select("rid", span.alias("gone")))
+        if large.limit(1).count() == 0:
+            break
+        # large buckets: equal contexts at once, one holder of each goes on to half its range
+        rows_ = level.join(large, "core", "left_semi").mapInArrow(_named, _CONTEXT_SQL + ", whole bigint")
+        holder = rows_.groupBy("whole").agg(F.min(F.struct("rid", "start")).alias("head")).withColumnRenamed("whole", "w")
+        told = table(rows_.join(holder, F.col("whole") == F.col("w")).withColumn(
+            "again", F.struct("rid", "start") > F.col("head")).drop("w", "head", "whole"), "refined")
+        strings = F.octet_length("ctx") - F.lit(length)
+        again = told.where("again").select("rid", F.col("start").alias("first"), (F.col("start") + strings).alias("last"))
+        spans = spans.unionAll(again.select("rid", span.alias("gone")))
+        level = table(told.where("not again and u < v").drop("again").mapInArrow(_halves(length), _CONTEXT_SQL), "contexts")
     spans = spans.groupBy("rid").agg(F.collect_list("gone").alias("gone"))
     out = packed.join(spans, "rid", "left").mapInArrow(
         _apply(length), "rid bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
