@@ -28,9 +28,10 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from noema.llm import textcore as T
-from noema.llm.store import columns, table
+from noema.llm.store import columns, schema, table
 
 BITS = 1 << 22
 _BITMAP = 4096 * 8  # bits of one row that bitmap_construct_agg makes
@@ -224,12 +225,12 @@ def find_matches(docs: DataFrame, items: DataFrame, window: int = 10, near: int
                               F.struct("base", "lo", "size", "phrase", "name"))).alias("found"),
         F.sort_array(F.collect_set("name")).alias("near"))
     met = source.join(found, "key", "left")
-    schema = (f"id {id_type}, n_words bigint, n_hit bigint, items array<string>, "
-              "spans array<struct<first:bigint,last:bigint>>, near_items array<string>")
+    ddl = (f"id {id_type}, n_words bigint, n_hit bigint, items array<string>, "
+           "spans array<struct<first:bigint,last:bigint>>, near_items array<string>")
     if carry:
         met = met.withColumn("body", F.col("text"))
-        schema += f", body string, extra {source.schema['extra'].dataType.simpleString()}"
-    out = met.drop("key").mapInArrow(_verify, schema)
+    more = {"body": StringType(), "extra": source.schema["extra"].dataType} if carry else {}
+    out = met.drop("key").mapInArrow(_verify, schema(ddl, **more))
     return out.withColumn("near_items", F.coalesce("near_items", F.array().cast("array<string>"))) \
         .withColumnRenamed("id", id_col)
 

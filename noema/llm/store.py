@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DataType, StructType
 
 from noema.operators.rows import with_global_index
 from noema.session import checkpoint_dir
@@ -18,11 +20,27 @@ def table(df: DataFrame, name: str) -> DataFrame:
     what came before, and one computation serves several readers.
     """
     spark = df.sparkSession
+    release(spark)
     path = f"{checkpoint_dir(spark).rstrip('/')}/noema-llm/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps.  Its cleaner follows the
+    driver's garbage collection, which a driver with little to do seldom runs."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def schema(ddl: str, **fields: DataType) -> StructType:
+    """A schema from DDL text and fields of given types (whose names may be odd)."""
+    out = StructType.fromDDL(ddl)
+    for name, kind in fields.items():
+        out = out.add(name, kind)
+    return out
+
+
 def held_out(doc_id: str | Column) -> Column:
     """True where crc32 of the id's text leaves remainder 2 modulo 4 (null id: false)."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

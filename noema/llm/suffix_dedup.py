@@ -37,15 +37,16 @@ rows equal in id and text are one document and get the same result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from noema.llm import textcore as T
-from noema.llm.store import columns, table, with_row_order
+from noema.llm.store import schema, table, with_row_order
 
 BUCKET_ROWS = 2000
 _BATCH_BYTES = 4 << 20
@@ -149,7 +150,9 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = T.utf8(b.column("text"))
         raw = data.tobytes()
         packed = [z.compress(raw[i:j]) for i, j in zip(offsets[:-1], offsets[1:])]
-        yield pa.RecordBatch.from_arrays([b.column("rid"), pa.array(packed, pa.binary())], ["rid", "packed"])
+        extra = [c for c in b.schema.names if c == "extra"]
+        yield pa.RecordBatch.from_arrays([b.column("rid"), pa.array(packed, pa.binary()), *map(b.column, extra)],
+                                         ["rid", "packed", *extra])
 
 
 def _unpack(cells: pa.Array) -> Iterator[tuple[int, bytes]]:
@@ -325,35 +328,29 @@ def _apply(length: int):
                 kept.append(np.frombuffer(text, np.uint8)[keep].tobytes())
                 n_removed.append(int((~keep).sum()))
                 n_spans.append(int((~keep[:1]).sum() + (keep[:-1] & ~keep[1:]).sum()))
+            extra = [c for c in b.schema.names if c == "extra"]
             yield pa.RecordBatch.from_arrays(
                 [b.column("rid"), pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()),
-                 pa.array(n_spans, pa.int64()), pa.array(kept, pa.binary())],
-                ["rid", "n_bytes", "n_removed", "n_spans", "kept"])
+                 pa.array(n_spans, pa.int64()), pa.array(kept, pa.binary()), *map(b.column, extra)],
+                ["rid", "n_bytes", "n_removed", "n_spans", "kept", *extra])
     return run
 
 
-def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     length: int = 100, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """One row per row of ``docs``: id (under its own name), n_bytes, n_removed,
-    n_spans and ``kept`` (binary: the bytes that stay).
-
-    ``length`` is a multiple of 4, at least 16.  Nulls: a null text is empty; a
-    null id comes last.  Texts shorter than ``length`` are never touched.  An
-    empty table gives an empty result.  ``bucket_rows`` only chooses how a refined
-    bucket is compared, never what is compared.  Other columns are ignored.
-    """
-    if length % 4 or length < 16:
-        raise ValueError("length must be a multiple of 4, at least 16")
-    source = columns(docs, id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    rows, index = with_row_order(source)
-
+def _shared_blocks(rows: DataFrame, length: int) -> DataFrame:
+    """(k, holder, mixed): the blocks of q-gram buckets with several members, the first
+    document of each, and whether the bucket has other blocks too."""
     names = rows.mapInArrow(_name_rows(length), "gram bigint, block bigint, rid bigint")
-    # counted once and read by two aggregates: the exchange is reused
     buckets = names.groupBy("gram", "block").agg(F.min("rid").alias("holder"), F.count(F.lit(1)).alias("n"))
-    shared = (buckets.groupBy("gram").agg(F.count(F.lit(1)).alias("blocks"), F.sum("n").alias("members"))
-              .where("members > 1").select("gram", (F.col("blocks") > 1).alias("mixed")))
-    known = buckets.join(shared, "gram").select(F.col("block").alias("k"), "holder", "mixed")
+    # with the holder used here too, both reads of the buckets share one exchange
+    shared = buckets.groupBy("gram").agg(F.count(F.lit(1)).alias("blocks"), F.sum("n").alias("members"),
+                                         F.min("holder").alias("first"))
+    shared = shared.where("members > 1 and first is not null").select(
+        "gram", (F.col("blocks") > 1).alias("mixed"))
+    return table(buckets.join(shared, "gram").where("n > 0").select(F.col("block").alias("k"), "holder", "mixed"), "blocks")
 
+
+def _found(rows: DataFrame, known: DataFrame, length: int) -> DataFrame:
+    """(rid, gone, place): stretches to remove, and places whose blocks need refining."""
     placed = rows.mapInArrow(_placed_rows(length), "block bigint, rid bigint, spot bigint, again boolean")
     met = placed.join(known, F.col("block") == F.col("k"), "left")
     gone = F.col("again") | F.coalesce(F.col("rid") > F.col("holder"), F.lit(False))
@@ -361,14 +358,36 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     place = F.shiftright("spot", 24)
     whole = F.shiftleft(place - F.shiftright("spot", 12).bitwiseAND(F.lit(4095)), 32).bitwiseOR(
         place - F.col("spot").bitwiseAND(F.lit(4095)))
-    found = table(met.where(gone | rest).select(
+    return table(met.where(gone | rest).select(
         "rid", F.when(F.col("again"), F.col("spot")).when(gone, whole).alias("gone"),
-        F.when(~gone, F.col("spot")).alias("place")), "met")
-    span = F.shiftleft(F.col("first").cast("bigint"), 32).bitwiseOR(F.col("last").cast("bigint"))
+        F.when(~gone, F.col("spot")).alias("place")), "found")
+
 
-    packed = rows.mapInArrow(_pack, "rid bigint, packed binary")
+def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                     length: int = 100, bucket_rows: int = BUCKET_ROWS, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per row of ``docs``: id (under its own name), n_bytes, n_removed,
+    n_spans and ``kept`` (binary: the bytes that stay).
+
+    ``length`` is a multiple of 4, at least 16.  Nulls: a null text is empty; a
+    null id comes last.  Texts shorter than ``length`` are never touched.  An
+    empty table gives an empty result.  ``bucket_rows`` only chooses how a refined
+    bucket is compared, never what is compared.  Other columns are ignored, but for
+    those named in ``carry``, which come back as a struct ``extra``.
+    """
+    if length % 4 or length < 16:
+        raise ValueError("length must be a multiple of 4, at least 16")
+    source = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
+                         *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("extra")] if carry else []))
+    rows, index = with_row_order(source.select("id", "text"))
+
+    found = _found(rows, _shared_blocks(rows, length), length)
+    span = F.shiftleft(F.col("first").cast("bigint"), 32).bitwiseOR(F.col("last").cast("bigint"))
+    # texts travel with their carried columns where a row is a document of its own
+    with_text = rows if index is not None else source.withColumn("rid", F.col("id").cast("bigint")).drop("id")
+    extra = {"extra": source.schema["extra"].dataType} if carry and index is None else {}
+    packed = with_text.mapInArrow(_pack, schema("rid bigint, packed binary", **extra))
     places = found.where("place is not null").groupBy("rid").agg(F.collect_list("place").alias("places"))
-    level = table(places.join(packed, "rid").mapInArrow(_contexts(length), _CONTEXT_SQL), "contexts")
+    level = table(places.join(packed.select("rid", "packed"), "rid").mapInArrow(_contexts(length), _CONTEXT_SQL), "contexts")
     spans = found.where("gone is not null").select("rid", "gone")
     while True:
         large = table(level.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_rows)
@@ -389,17 +408,23 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         level = table(told.where("not again and u < v").drop("again").mapInArrow(_halves(length), _CONTEXT_SQL), "contexts")
     spans = spans.groupBy("rid").agg(F.collect_list("gone").alias("gone"))
     out = packed.join(spans, "rid", "left").mapInArrow(
-        _apply(length), "rid bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
-    result = ["n_bytes", "n_removed", "n_spans", "kept"]
+        _apply(length), schema("rid bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary", **extra))
+    result = ["n_bytes", "n_removed", "n_spans", "kept", *(["extra"] if carry else [])]
     if index is None:
         return out.select(F.col("rid").cast(dict(source.dtypes)["id"]).alias(id_col), *result)
     # every row of the input, also those that were one document
     per_key = index.join(out, "rid")
-    keyed = source.select(F.col("id").alias("row_id"), F.xxhash64("text").alias("row_key"))
+    keyed = source.withColumnRenamed("id", "row_id").withColumn("row_key", F.xxhash64("text")).drop("text")
     on = keyed["row_id"].eqNullSafe(per_key["id"]) & (keyed["row_key"] == per_key["key"])
     return keyed.join(per_key, on).select(F.col("row_id").alias(id_col), *result)
 
 
+@F.arrow_udf(StringType())
+def as_text(kept: pa.Array) -> pa.Array:
+    """Kept bytes as text; what is left of a character cut apart is dropped."""
+    return pa.array([None if x is None else x.decode("utf-8", "ignore") for x in kept.to_pylist()], pa.string())
+
+
 def op10(spark, sf_dir: str) -> DataFrame:
     """Contract query: whole ``documents``, 100-byte strings."""
     out = dedup_substrings(spark.read.parquet(f"{sf_dir}/documents.parquet"))
