@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from noema.llm import textcore as T
 from noema.llm.store import columns, held_out, table
 
-SAMPLE_ROWS, FEATURES, CF, L2, THRESHOLD = 8000, 2048, 1.0, 1e-4, 0.3
+SAMPLE_ROWS, FEATURES, CF, L2, THRESHOLD = 8000, 2048, 1.0, 1e-3, 0.3
 PREFIXES = (4, 5, 6, 7, 8)
 
 #: Identity terms, by group and number; a term is swapped for the next
