@@ -365,3 +365,135 @@ def saved_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = files.read_reference_responses(spark, path)
     return out.select(F.col("seed_paper_id").cast("bigint").alias("seed_paper_id"), F.col("ref_pos").cast("bigint").alias("ref_pos"),
                       "ref_paper_id", "isInfluential")
+
+
+# --------------------------------------------------------------------------
+# Damaged titles repaired, scanned and counted with the null group
+# --------------------------------------------------------------------------
+@query("quality_branches", """
+WITH d AS (SELECT CASE WHEN doc_id % 9 = 0 THEN NULL WHEN doc_id % 10 = 1 THEN 'Alpha' || chr(65533) || 'beta pruning'
+                       WHEN doc_id % 10 = 2 THEN 'G' || chr(65533) || 'del''s completeness theorem'
+                       WHEN doc_id % 10 = 3 THEN lang || chr(65533) WHEN doc_id % 10 = 4 THEN lang || 'é' ELSE lang END AS t FROM documents),
+r AS (SELECT CASE t WHEN 'Alpha' || chr(65533) || 'beta pruning' THEN 'Alpha–beta pruning'
+                    WHEN 'G' || chr(65533) || 'del''s completeness theorem' THEN 'Gödel''s completeness theorem' ELSE t END AS title FROM d)
+SELECT title, count(*) AS n, coalesce(contains(title, chr(65533)), false) AS damaged,
+       coalesce(regexp_matches(title, '[^\\x00-\\x7F]'), false) AS non_ascii FROM r GROUP BY title
+""")
+def quality_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("doc_id")
+    t = F.when(k % 9 == 0, None).when(k % 10 == 1, "Alpha�beta pruning").when(k % 10 == 2, "G�del's completeness theorem") \
+        .when(k % 10 == 3, F.concat("lang", F.lit("�"))).when(k % 10 == 4, F.concat("lang", F.lit("é"))).otherwise(F.col("lang"))
+    d = O.repair_values(Tables(spark, sf_dir).documents.select(t.alias("title")), K.REPAIR_MAP, ["title"])
+    return A.frequency(d, "title").select("title", F.col("count").alias("n"),
+                                          F.coalesce(X.has_replacement_char("title"), F.lit(False)).alias("damaged"),
+                                          F.coalesce(X.has_non_ascii("title"), F.lit(False)).alias("non_ascii"))
+
+
+# --------------------------------------------------------------------------
+# Concepts and descriptions of papers
+# --------------------------------------------------------------------------
+@query("paper_enrichment", """
+WITH p AS (SELECT p_partkey, p_brand, length(p_name) % 4 AS m FROM part)
+SELECT p_partkey, CASE WHEN m = 0 THEN 'A|b' ELSE '' END AS proposed, CASE WHEN m = 0 THEN 'x' ELSE '' END AS prerequisite,
+       m IN (0, 2) AS kc_ok, CASE m WHEN 0 THEN 'two words.' WHEN 1 THEN 'done!' ELSE '' END AS description, m <> 3 AS desc_ok FROM p
+""")
+def paper_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    papers = Tables(spark, sf_dir).part.select(F.col("p_partkey").alias("pos"), F.concat(F.lit(" "), "p_name").alias("title"),
+                                               F.col("p_type").alias("abstract"), F.array("p_brand", F.lit(" ")).alias("categories"))
+    clean = papers.select(X.strip("title").alias("t"), F.col("abstract").alias("a"), X.categories_text("categories").alias("c")).distinct()
+    m = F.length("t") % 4
+    concepts = E.render(E.CONCEPTS_TEMPLATE, {"INPUT_TITLE": F.col("t"), "INPUT_ABSTRACT": F.col("a")})
+    describe = E.render(E.DESCRIPTION_TEMPLATE, {"INPUT_TITLE": F.col("t"), "INPUT_ABSTRACT": F.col("a"), "INPUT_CATEGORIES": F.col("c")})
+    answers = clean.select(E.prompt_key(concepts, F.lit(E.USER_CONCEPTS)).alias("prompt_key"), F.when(
+        m == 0, '{"proposed_concepts": [" A ", "", "A", "b", 3], "prerequisite_concepts": ["x"]} ok').when(
+        m == 1, '{"proposed_concepts": ["A"]}').when(
+        m == 2, '```json\n{"proposed_concepts": [], "prerequisite_concepts": []\n```').otherwise("none").alias("raw")).unionByName(
+        clean.select(E.prompt_key(describe, F.lit(E.USER_DESCRIPTION)).alias("prompt_key"), F.when(
+            m == 0, '{"description": "  two\\n words"}').when(m == 1, '<think>{"description": 1}</think>{"description": "done!"}').when(
+            m == 2, '{"description": ""}').otherwise('{"description": null}').alias("raw"))).dropDuplicates(["prompt_key"])
+    out = E.add_concepts(E.add_description(papers, responses=answers), responses=answers)
+    return out.select(F.col("pos").alias("p_partkey"), F.array_join("proposed_concepts", "|").alias("proposed"),
+                      F.array_join("prerequisite_concepts", "|").alias("prerequisite"), "kc_ok", "description", "desc_ok")
+
+
+# --------------------------------------------------------------------------
+# Ranked prerequisites of articles among their links
+# --------------------------------------------------------------------------
+@query("article_prerequisites", f"""
+WITH a AS (SELECT page_id AS pos, {S.title_from_url('url')} AS title, len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS n FROM pages),
+ok AS (SELECT pos, title FROM a WHERE n > 0 AND pos % 5 <> 0 AND length(title) % 3 = 0)
+SELECT pos, title, 1 AS rank, 'T' AS prerequisite_topic, '' AS rationale FROM ok
+UNION ALL SELECT pos, title, 2, 'U', 'why' FROM ok UNION ALL SELECT pos, title, 0, '', 'no topic' FROM ok
+""")
+def article_prerequisites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth article has no list of links; the model's answers depend on the title."""
+    hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), 1)
+    articles = Tables(spark, sf_dir).pages.select(
+        F.col("page_id").alias("pos"), X.title_from_url("url").alias("title"),
+        F.when(F.col("page_id") % 5 == 0, "none").otherwise(F.concat(
+            F.lit("["), F.array_join(F.transform(hrefs, lambda h: F.concat(F.lit("'"), h, F.lit("'"))), ", "), F.lit("]"))).alias("links"))
+    user = E.render(E.ARTICLE_USER, {"INPUT_TITLE": F.col("title"), "INPUT_LINKS": L.quoted_list(L.literal_or_empty("links"))})
+    m = F.length("title") % 3
+    answers = articles.select(E.prompt_key(F.lit(E.ARTICLE_SYSTEM), user).alias("prompt_key"), F.when(
+        m == 0, 'Here:\n```json\n{"prerequisites": [{"rank": 1, "topic": "T"}, {"topic": "U", "rationale": "why", "rank": 2.0}, '
+                '"odd", {"rationale": "no topic"}]}\n```').when(m == 1, "nothing").otherwise('{"prerequisites": []}').alias("raw"))
+    _, flat = E.article_prerequisites(articles, responses=answers.dropDuplicates(["prompt_key"]))
+    return flat.select("pos", "title", "rank", "prerequisite_topic", "rationale")
+
+
+# --------------------------------------------------------------------------
+# Reference edges scored with seed and reference context
+# --------------------------------------------------------------------------
+@query("reference_scores", """
+WITH r AS (SELECT CAST(o_custkey AS VARCHAR) AS seed, 'n' || (o_orderkey % 7) AS ref, o_orderkey AS pos, o_orderkey % 2 = 0 AS inf FROM orders),
+f AS (SELECT seed, ref, arg_min(inf, pos) AS inf FROM r GROUP BY ALL)
+SELECT 'REF_BY' AS name, ref AS ref_paper_id, seed AS seed_paper_id, inf AS "isInfluential",
+       CASE length(seed) % 3 WHEN 0 THEN 1.0 WHEN 1 THEN 0.25 END AS strength, length(seed) % 3 <> 2 AS edge_ok FROM f
+""")
+def reference_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeds come twice, and the last row is the one in the prompt; all five contexts are."""
+    t = Tables(spark, sf_dir)
+    c = t.customer.select(F.col("c_custkey").alias("paperId"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("abstract"),
+                          F.col("c_custkey").cast("bigint").alias("pos"))
+    seeds = c.unionByName(c.withColumn("title", F.concat("title", F.lit(" v2"))).withColumn("pos", F.col("pos") + 10 ** 12))
+    contexts = F.transform(F.sequence(F.lit(1), F.lit(5)), lambda i: F.concat(F.lit("context "), i.cast("string")))
+    ref = F.concat(F.lit("n"), (F.col("o_orderkey") % 7).cast("string"))
+    refs = t.orders.select(F.col("o_custkey").alias("seed_paper_id"), ref.alias("ref_paper_id"), F.concat(F.lit("title "), ref).alias("title"),
+                           F.concat(F.lit("about "), ref).alias("abstract"), F.array(F.lit("method")).alias("intents"),
+                           (F.col("o_orderkey") % 2 == 0).alias("isInfluential"), contexts.alias("contexts"), F.col("o_orderkey").alias("pos"))
+    first = refs.groupBy(F.col("seed_paper_id").cast("string").alias("s"), "ref_paper_id").agg(
+        F.min_by("isInfluential", "pos").alias("inf"), F.any_value("title").alias("rt"), F.any_value("abstract").alias("ra"))
+    ctx = c.select(F.col("paperId").cast("string").alias("p"), F.concat("title", F.lit(" v2")).alias("st"), F.col("abstract").alias("sa"))
+    system = E.render(E.REF_EDGE_TEMPLATE, {
+        "TARGET_TITLE": F.col("st"), "TARGET_ABSTRACT": F.col("sa"), "REF_TITLE": F.col("rt"), "REF_ABSTRACT": F.col("ra"),
+        "INTENTS": F.lit('["method"]'), "IS_INF": F.when(F.col("inf"), "True").otherwise("False"),
+        "CONTEXTS": F.lit('["context 1","context 2","context 3","context 4","context 5"]')})
+    m = F.length("s") % 3
+    answers = first.join(ctx, F.col("s") == F.col("p")).select(
+        E.prompt_key(system, F.lit(E.USER_RAW_JSON)).alias("prompt_key"),
+        F.when(m == 0, '{"strength": 7}').when(m == 1, '{"strength": 0.25}').otherwise('{"strength": "0.5"}').alias("raw"))
+    scored = E.score_ref_edges(refs, seeds, responses=answers.dropDuplicates(["prompt_key"]))
+    return P.finalize_ref_by_edges(scored).select("name", "ref_paper_id", "seed_paper_id", "isInfluential", "strength", "edge_ok")
+
+
+# --------------------------------------------------------------------------
+# Papers upserted by title, blanks set aside, ids lost to a title
+# --------------------------------------------------------------------------
+@query("paper_upsert", """
+WITH r AS (SELECT 'p' || p_partkey AS id, CASE WHEN p_partkey % 50 = 0 THEN ' ' WHEN p_partkey % 51 = 0 THEN NULL ELSE p_name END AS title,
+                  p_partkey AS pos, p_brand AS publication FROM part),
+k AS (SELECT title, arg_max(id, pos) AS id, arg_max(publication, pos) AS publication FROM r WHERE trim(title) <> '' GROUP BY title)
+SELECT 'node' AS kind, title AS name, id, publication FROM k
+UNION ALL SELECT 'blank', title, id, publication FROM r WHERE title IS NULL OR trim(title) = ''
+UNION ALL SELECT 'collapsed', r.title, r.id, NULL FROM r JOIN k ON r.title = k.title WHERE r.id <> k.id
+""")
+def paper_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from noema.plans.graph_build import collapsed_paper_ids, upsert_papers
+    k = F.col("p_partkey")
+    rows = Tables(spark, sf_dir).part.select(
+        F.concat(F.lit("p"), "p_partkey").alias("paperId"), F.when(k % 50 == 0, " ").when(k % 51 == 0, None).otherwise(F.col("p_name")).alias("title"),
+        k.alias("pos"), F.col("p_brand").alias("publication"), F.lit("[]").alias("categories"))
+    nodes, blank = upsert_papers(rows)
+    out = lambda df, kind, pub=True: df.select(F.lit(kind).alias("kind"), "name", F.col("paperId").alias("id"),
+                                               (F.col("publication") if pub else F.lit(None).cast("string")).alias("publication"))
+    return out(nodes, "node").unionByName(out(blank, "blank")).unionByName(out(collapsed_paper_ids(rows, nodes), "collapsed", False))
