@@ -24,10 +24,6 @@ def drop_null(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(subset))
 
 
-def only_null(df: DataFrame, col: str) -> DataFrame:
-    """P5: keep rows null in ``col``."""
-    return df.where(F.col(col).isNull())
-
 
 def repair_values(df: DataFrame, mapping: dict[str, str], cols: Sequence[str]) -> DataFrame:
     """Whole-value replacement by a repair map."""
@@ -45,10 +41,6 @@ def rejected(df: DataFrame, ok: str, cols: Sequence[str], order: Sequence[str],
     return out.select(*sel, *[c for c in order if c not in cols]).orderBy(*order).limit(n)
 
 
-def sorted_table(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """O1: multi-key ascending sort (range-partitioned, distributed)."""
-    return df.orderBy(*keys)
-
 
 def sorted_distinct(df: DataFrame, col: str) -> DataFrame:
     """O2: sorted distinct values (binary UTF-8 order = code-point order)."""

@@ -1,18 +1,13 @@
-"""Set operators: U1/U2 unions, U3/U4 intersections, U5 difference, U6 distinct."""
+"""Set operators: U3 / U4 intersections.  Unions (U1, U2), differences (U5) and distinct
+rows (U6) are Spark's own ``unionByName``, anti joins and ``distinct``."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, functions as F
 
 from noema.functions.text import strip
 
 
-def union_by_name(a: DataFrame, b: DataFrame, allow_missing: bool = True) -> DataFrame:
-    """Union all by column name; missing columns become null."""
-    return a.unionByName(b, allowMissingColumns=allow_missing)
-
 
 def intersect_names(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
     """Stripped non-null values present on both sides (distinct)."""
@@ -29,13 +24,3 @@ def intersect_pairs(a: DataFrame, b: DataFrame, c1: str, c2: str) -> DataFrame:
         return d.select(strip(F.col(c1)).alias(c1),
                         (strip(F.col(c2)) if dict(d.dtypes)[c2] == "string" else F.col(c2)).alias(c2))
     return side(a).intersect(side(b))
-
-
-def difference(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Distinct rows of ``a`` (on ``cols``) absent from ``b``."""
-    return a.select(*cols).distinct().join(b.select(*cols), list(cols), "left_anti")
-
-
-def distinct_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Distinct rows (or distinct values of ``cols``)."""
-    return (df.select(*cols) if cols else df).distinct()

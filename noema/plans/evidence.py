@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from noema.functions import lists as L, text as X
-from noema.functions.predicates import non_blank, not_self_loop
+from noema.functions.predicates import non_blank, not_self_loop, truthy_items
 from noema.operators import aggregates as A, categories as C, columns as O, enrich as E, graph as G, joins as J, rows as R
 from noema.plans import _sql as S, kc_datasets as K, papers as P
 from noema.plans.catalog import query
@@ -497,3 +497,24 @@ def paper_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lambda df, kind, pub=True: df.select(F.lit(kind).alias("kind"), "name", F.col("paperId").alias("id"),
                                                (F.col("publication") if pub else F.lit(None).cast("string")).alias("publication"))
     return out(nodes, "node").unionByName(out(blank, "blank")).unionByName(out(collapsed_paper_ids(rows, nodes), "collapsed", False))
+
+
+# --------------------------------------------------------------------------
+# P9 listings, O2, O3, P12: sorted damaged and non-ASCII values, first rows
+# --------------------------------------------------------------------------
+@query("listings", """
+WITH d AS (SELECT doc_id, source || CASE doc_id % 3 WHEN 0 THEN chr(65533) WHEN 1 THEN 'é' ELSE '' END AS v FROM documents)
+SELECT DISTINCT 'damaged' AS kind, v, NULL::BIGINT AS doc_id FROM d WHERE contains(v, chr(65533))
+UNION ALL SELECT DISTINCT 'non_ascii', v, NULL FROM d WHERE regexp_matches(v, '[^\x00-\x7F]')
+UNION ALL SELECT DISTINCT 'value', v, NULL FROM d
+UNION ALL SELECT * FROM (SELECT 'head', v, doc_id FROM d ORDER BY v, doc_id LIMIT 5)
+""")
+def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("doc_id")
+    tail = F.array_join(truthy_items(F.array(F.when(k % 3 == 0, "�").when(k % 3 == 1, "é"), F.lit(""))), "")
+    d = Tables(spark, sf_dir).documents.select("doc_id", F.concat("source", tail).alias("v"))
+    out = lambda df, kind, doc: df.select(F.lit(kind).alias("kind"), "v", doc.cast("bigint").alias("doc_id"))
+    none = F.lit(None)
+    return (out(K.bad_values(d, "v"), "damaged", none).unionByName(out(K.non_ascii_values(d, "v"), "non_ascii", none))
+            .unionByName(out(O.sorted_distinct(d, "v"), "value", none))
+            .unionByName(out(O.sample_rows(d, ["v", "doc_id"], 5), "head", F.col("doc_id"))))

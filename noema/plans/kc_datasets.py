@@ -97,10 +97,6 @@ def duplicate_report(nodes_a: DataFrame, nodes_b: DataFrame, edges_a: DataFrame,
             U.intersect_pairs(edges_a, edges_b, "name", "prereq_name").orderBy("name", "prereq_name"))
 
 
-def first_node_per_name(nodes: DataFrame) -> DataFrame:
-    """W2 helper for callers that carry ``pos``."""
-    return first_per_key(nodes, ["name"], ["pos"])
-
 
 @dataclass
 class EnrichedDataset:

@@ -114,7 +114,3 @@ def write_graph_snapshot(tables: dict[str, DataFrame], root: str) -> None:
 
 def read_graph_snapshot(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in names}
-
-
-def name_link_col(c: str) -> F.Column:
-    return X.name_link(c)
