@@ -35,7 +35,7 @@ from noema.llm.store import columns, table, with_row_order
 
 SHINGLE, THRESHOLD, TREES, DEPTH, RECALL = 5, 0.8, 24, 10, 0.999
 BLOCK_ROWS, BLOCK_BYTES = 1024, 8 << 20
-_COLUMNS = 4096  # shingles counted at once
+_COLUMNS = 2048  # shingles counted at once
 
 
 def matched_depth(threshold: float, trees: int, depth: int, recall: float) -> int:
@@ -92,11 +92,10 @@ def _signatures(k: int, trees: int, depth: int):
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     z = zstandard.ZstdCompressor(level=1)
     for b in batches:
-        data, offsets = T.utf8(b.column("text"))
-        raw = data.tobytes()
-        yield pa.RecordBatch.from_arrays(
-            [b.column("rid"), pa.array([z.compress(raw[i:j]) for i, j in zip(offsets[:-1], offsets[1:])], pa.binary())],
-            ["rid", "packed"])
+        for lo, hi, data, offsets in T.runs(b.column("text")):
+            packed = [z.compress(data[i:j]) for i, j in zip(offsets[:-1], offsets[1:])]
+            yield pa.RecordBatch.from_arrays([b.column("rid").slice(lo, hi - lo), pa.array(packed, pa.binary())],
+                                             ["rid", "packed"])
 
 
 def _common(doc: np.ndarray, ids: np.ndarray, n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:

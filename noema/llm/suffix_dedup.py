@@ -43,7 +43,6 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StringType
 
 from noema.llm import textcore as T
 from noema.llm.store import schema, table, with_row_order
@@ -147,12 +146,12 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts compressed for the shuffle."""
     z = zstandard.ZstdCompressor(level=1)
     for b in batches:
-        data, offsets = T.utf8(b.column("text"))
-        raw = data.tobytes()
-        packed = [z.compress(raw[i:j]) for i, j in zip(offsets[:-1], offsets[1:])]
         extra = [c for c in b.schema.names if c == "extra"]
-        yield pa.RecordBatch.from_arrays([b.column("rid"), pa.array(packed, pa.binary()), *map(b.column, extra)],
-                                         ["rid", "packed", *extra])
+        for lo, hi, data, offsets in T.runs(b.column("text")):
+            packed = [z.compress(data[i:j]) for i, j in zip(offsets[:-1], offsets[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("rid").slice(lo, hi - lo), pa.array(packed, pa.binary()),
+                 *(b.column(c).slice(lo, hi - lo) for c in extra)], ["rid", "packed", *extra])
 
 
 def _unpack(cells: pa.Array) -> Iterator[tuple[int, bytes]]:
@@ -290,7 +289,7 @@ def _compare(length: int):
         for b in batches:
             held.append(b)
             size += b.num_rows
-            if size < 20000:
+            if size < 6000:
                 continue
             t = pa.Table.from_batches(held)
             core = t["core"].to_numpy()
@@ -307,9 +306,9 @@ def _compare(length: int):
     return run
 
 
-def _apply(length: int):
+def _apply(length: int, as_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (b.slice(lo, 256) for b in batches for lo in range(0, b.num_rows, 256)):
             kept, n_bytes, n_removed, n_spans = [], [], [], []
             gone = b.column("gone")
             for i, text in _unpack(b.column("packed")):
@@ -329,9 +328,12 @@ def _apply(length: int):
                 n_removed.append(int((~keep).sum()))
                 n_spans.append(int((~keep[:1]).sum() + (keep[:-1] & ~keep[1:]).sum()))
             extra = [c for c in b.schema.names if c == "extra"]
+            # as text, what is left of a character that was cut apart is dropped
+            body = pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if as_text \
+                else pa.array(kept, pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [b.column("rid"), pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()),
-                 pa.array(n_spans, pa.int64()), pa.array(kept, pa.binary()), *map(b.column, extra)],
+                 pa.array(n_spans, pa.int64()), body, *map(b.column, extra)],
                 ["rid", "n_bytes", "n_removed", "n_spans", "kept", *extra])
     return run
 
@@ -364,7 +366,8 @@ def _found(rows: DataFrame, known: DataFrame, length: int) -> DataFrame:
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     length: int = 100, bucket_rows: int = BUCKET_ROWS, carry: Sequence[str] = ()) -> DataFrame:
+                     length: int = 100, bucket_rows: int = BUCKET_ROWS, carry: Sequence[str] = (),
+                     as_text: bool = False) -> DataFrame:
     """One row per row of ``docs``: id (under its own name), n_bytes, n_removed,
     n_spans and ``kept`` (binary: the bytes that stay).
 
@@ -372,7 +375,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     null id comes last.  Texts shorter than ``length`` are never touched.  An
     empty table gives an empty result.  ``bucket_rows`` only chooses how a refined
     bucket is compared, never what is compared.  Other columns are ignored, but for
-    those named in ``carry``, which come back as a struct ``extra``.
+    those named in ``carry``, which come back as a struct ``extra``.  With ``as_text``,
+    ``kept`` is a string without the rests of characters that were cut apart.
     """
     if length % 4 or length < 16:
         raise ValueError("length must be a multiple of 4, at least 16")
@@ -408,7 +412,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         level = table(told.where("not again and u < v").drop("again").mapInArrow(_halves(length), _CONTEXT_SQL), "contexts")
     spans = spans.groupBy("rid").agg(F.collect_list("gone").alias("gone"))
     out = packed.join(spans, "rid", "left").mapInArrow(
-        _apply(length), schema("rid bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary", **extra))
+        _apply(length, as_text), schema("rid bigint, n_bytes bigint, n_removed bigint, n_spans bigint, "
+                                        f"kept {'string' if as_text else 'binary'}", **extra))
     result = ["n_bytes", "n_removed", "n_spans", "kept", *(["extra"] if carry else [])]
     if index is None:
         return out.select(F.col("rid").cast(dict(source.dtypes)["id"]).alias(id_col), *result)
@@ -419,12 +424,6 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return keyed.join(per_key, on).select(F.col("row_id").alias(id_col), *result)
 
 
-@F.arrow_udf(StringType())
-def as_text(kept: pa.Array) -> pa.Array:
-    """Kept bytes as text; what is left of a character cut apart is dropped."""
-    return pa.array([None if x is None else x.decode("utf-8", "ignore") for x in kept.to_pylist()], pa.string())
-
-
 def op10(spark, sf_dir: str) -> DataFrame:
     """Contract query: whole ``documents``, 100-byte strings."""
     out = dedup_substrings(spark.read.parquet(f"{sf_dir}/documents.parquet"))

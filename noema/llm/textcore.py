@@ -2,7 +2,7 @@
 
 They work on one Arrow string column at a time, viewed as a single UTF-8 buffer
 with document offsets, so every step is a numpy operation over many documents.
-A column is cut into runs of whole documents of about ``CHUNK`` bytes; that
+A column is cut into runs of whole documents of about ``CHUNK`` bytes (256 KB); that
 bounds the memory of a task (a single longer document is one run).  Whole texts
 are always processed.
 
@@ -19,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 _GOLD = 0x9E3779B97F4A7C15
 _M1 = 0xBF58476D1CE4E5B9
