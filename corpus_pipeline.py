@@ -37,8 +37,8 @@ def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     empty text stays as it is."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     marked = docs.withColumn("_null", F.col("text").isNull())
-    out = suffix_dedup.dedup_substrings(marked, carry=[*others, "_null"])
-    text = F.when(F.col("extra._null"), F.lit(None)).otherwise(suffix_dedup.as_text(F.col("kept")))
+    out = suffix_dedup.dedup_substrings(marked, carry=[*others, "_null"], as_text=True)
+    text = F.when(F.col("extra._null"), F.lit(None)).otherwise(F.col("kept"))
     out = out.select("doc_id", "extra", "n_bytes", text.alias("text"))
     out = out.where((F.col("n_bytes") == 0) | (F.length("text") > 0))
     new = {"doc_id": F.col("doc_id"), "text": F.col("text")}
