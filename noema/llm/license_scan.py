@@ -14,9 +14,11 @@ A template is the set of its words.  A text block matches when it holds at least
 * what remains is verified by counting the common words.
 
 A block is a line of a text; a line of over ``block_words`` words is cut into
-blocks of that many words, which overlap by half.  Every template must fit half a
-block.  Nothing is shuffled but the word counts: templates are a parameter of the
-call, so what each task gets of them does not grow with the data.
+blocks of that many words, which overlap by half.  Notices are often wrapped, so the
+words of the whole document, whatever its line ends, are cut into windows in the same
+way and matched too.  Every template must fit half a block.  Nothing is shuffled but
+the word counts: templates are a parameter of the call, so what each task gets of them
+does not grow with the data.
 """
 
 from __future__ import annotations
@@ -56,6 +58,7 @@ TEMPLATES = [
 
 THRESHOLD = 0.8
 BLOCK_WORDS = 64
+FOUND = "array<struct<kind:string,label:string,first:bigint,last:bigint,containment:double>>"
 
 
 def _ids(text: str) -> np.ndarray:
@@ -87,17 +90,21 @@ def _count_rows(vocab: np.ndarray):
     return run
 
 
-def _blocks(w: T.Words, data: np.ndarray, at: np.ndarray, block_words: int):
-    """(block key, first word, last word, index into ``at``) for the words at ``at``.
+def _lines(w: T.Words, data: np.ndarray) -> np.ndarray:
+    """Line of the run of each word."""
+    return np.cumsum(np.concatenate([[0], data == 10]))[w.start] if len(w.start) else np.zeros(0, np.int64)
 
-    The key is the number of the line's first word, times blocks per line."""
+
+def _blocks(w: T.Words, unit: np.ndarray, at: np.ndarray, block_words: int):
+    """(first word, last word + 1, index into ``at``) of the blocks of the words at ``at``.
+
+    ``unit`` is the line of each word, or its document; blocks never cross it."""
     half = block_words // 2
-    line = np.cumsum(np.concatenate([[0], data == 10]))[w.start] if len(w.start) else np.zeros(0, np.int64)
-    new = np.ones(len(line), bool)
-    new[1:] = (line[1:] != line[:-1]) | (w.doc[1:] != w.doc[:-1])
+    new = np.ones(len(unit), bool)
+    new[1:] = (unit[1:] != unit[:-1]) | (w.doc[1:] != w.doc[:-1])
     head = np.flatnonzero(new)
     of = np.cumsum(new) - 1
-    size = np.diff(np.append(head, len(line)))
+    size = np.diff(np.append(head, len(unit)))
     first, n = head[of[at]], size[of[at]]
     k = (at - first) // half            # block k has words k * half .. k * half + block_words - 1
     last_block = np.maximum(0, -(-(n - block_words) // half))
@@ -177,15 +184,36 @@ class _Index:
         return start[row][ok], stop[row][ok], template[ok], common[ok]
 
 
+def _cells(docs: int, doc, kind, label, first, last, part) -> pa.ListArray:
+    """One list of (kind, label, first, last, containment) for each document."""
+    order = np.lexsort((label, first, kind, doc)) if len(doc) else np.zeros(0, np.int64)
+    cut = np.searchsorted(doc[order], np.arange(docs + 1)).astype(np.int32)
+    cells = pa.StructArray.from_arrays(
+        [pa.array(kind[order], pa.string()), pa.array(label[order], pa.string()),
+         pa.array(first[order], pa.int64()), pa.array(last[order], pa.int64()),
+         pa.array(part[order], pa.float64())], ["kind", "label", "first", "last", "containment"])
+    return pa.ListArray.from_arrays(pa.array(cut), cells)
+
+
 def _scan(index: _Index, phrases: Sequence[tuple[str, str]], block_words: int):
     known = [(_ids(p), label) for p, label in phrases]
 
+    def matched(w: T.Words, unit: np.ndarray, name: str):
+        """(doc, kind, label, first, last, containment) of the units' matching blocks."""
+        at = _lookup(index.vocab, w.id)
+        hit = np.flatnonzero(at >= 0)
+        start, stop, idx = _blocks(w, unit, hit, block_words)
+        s, e, template, common = index.match(start, stop, index.rank[at[hit[idx]]])
+        base = w.first[w.doc[s]]
+        return (w.doc[s], np.array([name] * len(s), object), np.array([index.labels[t] for t in template], object),
+                s - base, e - 1 - base, common / index.size[template] if len(s) else np.zeros(0))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, data, offsets in T.runs(b.column("text")):
                 w = T.words(data, offsets)
                 docs = hi - lo
-                doc, first, label, kind, last, part = [], [], [], [], [], []
+                found = [matched(w, _lines(w, data), "block")]
                 for ids, name in known:
                     k = len(ids)
                     if not k or len(w.id) < k:
@@ -195,33 +223,13 @@ def _scan(index: _Index, phrases: Sequence[tuple[str, str]], block_words: int):
                         same &= w.id[t:len(w.id) - k + 1 + t] == ids[t]
                     s = np.flatnonzero(same)
                     s = s[s + k <= w.first[w.doc[s] + 1]]
-                    doc.append(w.doc[s])
-                    first.append(s - w.first[w.doc[s]])
-                    last.append(s - w.first[w.doc[s]] + k - 1)
-                    label += [name] * len(s)
-                    kind += ["phrase"] * len(s)
-                    part.append(np.ones(len(s)))
-                at = _lookup(index.vocab, w.id)
-                hit = np.flatnonzero(at >= 0)
-                start, stop, idx = _blocks(w, data, hit, block_words)
-                s, e, template, common = index.match(start, stop, index.rank[at[hit[idx]]])
-                doc.append(w.doc[s])
-                first.append(s - w.first[w.doc[s]])
-                last.append(e - 1 - w.first[w.doc[s]])
-                label += [index.labels[t] for t in template]
-                kind += ["block"] * len(s)
-                part.append(common / index.size[template] if len(s) else np.zeros(0))
-                doc, first, last, part = (np.concatenate(x) for x in (doc, first, last, part))
-                label, kind = np.array(label, object), np.array(kind, object)
-                order = np.lexsort((label, first, kind, doc)) if len(doc) else np.zeros(0, np.int64)
-                cut = np.searchsorted(doc[order], np.arange(docs + 1)).astype(np.int32)
-                cells = pa.StructArray.from_arrays(
-                    [pa.array(kind[order], pa.string()), pa.array(label[order], pa.string()),
-                     pa.array(first[order], pa.int64()), pa.array(last[order], pa.int64()),
-                     pa.array(part[order], pa.float64())], ["kind", "label", "first", "last", "containment"])
+                    at = s - w.first[w.doc[s]]
+                    found.append((w.doc[s], np.array(["phrase"] * len(s), object), np.array([name] * len(s), object),
+                                  at, at + k - 1, np.ones(len(s))))
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id").slice(lo, docs), pa.array(w.counts().astype(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(cut), cells)], ["id", "n_words", "found"])
+                     _cells(docs, *(np.concatenate(x) for x in zip(*found))),
+                     _cells(docs, *matched(w, w.doc, "window"))], ["id", "n_words", "found", "windows"])
     return run
 
 
@@ -230,7 +238,9 @@ def scan_licenses(docs: DataFrame, phrases: Sequence[tuple[str, str]] = PHRASES,
                   block_words: int = BLOCK_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: its id, n_words and ``found``, an array of (kind, label,
     first, last, containment): every place of a phrase (kind ``phrase``) and every
-    block that meets a template's threshold (kind ``block``), with word numbers.
+    block that meets a template's threshold (kind ``block``), with word numbers;
+    and ``windows``, the same of the windows of the whole document (kind ``window``),
+    in which a notice wrapped over several lines is found.
 
     Null and empty texts have no words and nothing found.  Repeated rows and ids
     are scanned each on their own; null ids stay null.  Empty tables give empty
@@ -248,23 +258,23 @@ def scan_licenses(docs: DataFrame, phrases: Sequence[tuple[str, str]] = PHRASES,
     index = _Index(templates, counts, threshold)
     out = source.mapInArrow(
         _scan(index, phrases, block_words),
-        f"id {id_type}, n_words bigint, "
-        "found array<struct<kind:string,label:string,first:bigint,last:bigint,containment:double>>")
+        f"id {id_type}, n_words bigint, found {FOUND}, windows {FOUND}")
     return out.withColumnRenamed("id", id_col)
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
     """Contract query: whole ``documents``; score 1 with a phrase, else the largest
-    containment of a matching block, else 0."""
+    containment of a matching block or window, else 0."""
     out = scan_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     base = F.filter("found", lambda x: x["kind"] == "phrase")
+    both = F.concat("found", "windows")
     text = lambda xs: F.array_join(F.array_sort(F.array_distinct(F.transform(xs, lambda x: x["label"]))), ",")
     starts = F.transform("base", lambda x: x["first"])
     return out.withColumn("base", base).select(
         "doc_id", "n_words", F.size("base").cast("bigint").alias("n_base"),
         F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
-        text(F.col("base")).alias("base_labels"), text(F.col("found")).alias("labels"),
-        F.coalesce(F.array_max(F.transform("found", lambda x: x["containment"])), F.lit(0.0)).alias("score"))
+        text(F.col("base")).alias("base_labels"), text(both).alias("labels"),
+        F.coalesce(F.array_max(F.transform(both, lambda x: x["containment"])), F.lit(0.0)).alias("score"))
 
 
 def op9_sql() -> str:

@@ -60,6 +60,41 @@ def test_same_as_brute_force(spark, threshold):
     assert got == brute_force(docs, threshold)
 
 
+def brute_windows(text, threshold, block=64):
+    """Windows of the whole document: those of its words in one line."""
+    out = []
+    for s, b in brute_blocks(" ".join(brute.words(text)), block):
+        for t, label in L.TEMPLATES:
+            want = set(brute.words(t))
+            c = len(want & set(b))
+            if c >= math.ceil(threshold * len(want) - 1e-9):
+                out.append(("window", label, s, s + len(b) - 1, round(c / len(want), 9)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("threshold", [0.8, 0.5])
+def test_windows_same_as_brute_force(spark, threshold):
+    docs = corpus() + [(1000 + i, "\n".join(t.split())) for i, (t, _) in enumerate(L.TEMPLATES)]
+    docs += [(2000 + i, "\n".join(["x"] * n + t.split() + ["y"] * 80)) for n in (40, 63, 64, 130)
+             for i, (t, _) in enumerate(L.TEMPLATES)]
+    got = sorted(((r.doc_id, sorted((*tuple(x)[:4], round(x[4], 9)) for x in r.windows))
+                  for r in L.scan_licenses(spark.createDataFrame(docs, DOCS), threshold=threshold).collect()), key=repr)
+    assert got == sorted(((k, brute_windows(t, threshold)) for k, t in docs), key=repr)
+
+
+def test_wrapped_notices_are_found(spark, tmp_path):
+    gpl = ("This program is free software: you can redistribute it and/or modify\n"
+           "it under the terms of the GNU General Public License as published by\n")
+    bsd = ("Redistribution and use in source and binary forms, with or without\n"
+           "modification, are permitted provided that the following conditions\n")
+    docs = [(1, gpl), (2, bsd), (3, "a b\n" * 50 + gpl.replace("\n", "\n * ") + "c d\n" * 50), (4, "rain\nand sun\n"),
+            (5, "Redistribution and use in source\n" + "a\n" * 100 + "and binary forms, with or without modification\n")]
+    spark.createDataFrame(docs, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.labels, r.score) for r in L.op9(spark, str(tmp_path)).collect()}
+    assert "gpl" in got[1][0].split(",") and "gpl" in got[3][0].split(",") and got[1][1] == got[3][1] == 1.0
+    assert got[2] == ("bsd", 1.0) and got[4] == got[5] == ("", 0.0)
+
+
 def test_empty_table_and_long_template(spark):
     assert L.scan_licenses(spark.createDataFrame([], DOCS)).collect() == []
     with pytest.raises(ValueError):
