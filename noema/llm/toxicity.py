@@ -2,8 +2,8 @@
 
 Features are the presence of words, word beginnings (4 to 8 bytes) and 5-grams
 inside words, by 64-bit name.  The most telling ``features`` of them (by the G
-statistic against the label) are chosen on a sample of labelled rows, and a
-logistic model is fitted with the loss
+statistic against the label) are chosen by counts over all labelled rows, and a
+logistic model is fitted on a sample of them with the loss
 
     log loss + l2 * |w|^2 + cf * mean (logit(x) - logit(x'))^2
 
@@ -11,9 +11,11 @@ where x' is the labelled text with its identity terms swapped for other terms of
 their group.  A model that scores a text by who is mentioned pays for it, so
 neutral mentions stop being evidence.
 
-The sample is bounded by ``sample_rows`` rows for each label, those with the
-smallest hash of their id.  Its ids are the only thing that is broadcast, and the
-driver receives chosen feature numbers of the sample's rows, not texts.  Scoring
+The sample is bounded by ``sample_rows`` ids for each label, those with the
+smallest hash.  Its rows are weighted by the number of labelled rows they stand for,
+so scores do not drift with the size of the input.  Its ids are the only thing that
+is broadcast by hint, and the driver receives chosen feature numbers of the sample's
+rows, not texts.  Scoring
 runs over whole texts with a weight table of ``features`` entries.
 """
 
@@ -147,19 +149,23 @@ class _Rows:
 
 
 def fit_logistic(x: Sequence[Sequence[int]], y: np.ndarray, cf: Sequence[Sequence[int] | None], width: int,
-                 cf_weight: float = CF, l2: float = L2, steps: int = 400) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise the loss above, by Adam on all rows."""
+                 cf_weight: float = CF, l2: float = L2, steps: int = 400,
+                 counts: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Weights and bias that minimise the loss above, by Adam on all rows; a row
+    counts as often as ``counts`` says (once without it)."""
     rows = _Rows(x, width)
+    counts = np.ones(rows.n) if counts is None else counts
     pairs = [(a, b) for a, b in zip(x, cf) if b is not None]
     one, two = _Rows([a for a, _ in pairs], width), _Rows([b for _, b in pairs], width)
+    paired = counts[[b is not None for b in cf]]
     w, bias = np.zeros(width), 0.0
     m, v = np.zeros(width + 1), np.zeros(width + 1)
     for t in range(1, steps + 1):
         p = 1 / (1 + np.exp(-np.clip(rows.dot(w) + bias, -50, 50)))
-        err = (p - y) / max(1, rows.n)
+        err = (p - y) * counts / max(1, counts.sum())
         grad = rows.t_dot(err) + 2 * l2 * w / max(1, rows.n) ** 0.5
         if pairs:
-            gap = (one.dot(w) - two.dot(w)) * 2 * cf_weight / len(pairs)
+            gap = (one.dot(w) - two.dot(w)) * paired * 2 * cf_weight / paired.sum()
             grad += one.t_dot(gap) - two.t_dot(gap)
         g = np.append(grad, err.sum())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
@@ -212,17 +218,20 @@ def train(docs: DataFrame, labels: DataFrame, groups: Sequence[Sequence[str]] =
     """
     known = columns(labels, id=id_col, toxic=label_col).where("id is not null and toxic is not null")
     known = known.where(~held_out("id")).groupBy("id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    picks = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("id"), "id").limit(sample_rows) for y in (1, 0)]
-    ids = table(picks[0].unionAll(picks[1]), "toxicity-ids")  # at most 2 * sample_rows rows
     text = columns(docs, id=id_col, text=text_col).where("text is not null")
-    sample = table(text.join(F.broadcast(ids), "id").select("toxic", "text"), "toxicity-sample")
-    size = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    # merge: the same plan, and disk in proportion, at every size of the labels
+    learned = table(text.join(known.hint("merge"), "id").select("id", "toxic", "text"), "toxicity-learned")
+    size = {r.toxic: r["count"] for r in learned.groupBy("toxic").count().collect()}
     n_pos, n_neg = size.get(1, 0), size.get(0, 0)
     if not n_pos or not n_neg:
         share = n_pos / (n_pos + n_neg) if n_pos + n_neg else 0.5
         share = min(max(share, 1e-6), 1 - 1e-6)
         return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), float(np.log(share / (1 - share))))
-    counts = sample.mapInArrow(_counts, "name bigint, pos bigint, neg bigint").groupBy("name").agg(
+    have = learned.select("id", "toxic").distinct()
+    picks = [have.where(F.col("toxic") == y).orderBy(F.xxhash64("id"), "id").limit(sample_rows) for y in (1, 0)]
+    ids = table(picks[0].unionAll(picks[1]).select("id"), "toxicity-ids")  # at most 2 * sample_rows rows
+    sample = learned.join(F.broadcast(ids), "id").select("toxic", "text")
+    counts = learned.select("toxic", "text").mapInArrow(_counts, "name bigint, pos bigint, neg bigint").groupBy("name").agg(
         F.sum("pos").alias("a"), F.sum("neg").alias("b"))
     a, b, p, n = F.col("a"), F.col("b"), F.lit(float(n_pos)), F.lit(float(n_neg))
     share = (a + b) / (p + n)
@@ -233,7 +242,9 @@ def train(docs: DataFrame, labels: DataFrame, groups: Sequence[Sequence[str]] =
     rows = sample.mapInArrow(_encode(names, groups), "toxic int, x array<int>, cf array<int>") \
         .orderBy("toxic", "x", "cf").collect()  # numbers of chosen features of the bounded sample
     y = np.array([r.toxic for r in rows], float)
-    weights, bias = fit_logistic([r.x for r in rows], y, [r.cf for r in rows], len(names), cf_weight, l2)
+    stands_for = np.where(y > 0, n_pos / max(1, y.sum()), n_neg / max(1, (1 - y).sum()))
+    weights, bias = fit_logistic([r.x for r in rows], y, [r.cf for r in rows], len(names), cf_weight, l2,
+                                 counts=stands_for)
     return ToxicityModel(names, weights, bias)
 
 

@@ -70,6 +70,26 @@ def test_no_labels_and_empty_tables(spark):
     assert X.train(none_d, none_l).score(none_d).collect() == []
 
 
+def test_capped_sample_keeps_the_share_of_toxic_rows(spark):
+    ids = [i for i in range(800) if zlib.crc32(str(i).encode()) % 4 != 2][:400]
+    docs = spark.createDataFrame([(i, "rain and sea") for i in ids], DOCS)
+    labels = spark.createDataFrame([(i, int(k % 10 == 0)) for k, i in enumerate(ids)] + [(9000 + i, 1) for i in range(50)], LABELS)
+    for cap in (8000, 20):  # 40 of 400 rows are toxic
+        score = X.train(docs, labels, sample_rows=cap).score(docs.limit(1)).collect()[0].score
+        assert abs(score - 0.1) < 0.02, (cap, score)
+
+
+def test_features_are_counted_over_all_labelled_rows(spark):
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2][:200]
+    order = [r.id for r in spark.createDataFrame([(i,) for i in ids], "id bigint").orderBy(F.xxhash64("id")).collect()]
+    toxic = order[::2]
+    docs = [(i, "rain scum" if i in toxic[10:] else "rain") for i in ids]  # no word of a sampled row tells
+    model = X.train(spark.createDataFrame(docs, DOCS), spark.createDataFrame([(i, int(i in toxic)) for i in ids], LABELS),
+                    sample_rows=10)
+    _, scum = X.features(np.frombuffer(b"scum", np.uint8), np.array([0, 4]))
+    assert set(scum) <= set(model.names)
+
+
 @pytest.mark.parametrize("sf", ["0.1"])
 def test_held_out_quality(spark, sf):
     d = f"/root/testdata/sf{sf}"
