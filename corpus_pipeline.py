@@ -19,8 +19,12 @@ from noema.llm.store import table
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores below 0.3; it is trained on the documents'
-    labelled, not held-out rows.  Null and empty texts have the score of the bias."""
+    labelled, not held-out rows.  Null and empty texts have the score of the bias.
+    All documents, if no classifier can be learned: without usable labelled rows, with
+    rows of one kind only, or with no word that two of them have."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    if not len(model.names):
+        return docs
     return docs.where(model.column(F.col("text")) < toxicity.THRESHOLD)
 
 

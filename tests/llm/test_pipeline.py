@@ -1,6 +1,7 @@
 """The pipeline's stages on a small corpus, each held against brute force on its own input."""
 
 import random
+import zlib
 
 import corpus_pipeline as C
 import pytest
@@ -40,6 +41,18 @@ def folder(spark, tmp_path):
     return str(tmp_path)
 
 
+HELD_OUT = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 == 2]
+
+
+@pytest.mark.parametrize("labels", [[], [(i, 1, i % 2) for i in HELD_OUT], [(i, 1, 1) for i in range(60)],
+                                    [(None, 1, 1), (1, 1, None)]])
+def test_without_a_classifier_no_document_is_toxic(spark, folder, tmp_path, labels):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/few/labels.parquet")
+    out = dict(C.STAGES)["toxicity"](spark, docs, f"{tmp_path}/few")
+    assert out.columns == docs.columns and docs.count() == out.count() > 0 and out.exceptAll(docs).count() == 0
+
+
 def test_stages_against_brute_force(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     stage = dict(C.STAGES)
