@@ -58,9 +58,9 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, order: b
 def read_seed_papers(spark: SparkSession, path: str) -> DataFrame:
     """S3: ``{total, token, data: [paper]}`` document(s) → one row per paper with ``pos``."""
     doc = spark.read.schema(schemas.SEED_DOCUMENT).option("multiLine", True).json(path)
-    doc = with_input_order(doc, "_doc")
-    return doc.select("_doc", F.posexplode("data").alias("_i", "p")) \
-              .select(F.struct("_doc", "_i").alias("_o"), "p.*") \
+    doc = doc.select("data", F.input_file_name().alias("_file"), F.monotonically_increasing_id().alias("_doc"))
+    return doc.select("_file", "_doc", F.posexplode("data").alias("_i", "p")) \
+              .select(F.struct("_file", "_doc", "_i").alias("_o"), "p.*") \
               .transform(lambda d: with_global_index(d, ["_o"], "pos").drop("_o"))
 
 

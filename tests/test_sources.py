@@ -62,3 +62,16 @@ def test_double_lookup(spark):
     out = lookup_twice(edges, dim, "id", "name", [("src", "src_name"), ("dst", "dst_name")], dim_order="pos")
     got = sorted((r["src"], r["src_name"], r["dst_name"]) for r in out.collect())
     assert got == [(1, "y", "z"), (9, None, "y")]       # duplicate id: the last row wins
+
+
+def test_seed_papers_are_exploded_before_any_shuffle(spark, tmp_path, monkeypatch):
+    want = []
+    for k, docs in enumerate([[["a", "b", "c"], ["d"]], [["e"], [], ["f", "g"]]]):  # two documents, then three
+        saved = [{"total": len(d), "token": None, "data": [{"paperId": p, "title": p} for p in d]} for d in docs]
+        (tmp_path / f"{k}.json").write_text(json.dumps(saved))
+        want += [p for d in docs for p in d]
+    shuffled, index = [], S.with_global_index
+    monkeypatch.setattr(S, "with_global_index", lambda df, *a, **k: (shuffled.append(df), index(df, *a, **k))[1])
+    out = S.read_seed_papers(spark, str(tmp_path))
+    assert [(r.pos, r.paperId) for r in out.orderBy("pos").collect()] == list(enumerate(want))
+    assert [("data" in df.columns, "paperId" in df.columns) for df in shuffled] == [(False, True)]
