@@ -101,6 +101,13 @@ def test_empty_table_and_long_template(spark):
         L.scan_licenses(spark.createDataFrame([], DOCS), templates=[("a " * 33, "x")])
 
 
+def test_whole_text_as_template(spark):
+    text = "\n".join(f"w{i} v{i} u{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, "x\n" * 100 + text + "\ny" * 300), (2, text[:200])], DOCS)
+    out = L.scan_licenses(docs, templates=[(text, "long")], block_words=360).collect()
+    assert {r.doc_id: {x.label for x in r.windows} for r in out} == {1: {"long"}, 2: set()}
+
+
 @pytest.mark.parametrize("sf", ["0.001", "0.01"])
 def test_query_equals_its_sql(spark, sf):
     d = f"/root/testdata/sf{sf}"
