@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from noema.llm import (
     decontaminate, embedding_dedup, jaccard_join, language_id, license_scan, mixing,
-    preference_format, sharding, suffix_dedup, token_counts, toxicity)
+    preference_format, sharding, suffix_dedup, token_counts, toxicity, whitening)
 
 QUERIES = {
     "op1_language_id": language_id.op1,
@@ -19,6 +19,7 @@ QUERIES = {
     "op9_license_scan": license_scan.op9,
     "op10_suffix_dedup": suffix_dedup.op10,
     "op11_shards": sharding.op11,
+    "op13_whitening": whitening.op13,
 }
 
 ORACLE: dict[str, str] = {
