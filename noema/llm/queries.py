@@ -4,7 +4,7 @@ SQL can express."""
 from __future__ import annotations
 
 from noema.llm import (
-    decontaminate, embedding_dedup, jaccard_join, language_id, license_scan, mixing,
+    conversation_repair, decontaminate, embedding_dedup, jaccard_join, language_id, license_scan, mixing,
     preference_format, sharding, suffix_dedup, token_counts, toxicity, whitening)
 
 QUERIES = {
@@ -19,6 +19,7 @@ QUERIES = {
     "op9_license_scan": license_scan.op9,
     "op10_suffix_dedup": suffix_dedup.op10,
     "op11_shards": sharding.op11,
+    "op12_conversation_repair": conversation_repair.op12,
     "op13_whitening": whitening.op13,
 }
 
@@ -29,4 +30,5 @@ ORACLE: dict[str, str] = {
     "op6_preference_format": preference_format.OP6_SQL,
     "op8_decontaminate": decontaminate.OP8_SQL,
     "op9_license_scan": license_scan.OP9_SQL,
+    "op12_conversation_repair": conversation_repair.OP12_SQL,
 }
