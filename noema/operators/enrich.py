@@ -8,24 +8,23 @@ The model is pluggable: ``generator(systems, users) -> raws`` is any Python
 callable run on Arrow batches by ``mapInPandas``; offline, a ``responses``
 table ``(prompt_key, raw)`` can be joined in instead.  Results are keyed by a
 hash of the prompt, never by position, and the generated table is written to
-the shared checkpoint folder once, so recomputation never calls the model
-twice.  Prompt templates are parameters; the defaults below are short
+the shared checkpoint folder once.  With a plain generator a failure before that
+asks its finished prompts again; an ``operators.answers.AnswerStore`` in its place
+keeps answers as they come and asks no prompt twice.  Prompt templates are parameters; the defaults below are short
 placeholders using the reference's placeholder names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from noema.functions import lists as L, text as X
 from noema.functions.jsonx import clamp01, parse_fenced_output, parse_model_output
+from noema.operators.answers import AnswerStore, Generator, ask
 from noema.operators.rows import first_per_key, last_per_key
 
-Generator = Callable[[list[str], list[str]], list[str]]
-
 # Placeholder names substituted into the prompt templates.
 ALIAS_TEMPLATE = "List other names for the concept {INPUT_TITLE} as JSON {\"alias\": [...]}."
 CONCEPT_ALIAS_TEMPLATE = "List other names for the concept {INPUT_name} as JSON {\"alias\": [...]}."
@@ -69,25 +68,21 @@ def prompt_key(system: Column, user: Column) -> Column:
     return F.sha2(F.concat_ws("\u0001", system, user), 256)
 
 
-def generate(prompts: DataFrame, generator: Generator | None = None, responses: DataFrame | None = None,
+def generate(prompts: DataFrame, generator: Generator | AnswerStore | None = None, responses: DataFrame | None = None,
              materialize: bool = True) -> DataFrame:
     """L2: ``(prompt_key, system, user)`` → ``(prompt_key, raw)`` with ``raw``
-    stripped.  Distinct prompts only; the result is checkpointed once."""
+    stripped.  Distinct prompts only; the result is checkpointed once.  An ``AnswerStore``
+    as generator answers from what it keeps and asks the rest."""
     distinct = prompts.select("prompt_key", "system", "user").dropDuplicates(["prompt_key"])
     if responses is not None:
         out = distinct.join(responses.select("prompt_key", "raw"), "prompt_key", "left") \
                       .select("prompt_key", F.coalesce(X.strip("raw"), F.lit("")).alias("raw"))
+    elif isinstance(generator, AnswerStore):
+        return generator.ask(distinct)
+    elif generator is not None:
+        out = ask(distinct, generator)
     else:
-        if generator is None:
-            raise ValueError("need a generator or a responses table")
-
-        def run(batches):
-            for pdf in batches:
-                raws = generator(pdf["system"].tolist(), pdf["user"].tolist())
-                yield pd.DataFrame({"prompt_key": pdf["prompt_key"],
-                                    "raw": [("" if r is None else str(r)).strip() for r in raws]})
-
-        out = distinct.mapInPandas(run, "prompt_key string, raw string")
+        raise ValueError("need a generator or a responses table")
     return out.checkpoint(eager=True) if materialize else out
 
 

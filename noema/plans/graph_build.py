@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from noema.functions import lists as L, text as X
+from noema.operators.metrics import write_counted
 from noema.operators import graph as G
 from noema.operators.resolve import resolve
 from noema.operators.rows import last_per_key, with_global_index
@@ -138,3 +139,13 @@ def graph_stats(g: Graph) -> DataFrame:
         out = out.unionByName(g.actions.groupBy(F.col("action").alias("table"))
                               .agg(F.count(F.lit(1)).alias("n")))               # A12
     return out
+
+
+def write_graph(g: Graph, root: str) -> DataFrame:
+    """Write the graph's tables under ``root``; the counts of ``graph_stats``, taken while writing."""
+    tables = {"keywords": g.keywords, "papers": g.papers, "prereq_edges": g.prereq, "about_edges": g.about,
+              "in_edges": g.in_edges, "ref_by_edges": g.ref_by, "failed_mappings": g.failed_mappings}
+    outcomes = {k: F.col("action") == k for k in ("created", "merged")}
+    if g.actions is not None:
+        tables["actions"] = g.actions
+    return write_counted(tables, root, {"actions": outcomes}).where(F.col("table") != "actions")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -63,3 +64,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/noema-tables/{name}-{os.getpid()}-{id(spark)}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists in whichever file system Spark uses for the path."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new folder name, used by nothing else, under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/noema-tables/{name}-{uuid.uuid4().hex}"
