@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from noema.functions import lists as L, text as X
-from noema.functions.jsonx import clamp01, parse_fenced_output, parse_model_output
+from noema.functions.jsonx import clamp01, with_parsed
 from noema.operators.answers import AnswerStore, Generator, ask
 from noema.operators.rows import first_per_key, last_per_key
 
@@ -86,12 +86,11 @@ def generate(prompts: DataFrame, generator: Generator | AnswerStore | None = Non
     return out.checkpoint(eager=True) if materialize else out
 
 
-def _scored(keys: DataFrame, system: Column, user: str, generator, responses, parser=parse_model_output
-            ) -> DataFrame:
+def _scored(keys: DataFrame, system: Column, user: str, generator, responses, fields: tuple[str, ...]) -> DataFrame:
     p = keys.withColumn("system", system).withColumn("user", F.lit(user)) \
             .withColumn("prompt_key", prompt_key(F.col("system"), F.col("user")))
     gen = generate(p, generator, responses)
-    return p.join(gen, "prompt_key", "left").withColumn("p", parser(F.col("raw")))
+    return with_parsed(p.join(gen, "prompt_key", "left"), "raw", fields)
 
 
 # --------------------------------------------------------------------------
@@ -102,7 +101,7 @@ def add_alias(df: DataFrame, generator: Generator | None = None, responses: Data
               user: str = USER_ALIAS) -> DataFrame:
     """L3: per distinct name → ``alias`` (F15), ``alias_raw``, ``alias_ok``."""
     names = df.where(F.col(name).isNotNull()).select(F.col(name).cast("string").alias("_name")).distinct()
-    s = _scored(names, render(template, {placeholder: F.col("_name")}), user, generator, responses)
+    s = _scored(names, render(template, {placeholder: F.col("_name")}), user, generator, responses, ("is_object", "alias"))
     ok = F.col("p.is_object") & F.col("p.alias").isNotNull()
     res = s.select("_name", F.when(ok, L.clean_aliases(F.col("p.alias"), F.col("_name")))
                    .otherwise(L.empty_str_array()).alias("alias"),
@@ -117,6 +116,9 @@ def add_alias(df: DataFrame, generator: Generator | None = None, responses: Data
 # --------------------------------------------------------------------------
 # L4 / L5 edge scoring (strength, reason, raw, ok)
 # --------------------------------------------------------------------------
+EDGE_FIELDS = ("has_strength_or_reason", "strength", "reason")
+
+
 def _edge_fields(s: DataFrame, keys: Sequence[str]) -> DataFrame:
     return s.select(*keys, clamp01(F.col("p.strength")).alias("strength"),
                     X.reason_clean(F.col("p.reason")).alias("reason"),
@@ -141,7 +143,7 @@ def score_prereq_edges(df: DataFrame, generator: Generator | None = None, respon
     """L4: per distinct (name, prereq_name)."""
     keys = df.select("name", "prereq_name").dropna().distinct()
     s = _scored(keys, render(template, {"TARGET": F.col("name"), "PREREQ": F.col("prereq_name")}),
-                USER_RAW_JSON, generator, responses)
+                USER_RAW_JSON, generator, responses, EDGE_FIELDS)
     return _back_join(df, _edge_fields(s, ["name", "prereq_name"]), ["name", "prereq_name"], _edge_defaults())
 
 
@@ -155,7 +157,7 @@ def score_concept_edges(edges: DataFrame, template: str, generator: Generator |
                         ["paperId"], ["pos"]).drop("pos")
     k = keys.join(ctx, "paperId", "left")
     s = _scored(k, render(template, {"PAPER_TITLE": F.col("title"), "PAPER_ABSTRACT": F.col("abstract"),
-                                     "CONCEPT": F.col("concept")}), USER_RAW_JSON, generator, responses)
+                                     "CONCEPT": F.col("concept")}), USER_RAW_JSON, generator, responses, EDGE_FIELDS)
     return _back_join(edges, _edge_fields(s, ["paperId", "concept"]), ["paperId", "concept"], _edge_defaults())
 
 
@@ -198,7 +200,7 @@ def score_ref_edges(refs: DataFrame, seeds: DataFrame, generator: Generator | No
         "INTENTS": F.to_json(F.coalesce("intents", L.empty_str_array())),
         "IS_INF": F.initcap(F.coalesce(F.col("isInfluential"), F.lit(False)).cast("string")),
         "CONTEXTS": F.to_json(contexts if max_contexts is None else F.slice(contexts, 1, max_contexts))})
-    s = _scored(k, system, USER_RAW_JSON, generator, responses)
+    s = _scored(k, system, USER_RAW_JSON, generator, responses, ("is_object", "strength"))
     ok = F.coalesce(F.col("p.is_object") & F.col("p.strength").isNotNull(), F.lit(False))
     res = s.select("seed_paper_id", "ref_paper_id", F.when(ok, clamp01(F.col("p.strength"))).alias("strength"),
                    F.col("raw").alias("edge_raw"), ok.alias("edge_ok"))
@@ -215,7 +217,7 @@ def add_concepts(papers: DataFrame, generator: Generator | None = None, response
     k = papers.select(key, X.strip(F.coalesce("title", F.lit(""))).alias("_t"),
                       X.strip(F.coalesce("abstract", F.lit(""))).alias("_a"))
     s = _scored(k, render(template, {"INPUT_TITLE": F.col("_t"), "INPUT_ABSTRACT": F.col("_a")}),
-                USER_CONCEPTS, generator, responses)
+                USER_CONCEPTS, generator, responses, ("is_object", "proposed", "prerequisite"))
     ok = F.coalesce(F.col("p.is_object") & F.col("p.proposed").isNotNull() & F.col("p.prerequisite").isNotNull(),
                     F.lit(False))
     res = s.select(key, F.when(ok, L.clean_concepts(F.col("p.proposed"))).alias("proposed_concepts"),
@@ -236,7 +238,8 @@ def add_description(papers: DataFrame, generator: Generator | None = None, respo
                       X.strip(F.coalesce("abstract", F.lit(""))).alias("_a"),
                       X.strip(F.coalesce(cats, F.lit(""))).alias("_c"))
     s = _scored(k, render(template, {"INPUT_TITLE": F.col("_t"), "INPUT_ABSTRACT": F.col("_a"),
-                                     "INPUT_CATEGORIES": F.col("_c")}), USER_DESCRIPTION, generator, responses)
+                                     "INPUT_CATEGORIES": F.col("_c")}), USER_DESCRIPTION, generator, responses,
+                ("is_object", "description"))
     ok = F.coalesce(F.col("p.is_object") & F.col("p.description").isNotNull(), F.lit(False))
     res = s.select(key, F.when(ok, X.one_line(F.col("p.description"))).otherwise(F.lit("")).alias("description"),
                    F.col("raw").alias("desc_raw"), ok.alias("desc_ok"))
@@ -262,7 +265,7 @@ def article_prerequisites(articles: DataFrame, generator: Generator | None = Non
     p = a.select("pos", "title", F.lit(system).alias("system"), user.alias("user")) \
          .withColumn("prompt_key", prompt_key(F.col("system"), F.col("user")))
     gen = generate(p, generator, responses)
-    parsed = p.join(gen, "prompt_key", "left").withColumn("p", parse_fenced_output(F.col("raw")))   # F24
+    parsed = with_parsed(p.join(gen, "prompt_key", "left"), "raw", ("truthy", "prerequisites", "json"), "fenced")   # F24
     results = parsed.select("pos", F.col("title").alias("original_title"), F.col("p.json").alias("result"),
                             F.col("raw").alias("raw_output"),
                             F.coalesce(F.col("p.truthy"), F.lit(False)).alias("ok"))   # parsed and non-empty

@@ -430,8 +430,8 @@ SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
 FROM events
 """)
 def json_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from noema.functions.jsonx import clamp01, parse_model_output
-    p = _wrapped_props(spark, sf_dir).select("event_id", parse_model_output("raw", ("is_object", "json")).alias("p"))
+    from noema.functions.jsonx import clamp01, with_parsed
+    p = with_parsed(_wrapped_props(spark, sf_dir), "raw", ("is_object", "json"))
     k = F.get_json_object(F.col("p.json"), "$.k")
     return p.select("event_id", k.cast("long").alias("k"),
                     clamp01(k.cast("double") / F.lit(50.0)).alias("strength"),

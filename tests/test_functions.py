@@ -90,7 +90,7 @@ def test_extract_json_fixture():
 def test_model_output_columns(spark):
     df = spark.createDataFrame([('text {"strength": 1.7} tail',), ('{"strength":NaN}',), ('{"strength":true}',),
                                 ('{"reason":" r "}',)], "raw string")
-    out = df.select(J.parse_model_output("raw").alias("p")).select(
+    out = J.with_parsed(df, "raw", tuple(J.PARSED.fieldNames())).select(
         J.clamp01(F.col("p.strength")).alias("s"), X.reason_clean(F.col("p.reason")).alias("r"),
         F.col("p.has_strength_or_reason").alias("ok")).collect()
     assert [(r["s"], r["r"], r["ok"]) for r in out] == [(1.0, None, True), (1.0, None, True), (1.0, None, True),
