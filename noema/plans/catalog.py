@@ -657,63 +657,54 @@ def _match_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.unionByName(s).unionByName(p)
 
 
-def _norm_sql(x: str) -> str:
-    return S.strip(f"regexp_replace(lower({x}), '[{X.PY_WHITESPACE_CLASS}]+', ' ', 'g')")
-
-
 @query("wiki_match", f"""
 WITH c AS MATERIALIZED (
   SELECT page_id AS pos, {S.title_from_url('url')} AS title,
          regexp_extract_all(html, '{HREF_RE}', 1) AS hrefs,
          regexp_extract_all(html, '{ANCHOR_TEXT_RE}', 1) AS subs
   FROM pages
-), raw AS (
-  SELECT pos, i, title, {S.strip("coalesce(s, '')")} AS sub_raw
-  FROM (SELECT pos, title, unnest(subs) AS s, generate_subscripts(subs, 1) AS i FROM c WHERE title IS NOT NULL)
-), known AS MATERIALIZED (
-  SELECT x, {_norm_sql('x')} AS n FROM (SELECT DISTINCT sub_raw AS x FROM raw)
-), sub_map AS MATERIALIZED (
-  SELECT n AS sub_n, arg_min(title, pos * 1000000 + i) AS title, arg_min(sub_raw, pos * 1000000 + i) AS sub_raw
-  FROM raw JOIN known ON sub_raw = x WHERE n <> '' GROUP BY n
-), title_map AS MATERIALIZED (
-  SELECT {_norm_sql('title')} AS title_n, arg_min(title, pos) AS title FROM c WHERE title IS NOT NULL GROUP BY 1
+), subs AS MATERIALIZED (
+  SELECT pos, i, title, s FROM (SELECT pos, title, unnest(subs) AS s, generate_subscripts(subs, 1) AS i FROM c)
+  WHERE title IS NOT NULL AND s IS NOT NULL
+), hrefs AS MATERIALIZED (
+  SELECT DISTINCT CASE WHEN starts_with(h, '/') THEN substr(h, 2) ELSE h END AS h FROM (SELECT unnest(hrefs) AS h FROM c)
 ), nodes AS MATERIALIZED (
-  SELECT DISTINCT 'a:' || regexp_replace(h, '^/', '') AS node_id, regexp_replace(h, '^/', '') AS name,
-         [lower(regexp_replace(h, '^/', '')), regexp_replace(h, '^/', '') || ' page'] AS alias
-  FROM (SELECT DISTINCT unnest(hrefs) AS h FROM c)
+  SELECT 'a:' || h AS node_id, h AS name, [lower(h), h || ' page'] AS alias FROM hrefs
   UNION ALL
   SELECT DISTINCT 's:' || title, title, []::VARCHAR[] FROM c
   UNION ALL
   SELECT DISTINCT 'p:' || p_name, p_name, string_split(p_name, ' ') FROM part
+), items AS MATERIALIZED (
+  SELECT node_id, x, j FROM (SELECT node_id, unnest([name] || alias) AS x, generate_subscripts([name] || alias, 1) AS j FROM nodes)
+  WHERE x IS NOT NULL
+), texts AS MATERIALIZED (
+  SELECT x, v, {S.strip('low')} AS n FROM (
+    SELECT x, {S.strip('x')} AS v, regexp_replace(lower(x), '[{X.PY_WHITESPACE_CLASS}]+', ' ', 'g') AS low FROM (
+      SELECT s AS x FROM subs UNION SELECT x FROM items UNION SELECT title FROM c WHERE title IS NOT NULL))
+), sub_map AS MATERIALIZED (
+  SELECT n AS hit_n, arg_min(title, pos * 1000000 + i) AS title, arg_min(v, pos * 1000000 + i) AS sub
+  FROM subs JOIN texts ON s = x WHERE n <> '' GROUP BY n
+), title_map AS MATERIALIZED (
+  SELECT n AS hit_n, arg_min(title, pos) AS title FROM c JOIN texts ON title = x GROUP BY n
 ), cand AS MATERIALIZED (
-  SELECT node_id, c, j, {_norm_sql('c')} AS cn FROM (
-    SELECT node_id, v AS c, min(j) AS j FROM (
-      SELECT node_id, {S.strip("coalesce(x, '')")} AS v, j
-      FROM (SELECT node_id, unnest([name] || alias) AS x, generate_subscripts([name] || alias, 1) AS j FROM nodes))
-    WHERE v <> '' GROUP BY node_id, v)
-), hits AS MATERIALIZED (
-  SELECT cand.node_id, 0 AS kind, cand.j, cn AS hit_n, s.title, s.sub_raw AS sub
-  FROM cand JOIN sub_map s ON cn = s.sub_n
-  UNION ALL
-  SELECT cand.node_id, 1, cand.j, cn, t.title, NULL
-  FROM cand JOIN title_map t ON cn = t.title_n
+  SELECT node_id, v AS c, min(j) AS j, min(n) AS cn FROM items JOIN texts USING (x) WHERE v <> '' GROUP BY node_id, v
 ), best AS MATERIALIZED (
-  SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY node_id ORDER BY kind, j) = 1
+  SELECT node_id, kind, hit_n, title, sub FROM (
+    SELECT node_id, 0 AS kind, j, hit_n, title, sub FROM cand JOIN sub_map ON cn = hit_n
+    UNION ALL
+    SELECT node_id, 1, j, hit_n, title, NULL FROM cand JOIN title_map ON cn = hit_n)
+  QUALIFY row_number() OVER (PARTITION BY node_id ORDER BY kind, j) = 1
 ), hit_alias AS (
   SELECT node_id, string_agg(v, '|' ORDER BY o) AS alias_text FROM (
-    SELECT node_id, v, o FROM (
-      SELECT cand.node_id, cand.c AS v, cand.j AS o FROM cand JOIN best b ON cand.node_id = b.node_id
-      WHERE cand.cn <> b.hit_n
+    SELECT node_id, v, min(o) AS o FROM (
+      SELECT cand.node_id, cand.c AS v, cand.j AS o FROM cand JOIN best b ON cand.node_id = b.node_id WHERE cand.cn <> b.hit_n
       UNION ALL
-      SELECT n.node_id, {S.strip("coalesce(n.name, '')")}, 1000000 FROM nodes n JOIN best b ON n.node_id = b.node_id)
-    WHERE v <> '' QUALIFY row_number() OVER (PARTITION BY node_id, v ORDER BY o) = 1)
+      SELECT n.node_id, v, 1000000 FROM nodes n JOIN best b ON n.node_id = b.node_id JOIN texts ON n.name = x)
+    WHERE v <> '' GROUP BY node_id, v)
   GROUP BY node_id
 ), miss_alias AS (
   SELECT node_id, string_agg(v, '|' ORDER BY j) AS alias_text FROM (
-    SELECT node_id, v, j FROM (
-      SELECT node_id, {S.strip("coalesce(x, '')")} AS v, j
-      FROM (SELECT node_id, unnest(alias) AS x, generate_subscripts(alias, 1) AS j FROM nodes))
-    WHERE v <> '' QUALIFY row_number() OVER (PARTITION BY node_id, v ORDER BY j) = 1)
+    SELECT node_id, v, min(j) AS j FROM items JOIN texts USING (x) WHERE j > 1 AND v <> '' GROUP BY node_id, v)
   GROUP BY node_id
 )
 SELECT n.node_id,
