@@ -1,5 +1,6 @@
 """Catalog queries for what is stored and read again: resumable runs, the answer store,
-bucketed snapshots, uniqueness at the write, the adjacency layout and counters of a write.
+bucketed snapshots, uniqueness at the write, the adjacency layout, counters of a write,
+input order, and saved JSON with rejects.
 Files go to new folders under the shared checkpoint folder."""
 
 from __future__ import annotations
@@ -9,13 +10,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from noema.functions import lists as L
-from noema.operators import adjacency, enrich as E, graph as G
+from noema.functions import lists as L, text as X
+from noema.operators import adjacency, categories as C, enrich as E, graph as G
 from noema.operators.answers import AnswerStore
-from noema.plans import catalog, graph_build
+from noema.plans import _sql as S, catalog, graph_build
 from noema.plans.catalog import query
 from noema.session import fresh_path
-from noema.sources import snapshots
+from noema.sources import files, snapshots
 from noema.sources.tables import Tables
 from noema.streaming.resume import run_resumable
 
@@ -197,3 +198,109 @@ def graph_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     actions = catalog.entity_resolve(spark, sf_dir)
     graph = graph_build.Graph(kw, papers, prereq, about, inn, ref_by, failed, actions=actions)
     return graph_build.write_graph(graph, fresh_path(spark, "graph"))
+
+
+# --------------------------------------------------------------------------
+# Positions of a table read back from many files
+# --------------------------------------------------------------------------
+@query("input_order", """
+SELECT 'csv' AS kind, o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos, o_orderpriority || chr(10) || '"x", y' AS text FROM orders
+UNION ALL SELECT 'json', o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1, o_orderpriority FROM orders
+""")
+def input_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = fresh_path(spark, "input-order")
+    rows = Tables(spark, sf_dir).orders.select("o_orderkey", F.col("o_orderpriority").alias("text")) \
+        .repartitionByRange(8, "o_orderkey").sortWithinPartitions("o_orderkey")
+    files.write_csv(rows.withColumn("text", F.concat("text", F.lit('\n"x", y'))), f"{base}/csv")
+    files.write_json_lines(rows, f"{base}/json")
+    csv = files.read_csv(spark, f"{base}/csv", "o_orderkey bigint, text string")
+    lines = files.with_input_order(spark.read.schema("o_orderkey bigint, text string").json(f"{base}/json"))
+    return csv.withColumn("kind", F.lit("csv")).unionByName(lines.withColumn("kind", F.lit("json"))).select(
+        "kind", "o_orderkey", "pos", "text")
+
+
+# --------------------------------------------------------------------------
+# Saved papers with broken records, which come back as rejects
+# --------------------------------------------------------------------------
+@query("saved_papers", """
+WITH p AS (SELECT p_partkey AS k, p_name AS title, p_size AS size FROM part)
+SELECT 'detail' AS kind, 'p' || k AS paper, title, CAST(size AS BIGINT) AS cited FROM p WHERE k % 10 NOT IN (3, 7)
+UNION ALL SELECT 'detail rejected', CASE k % 10 WHEN 3 THEN 'broken' ELSE 'no paperId' END, CASE k % 10 WHEN 3 THEN '{"paperId": "p' || k || '", "title' ELSE title END, NULL
+          FROM p WHERE k % 10 IN (3, 7)
+UNION ALL SELECT 'seed', 'p' || k, title, row_number() OVER (PARTITION BY size ORDER BY k) - 1 FROM p WHERE size % 9 <> 4 AND size % 9 <> 5
+UNION ALL SELECT 'seed rejected', CASE size % 9 WHEN 4 THEN 'broken' ELSE 'no data' END, NULL, count(*) FROM (SELECT DISTINCT size FROM p WHERE size % 9 IN (4, 5)) GROUP BY ALL
+""")
+def saved_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as papers: one JSON line each, and one document of several lines for each size.  Every tenth line
+    is cut, another tenth has no id; some documents are cut, some have no papers."""
+    base, k = fresh_path(spark, "saved-papers"), F.col("p_partkey")
+    paper = F.struct(F.concat(F.lit("p"), k.cast("string")).alias("paperId"), F.col("p_name").alias("title"),
+                     F.col("p_size").cast("bigint").alias("citationCount"))
+    parts = Tables(spark, sf_dir).part.select(k, "p_name", "p_size", paper.alias("p"))
+    line = F.when(k % 10 == 3, F.concat(F.lit('{"paperId": "p'), k.cast("string"), F.lit('", "title'))) \
+        .when(k % 10 == 7, F.to_json(F.struct("p.title"))).otherwise(F.to_json("p"))
+    parts.select(line.alias("value")).write.text(f"{base}/details")
+    docs = parts.groupBy("p_size").agg(F.array_sort(F.collect_list(F.struct("p_partkey", "p")))["p"].alias("data"))
+    text = F.to_json(F.struct(F.size("data").alias("total"), "data"), {"pretty": "true"})
+    kind = F.col("p_size") % 9
+    text = F.when(kind == 4, F.left(text, F.length(text) - 5)).when(kind == 5, '{"total": 0}').otherwise(text)
+    docs.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(f"{base}/seeds")
+
+    details, bad_details = files.paper_details(spark, f"{base}/details")
+    seeds, bad_seeds = files.seed_papers(spark, f"{base}/seeds")
+    # a document's papers stand together, so the first of a document is its lowest position
+    first = seeds.groupBy("citationCount").agg(F.min("pos").alias("first"))
+    seeds = seeds.join(first, "citationCount").withColumn("cited", F.col("pos") - F.col("first"))
+    title = F.when(F.col("reason") == "broken", F.col("record")).otherwise(F.get_json_object("record", "$.title"))
+    return details.select(F.lit("detail").alias("kind"), F.col("paperId").alias("paper"), "title", F.col("citationCount").alias("cited")) \
+        .unionByName(bad_details.select(F.lit("detail rejected").alias("kind"), F.col("reason").alias("paper"), title.alias("title"),
+                                        F.lit(None).cast("bigint").alias("cited"))) \
+        .unionByName(seeds.select(F.lit("seed").alias("kind"), F.col("paperId").alias("paper"), "title", "cited")) \
+        .unionByName(bad_seeds.groupBy(F.col("reason").alias("paper")).agg(F.count(F.lit(1)).alias("cited"))
+                     .select(F.lit("seed rejected").alias("kind"), "paper", F.lit(None).cast("string").alias("title"), "cited"))
+
+
+# --------------------------------------------------------------------------
+# S6 -> J14 -> J13 (D9): saved category responses, resolved titles, filled nodes
+# --------------------------------------------------------------------------
+@query("saved_categories", f"""
+WITH n AS (SELECT c_custkey AS k, c_name AS name, c_mktsegment AS seg, CASE WHEN c_custkey % 7 = 0 THEN 'kept' END AS link, c_custkey // 5 AS b FROM customer),
+ok AS (SELECT *, CASE k % 5 WHEN 0 THEN name WHEN 1 THEN 'Page ' || k WHEN 2 THEN 'Norm of ' || k WHEN 3 THEN upper(name) END AS page FROM n)
+SELECT 'node' AS kind, k, name, CASE WHEN link IS NULL AND page IS NOT NULL THEN '{X.WIKI_PREFIX}' || {S.quote("replace(page, ' ', '_')", '')} ELSE link END AS link,
+       CASE WHEN page IS NULL THEN '' ELSE array_to_string(list_sort(list_distinct([seg, 'All'])), '|') END AS cats FROM ok
+UNION ALL SELECT DISTINCT 'rejected', b, 'broken', NULL, '{{"batch_id": ' || b || ', "part": 9, "query"' FROM n
+UNION ALL SELECT DISTINCT 'rejected', b, 'no query', NULL, '{{"batch_id":' || b || '}}' FROM n WHERE b % 3 = 0
+""")
+def saved_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five names a response, in two parts: an exact title, a redirect, a normalised spelling that is redirected
+    too, a title in other case and a missing page.  A cut line for each response, and lines without a result."""
+    base, k = fresh_path(spark, "saved-categories"), F.col("c_custkey")
+    c = Tables(spark, sf_dir).customer.select(k, "c_name", "c_mktsegment", F.floor(k / 5).cast("bigint").alias("batch_id"))
+    kind, number = k % 5, k.cast("string")
+    page = F.when(kind == 1, F.concat(F.lit("Page "), number)).when(kind == 2, F.concat(F.lit("Norm of "), number)) \
+        .when(kind == 3, F.upper("c_name")).otherwise(F.col("c_name"))
+    between = F.concat(F.lit("Between "), number)
+    pair = lambda a, b: F.struct(a.alias("from"), b.alias("to"))
+    rows = c.select("batch_id", F.when(kind != 4, number).otherwise("-1").alias("id"), page.alias("title"), "c_mktsegment",
+                    F.when(kind == 1, pair(F.lower("c_name"), page)).when(kind == 2, pair(F.replace(between, F.lit(" "), F.lit("_")), page)).alias("redirect"),
+                    F.when(kind == 2, pair(F.upper("c_name"), between)).alias("normal"))
+    parts = None
+    for i, cat in ((0, F.col("c_mktsegment")), (1, F.lit("All"))):
+        entry = F.struct("title", F.array(F.struct(F.concat(F.lit("Category:"), cat).alias("title"))).alias("categories"))
+        grouped = rows.groupBy("batch_id").agg(F.map_from_entries(F.collect_list(F.struct("id", entry))).alias("pages"),
+                                               F.collect_list("redirect").alias("redirects"), F.collect_list("normal").alias("normalized"))
+        part = grouped.select(F.to_json(F.struct("batch_id", F.lit(i).alias("part"), F.struct("redirects", "normalized", "pages").alias("query"))).alias("value"))
+        parts = part if parts is None else parts.unionByName(part)
+    batches = c.select("batch_id").distinct()
+    number = F.col("batch_id").cast("string")
+    broken = batches.select(F.concat(F.lit('{"batch_id": '), number, F.lit(', "part": 9, "query"')).alias("value"))
+    empty = batches.where("batch_id % 3 = 0").select(F.concat(F.lit('{"batch_id": '), number, F.lit("}")).alias("value"))
+    parts.unionByName(broken).unionByName(empty).write.text(base)
+
+    responses, rejects = files.category_responses(spark, base)
+    nodes = c.select(k, F.col("c_name").alias("name"), F.when(k % 7 == 0, "kept").alias("link"), L.empty_str_array().alias("categories"))
+    filled = C.fill_from_lookup(nodes, C.page_hits(responses, nodes), "name", "link", "categories")
+    out = filled.select(F.lit("node").alias("kind"), F.col("c_custkey").alias("k"), "name", "link", F.array_join("categories", "|").alias("cats"))
+    batch = F.regexp_extract("record", r"^\{\"batch_id\": *(\d+)", 1).cast("bigint")
+    return out.unionByName(rejects.select(F.lit("rejected").alias("kind"), batch.alias("k"), F.col("reason").alias("name"),
+                                          F.lit(None).cast("string").alias("link"), F.col("record").alias("cats")))

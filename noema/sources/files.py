@@ -1,14 +1,20 @@
 """File sources (S1-S6) and sinks.
 
 Row order matters to the reference ("first wins" / "last wins"), so every
-reader adds ``pos``: file name, then the row's place in the file.  Within one
-file Spark reads rows in order; ``monotonically_increasing_id`` is increasing
-in that order, and files are ordered by name, so (file, id) is the input order.
+reader adds ``pos``: file path, then the start of the block that a task read of the
+file, then the row's place in the block.  A block is read by one task, in order, and
+``monotonically_increasing_id`` grows within the task; how blocks are dealt to
+tasks doesn't matter.
+
+JSON readers keep what they cannot read: broken records, and rows that lack a required
+field, come back as rejects with their text and a reason.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from noema import schemas
 from noema.functions import text as X
@@ -20,10 +26,32 @@ PANDAS_NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN"
                     "nan", "null"]
 
 
+def _place() -> list[Column]:
+    """Columns that order the rows of a file scan as the input has them."""
+    return [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_mid")]
+
+
 def with_input_order(df: DataFrame, pos: str = "pos") -> DataFrame:
-    """Dense 0-based ``pos`` in (file name, row in file) order."""
-    tagged = df.withColumn("_file", F.input_file_name()).withColumn("_mid", F.monotonically_increasing_id())
-    return with_global_index(tagged, ["_file", "_mid"], pos).drop("_file", "_mid")
+    """Dense 0-based ``pos`` in input order; ``df`` is a file scan, with nothing but
+    projections above it."""
+    return with_global_index(df.select("*", *_place()), ["_file", "_block", "_mid"], pos).drop("_file", "_block", "_mid")
+
+
+def _read_json(spark: SparkSession, path: str, schema: T.StructType, required: Sequence[str], multi_line: bool = False
+               ) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of JSON documents: rejects have ``file``, ``record`` (the text as it is; for a row that lacks a
+    required field its JSON) and ``reason``.  A JSON null or an empty line is no row and no reject."""
+    names = [f.name for f in schema.fields]
+    raw = spark.read.schema(T.StructType([*schema.fields, T.StructField("_broken", T.StringType())])) \
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_broken").option("multiLine", multi_line).json(path)
+    lacks = F.lit(False)
+    for field in required:
+        lacks = lacks | F.col(field).isNull()
+    reason = F.when(F.trim("_broken") != "null", "broken").when(F.col("_broken").isNull() & lacks, f"no {' or '.join(required)}")
+    rejects = raw.select(F.col("_metadata.file_path").alias("file"),
+                         F.coalesce("_broken", F.to_json(F.struct(*names))).alias("record"), reason.alias("reason"))
+    return raw.where(F.col("_broken").isNull() & ~lacks).drop("_broken"), rejects.where("reason IS NOT NULL")
 
 
 def na_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -57,11 +85,15 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, order: b
 
 def read_seed_papers(spark: SparkSession, path: str) -> DataFrame:
     """S3: ``{total, token, data: [paper]}`` document(s) → one row per paper with ``pos``."""
-    doc = spark.read.schema(schemas.SEED_DOCUMENT).option("multiLine", True).json(path)
-    doc = doc.select("data", F.input_file_name().alias("_file"), F.monotonically_increasing_id().alias("_doc"))
-    return doc.select("_file", "_doc", F.posexplode("data").alias("_i", "p")) \
-              .select(F.struct("_file", "_doc", "_i").alias("_o"), "p.*") \
-              .transform(lambda d: with_global_index(d, ["_o"], "pos").drop("_o"))
+    return seed_papers(spark, path)[0]
+
+
+def seed_papers(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """S3 with rejects: (papers with ``pos``, broken documents and documents without ``data``)."""
+    docs, rejects = _read_json(spark, path, schemas.SEED_DOCUMENT, ["data"], multi_line=True)
+    papers = docs.select("data", *_place()).select("_file", "_block", "_mid", F.posexplode("data").alias("_i", "p")) \
+        .select(F.struct("_file", "_block", "_mid", "_i").alias("_o"), "p.*")
+    return with_global_index(papers, ["_o"], "pos").drop("_o"), rejects
 
 
 def read_reference_responses(spark: SparkSession, path: str) -> DataFrame:
@@ -75,14 +107,24 @@ def read_reference_responses(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_paper_details(spark: SparkSession, path: str) -> DataFrame:
-    """Paper-detail objects (JSON lines); null / id-less objects dropped."""
-    return spark.read.schema(schemas.PAPER).json(path).where(F.col("paperId").isNotNull())
+    """Paper-detail objects (JSON lines); null, broken and id-less objects dropped."""
+    return paper_details(spark, path)[0]
+
+
+def paper_details(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """S5 with rejects: (papers, broken lines and papers without an id)."""
+    return _read_json(spark, path, schemas.PAPER, ["paperId"])
 
 
 def read_category_responses(spark: SparkSession, path: str) -> DataFrame:
     """Saved category-page responses (see ``operators.categories.RESPONSE``)."""
+    return category_responses(spark, path)[0]
+
+
+def category_responses(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """S6 with rejects: (responses, broken lines and responses without ``query``)."""
     from noema.operators.categories import RESPONSE
-    return spark.read.schema(RESPONSE).json(path)
+    return _read_json(spark, path, RESPONSE, ["query"])
 
 
 def write_csv(df: DataFrame, path: str, cols: list[str] | None = None) -> None:

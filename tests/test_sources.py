@@ -4,6 +4,8 @@ import json
 import os
 import tempfile
 
+from pyspark.sql import functions as F
+
 from noema.sources import files as S
 
 
@@ -75,3 +77,47 @@ def test_seed_papers_are_exploded_before_any_shuffle(spark, tmp_path, monkeypatc
     out = S.read_seed_papers(spark, str(tmp_path))
     assert [(r.pos, r.paperId) for r in out.orderBy("pos").collect()] == list(enumerate(want))
     assert [("data" in df.columns, "paperId" in df.columns) for df in shuffled] == [(False, True)]
+
+
+def test_input_order_of_many_blocks(spark, tmp_path):
+    """Blocks of a file go to any tasks; rows come back in the order of the files' names and lines."""
+    want = []
+    for k in (3, 1, 2):
+        lines = [f"{k}-{i}" + "x" * (i % 50) for i in range(900)]
+        (tmp_path / f"part{k}.json").write_text("\n".join(json.dumps({"v": v}) for v in lines))
+    for k in (1, 2, 3):
+        want += [f"{k}-{i}" + "x" * (i % 50) for i in range(900)]
+    conf = {"spark.sql.files.maxPartitionBytes": "4k", "spark.sql.files.openCostInBytes": "1k"}
+    was = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.read.schema("v string").json(str(tmp_path))
+        assert df.rdd.getNumPartitions() > 12
+        out = S.with_input_order(df.select(F.concat("v", F.lit("")).alias("v")))
+        assert [(r.pos, r.v) for r in out.orderBy("pos").collect()] == list(enumerate(want))
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+
+
+def test_rejected_json(spark, tmp_path):
+    (tmp_path / "d.jsonl").write_text('{"paperId": "a", "year": 2000}\n{"paperId": "b", "ye\n\nnull\n{"title": "no id"}\n'
+                                      '{"paperId": "c", "year": "not a year"}\n{"paperId": "d", "extra": 1}\n[1]\n')
+    rows, bad = S.paper_details(spark, str(tmp_path / "d.jsonl"))
+    assert sorted(r.paperId for r in rows.collect()) == ["a", "d"]
+    got = sorted((r.reason, r.record) for r in bad.collect())
+    assert got == sorted([("broken", '{"paperId": "b", "ye'), ("broken", '{"paperId": "c", "year": "not a year"}'), ("broken", "[1]"),
+                          ("no paperId", '{"title":"no id"}')])
+    assert all(r.file.endswith("d.jsonl") for r in bad.collect())
+    docs = tmp_path / "docs"
+    docs.mkdir()
+    (docs / "a.json").write_text('{"total": 1,\n "data": [{"paperId": "x"}]}')
+    (docs / "b.json").write_text('{"total": 1,\n "data": [{"paperId": "y"')
+    (docs / "c.json").write_text('{"total": 1}')
+    rows, bad = S.seed_papers(spark, str(docs))
+    assert [(r.pos, r.paperId) for r in rows.collect()] == [(0, "x")]
+    assert sorted((r.file[-6:], r.reason) for r in bad.collect()) == [("b.json", "broken"), ("c.json", "no data")]
+    (tmp_path / "c.jsonl").write_text('{"batch_id": 1, "query": {"pages": {"1": {"title": "T"}}}}\n{"batch_id": 2, "query"\n{"batch_id": 3}\n')
+    rows, bad = S.category_responses(spark, str(tmp_path / "c.jsonl"))
+    assert [r.batch_id for r in rows.collect()] == [1] and sorted(r.reason for r in bad.collect()) == ["broken", "no query"]
