@@ -251,6 +251,20 @@ _KC_LINK_SQL = (f"CASE WHEN p_size <= 5 THEN NULL WHEN p_size <= 10 THEN '  ' "
                 f"ELSE '{X.WIKI_PREFIX}' || replace(p_type, ' ', '_') END")
 
 
+def kc_mentions(part: DataFrame) -> DataFrame:
+    """Parts as concept mentions: (pos, name, link, category, alias)."""
+    base = F.concat(F.lit(X.WIKI_PREFIX), F.replace("p_type", F.lit(" "), F.lit("_")))
+    return part.select(
+        F.col("p_partkey").alias("pos"), F.col("p_name").alias("name"),
+        F.when(F.col("p_size") <= 5, F.lit(None).cast("string"))
+         .when(F.col("p_size") <= 10, F.lit("  "))
+         .when(F.col("p_size") > 40, F.concat(base, F.lit("#sec"), F.col("p_size").cast("string")))
+         .otherwise(base).alias("link"),
+        F.when(F.col("p_size") % 2 == 0, F.col("p_type")).alias("category"),
+        F.array("p_brand", F.concat(F.lit(" "), F.lower("p_type"), F.lit(" ")), "p_name", F.lit(""))
+         .alias("alias"))
+
+
 @query("kc_finalize", f"""
 WITH r AS (
   SELECT p_partkey AS pos, p_name AS name, {_KC_LINK_SQL} AS link,
@@ -280,18 +294,7 @@ SELECT n.name, bl.link, fc.category, coalesce(al.alias_text, '') AS alias_text,
 FROM names n LEFT JOIN bl USING (name) LEFT JOIN fc USING (name) LEFT JOIN al USING (name)
 """)
 def kc_finalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = Tables(spark, sf_dir).part
-    base = F.concat(F.lit(X.WIKI_PREFIX), F.replace("p_type", F.lit(" "), F.lit("_")))
-    rows = part.select(
-        F.col("p_partkey").alias("pos"), F.col("p_name").alias("name"),
-        F.when(F.col("p_size") <= 5, F.lit(None).cast("string"))
-         .when(F.col("p_size") <= 10, F.lit("  "))
-         .when(F.col("p_size") > 40, F.concat(base, F.lit("#sec"), F.col("p_size").cast("string")))
-         .otherwise(base).alias("link"),
-        F.when(F.col("p_size") % 2 == 0, F.col("p_type")).alias("category"),
-        F.array("p_brand", F.concat(F.lit(" "), F.lower("p_type"), F.lit(" ")), "p_name", F.lit(""))
-         .alias("alias"))
-    kc = A.finalize_kc_nodes(rows)
+    kc = A.finalize_kc_nodes(kc_mentions(Tables(spark, sf_dir).part))
     return kc.select("name", "link", "category", F.array_join("alias", "|").alias("alias_text"),
                      F.size("alias").cast("long").alias("n_alias"))
 
