@@ -126,7 +126,7 @@ def edge_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH r AS (SELECT p_partkey AS pos, p_name AS name, {catalog._KC_LINK_SQL} AS link, [p_brand, p_name] AS alias FROM part),
 l AS (SELECT name, arg_min(link, (CASE WHEN contains(link, '#') THEN 0 ELSE 1 END, -length(link), pos)) FILTER (WHERE link IS NOT NULL AND {S.strip('link')} <> '') AS link
       FROM r GROUP BY name),
-a AS (SELECT name, string_agg(x, '|' ORDER BY p) AS alias_text FROM (SELECT name, unnest(alias) AS x, min(pos) AS p FROM r GROUP BY ALL) WHERE x <> name GROUP BY name),
+a AS (SELECT name, string_agg(x, '|' ORDER BY p) AS alias_text FROM (SELECT name, x, min(pos) AS p FROM (SELECT name, unnest(alias) AS x, pos FROM r) GROUP BY name, x) WHERE x <> name GROUP BY name),
 hits AS (SELECT name, '{X.WIKI_PREFIX}' || replace(upper(name), ' ', '_') AS new_link, ['Kind ' || string_split(name, ' ')[2], 'Parts'] AS cats FROM l WHERE length(name) % 2 = 0)
 SELECT name, coalesce(l.link, CASE WHEN {S.strip('name')} <> '' THEN new_link END) AS link, coalesce(array_to_string(cats, '|'), '') AS categories_text,
        coalesce(alias_text, '') AS alias_text
