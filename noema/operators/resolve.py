@@ -23,7 +23,9 @@ computed by iterating to a fixpoint.  Per iteration, each term carries a
 prefix minimum of labels over ``pos``; the prefix is split into fixed-size
 ``pos`` buckets (bucket minima, a prefix over buckets, a running minimum inside
 a bucket), so a term shared by a third of all rows is spread over many tasks.
-No pairs are emitted and no group is collected into one task.  After each round
+No pairs are emitted and no group is collected into one task.  Joins of rows with something
+their term or node has go by (term, bucket) and (node, bucket) as well: what a key has is first
+joined with the key's buckets, one row for ``bucket`` input rows.  After each round
 a row whose label names a creating row takes that row's own label (pointer
 jumping), so rounds grow with the logarithm of a chain of matches, not with its
 length.  Labels are checkpointed to the shared folder, and rounds are semi-naive:
@@ -64,6 +66,14 @@ def _stored_terms(df: DataFrame, key: str) -> DataFrame:
     return by_name.unionByName(by_alias).distinct()
 
 
+def _join_spread(rows: DataFrame, of_key: DataFrame, key: str, bucket: int, how: str = "inner") -> DataFrame:
+    """``rows`` (with ``pos``) joined with ``of_key`` (one row for each ``key``) by key and ``pos`` bucket, so that
+    the rows of a frequent key are not joined in one task."""
+    rows = rows.withColumn("_b", F.floor(F.col("pos") / bucket))
+    hits = rows.select(key, "_b").distinct().join(of_key, key)
+    return rows.join(hits, [key, "_b"], how).drop("_b")
+
+
 def _propagate_once(src_labeled: DataFrame, tgt: DataFrame, bucket: int) -> DataFrame:
     """One round: for every target entry (pos, term), the minimum label over
     source entries (pos, term, label) of that term with a smaller-or-equal pos."""
@@ -99,14 +109,14 @@ def resolve_labels(existing: DataFrame, incoming: DataFrame, bucket: int = DEFAU
         .unionByName(_search_terms(rows).withColumn("kind", F.lit(1))).checkpoint(eager=True)
     ek = _stored_terms(existing.select("ord", "name", "alias"), "ord") \
         .groupBy("term").agg(F.min("ord").alias("ord"))
-    direct = terms.where(F.col("kind") == 1).join(ek, "term").groupBy("pos").agg(F.min("ord").alias("direct"))
+    direct = _join_spread(terms.where(F.col("kind") == 1), ek, "term", bucket).groupBy("pos").agg(F.min("ord").alias("direct"))
     labels = rows.select("pos").join(direct, "pos", "left").select(
         "pos", F.least(F.coalesce("direct", F.lit(CREATED) + F.col("pos")),
                        F.lit(CREATED) + F.col("pos")).alias("label")).checkpoint(eager=True)
     # only terms held by at least two rows can carry a label from one row to another
     shared = terms.select("term", "pos").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n")) \
         .where(F.col("n") > 1).select("term")
-    entries = terms.join(shared, "term", "left_semi").checkpoint(eager=True)
+    entries = _join_spread(terms, shared, "term", bucket, "left_semi").checkpoint(eager=True)
     src = entries.where(F.col("kind") == 0).select("pos", "term")
     tgt = entries.where(F.col("kind") == 1).select("pos", "term")
     # semi-naive rounds: only rows whose label dropped in the previous round
@@ -115,10 +125,12 @@ def resolve_labels(existing: DataFrame, incoming: DataFrame, bucket: int = DEFAU
     while True:
         moved = src.join(delta, "pos")          # source entries of rows whose label dropped
         # in the first round every row is new: all targets are in play
-        aimed = tgt if first else tgt.join(moved.select("term").distinct(), "term", "left_semi")
+        aimed = tgt if first else _join_spread(tgt, moved.select("term").distinct(), "term", bucket, "left_semi")
         cand = _propagate_once(moved, aimed, bucket)
         met = labels.join(cand, "pos", "left").select(
             "pos", F.col("label").alias("old"), F.least("label", "cand").alias("label")).checkpoint(eager=True)
+        if met.where("label < old").limit(1).count() == 0:
+            return labels
         # shortcut: a row labelled by row q takes q's label.  q reaches the row, so what
         # reaches q does too; a chain of matches halves each round
         roots = met.select(F.col("pos").alias("q"), F.col("label").alias("further"))
@@ -126,8 +138,6 @@ def resolve_labels(existing: DataFrame, incoming: DataFrame, bucket: int = DEFAU
             "pos", "old", F.least("label", "further").alias("label")).checkpoint(eager=True)
         labels, first = jumped.select("pos", "label"), False
         delta = jumped.where("label < old").select("pos", "label")
-        if delta.limit(1).count() == 0:
-            return labels
 
 
 def resolve(existing: DataFrame, incoming: DataFrame, bucket: int = DEFAULT_BUCKET
@@ -151,18 +161,25 @@ def resolve(existing: DataFrame, incoming: DataFrame, bucket: int = DEFAULT_BUCK
                                     F.coalesce("alias", F.array().cast(STR_ARRAY)).alias("init_alias"),
                                     F.col("link").alias("init_link"),
                                     F.coalesce("categories", F.array().cast(STR_ARRAY)).alias("init_cats")))
-    actions = inc.join(node_init.select("label", "node_name"), "label", "left").select(
-        "pos", "name", F.when(F.col("label") == F.lit(CREATED) + F.col("pos"), F.lit("created"))
-        .otherwise(F.lit("merged")).alias("action"), "node_name")
+    own = F.col("label") == F.lit(CREATED) + F.col("pos")
+    names = node_init.select("label", "node_name")
+    actions = _join_spread(merged.select("pos", "name", "label"), names, "label", bucket, "left").select(
+        "pos", "name", F.lit("merged").alias("action"), "node_name").unionByName(
+        inc.where(own).select("pos", "name", F.lit("created").alias("action"), F.col("name").alias("node_name")))
 
     def appended(items_col: str, init_col: str, out: str) -> DataFrame:
-        ex = merged.select("label", "pos", F.posexplode(items_col).alias("i", "a")).where(F.col("a").isNotNull())
-        ex = ex.join(node_init.select("label", init_col), "label") \
-               .where(~F.array_contains(F.col(init_col), F.col("a")) &
-                      ~F.exists(init_col, lambda x: x.isNull()))
-        first_row = ex.groupBy("label", "a").agg(F.min("pos").alias("first_pos"))
-        kept = ex.join(first_row, ["label", "a"]).where(F.col("pos") == F.col("first_pos"))
-        return kept.groupBy("label").agg(F.transform(
+        """Items that no earlier row of the node and not the node itself had; a null among the node's own
+        items keeps all out.  By (node, item), combined before the shuffle."""
+        ex = merged.select("label", "pos", items_col, F.posexplode(items_col).alias("i", "a")).where(F.col("a").isNotNull())
+        ex = ex.select("label", "a", "pos", "i", (F.array_position(items_col, F.col("a")) == F.col("i") + 1).alias("first"))
+        first = ex.where("first").groupBy("label", "a").agg(F.min(F.struct("pos", "i")).alias("at"))
+        had = node_init.select("label", F.explode(init_col).alias("a"))
+        kept = first.join(had.where(F.col("a").isNotNull()).distinct(), ["label", "a"], "left_anti") \
+            .join(had.where(F.col("a").isNull()).select("label").distinct(), "label", "left_anti") \
+            .select("label", "a", "at.pos", "at.i")
+        # an item that its first row has twice is appended twice
+        again = ex.where("not first").join(kept.select("label", "a", "pos"), ["label", "a", "pos"], "left_semi")
+        return kept.unionByName(again.select("label", "a", "pos", "i")).groupBy("label").agg(F.transform(
             F.array_sort(F.collect_list(F.struct("pos", "i", "a"))), lambda z: z["a"]).alias(out))
 
     merged = merged.withColumn("_new_alias", F.concat(F.array("name"), F.coalesce("alias", F.array().cast(STR_ARRAY)))) \

@@ -103,3 +103,28 @@ def test_rounds_grow_with_the_logarithm_of_a_chain(spark, monkeypatch):
         taken[n] = len(rounds)
         assert set(labels.values()) == {V.CREATED}
     assert taken[1000] <= taken[16] + 7
+
+
+def test_a_third_of_the_rows_in_one_node(spark):
+    """A hot term and a hot node, repeated items in a row, a null among a node's own items."""
+    rng = random.Random(11)
+    existing = [dict(name="hot", alias=["h"], link="", categories=["c0"]), dict(name="void", alias=["v", None], link="x", categories=[None])]
+    incoming = []
+    for p in range(150):
+        kind = p % 3
+        name = rng.choice(["hot", "Hot", "h"]) if kind == 0 else f"n{rng.randrange(40)}" if kind == 1 else rng.choice(["void", "V", f"m{p}"])
+        alias = [rng.choice(["h", "x1", "x2", f"x{rng.randrange(9)}"])] * rng.randint(1, 2) if kind == 0 else [f"a{p}", f"a{p}"]
+        incoming.append(dict(pos=p, name=name, alias=alias, link=rng.choice([None, "", f"L{p}"]), categories=[rng.choice("pqr")] * rng.randint(0, 2)))
+    assert run(spark, existing, incoming, bucket=16) == expected(existing, incoming)
+
+
+def test_spread_join_meets_a_frequent_key_once_a_bucket(spark):
+    from noema.operators import resolve as V
+    rows = spark.range(1000).select(F.col("id").alias("pos"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), "id")).alias("term"))
+    keys = spark.createDataFrame([("hot", 1), ("t4", 2)], "term string, ord int")
+    got = V._join_spread(rows, keys, "term", 100)
+    assert sorted((r.pos, r.ord) for r in got.collect()) == sorted([(i, 1) for i in range(0, 1000, 3)] + [(4, 2)])
+    assert V._join_spread(rows, keys, "term", 100, "left_semi").count() == 335 and V._join_spread(rows, keys, "term", 100, "left").count() == 1000
+    # the key's own join has a row for each of its buckets, not for each row
+    pairs = rows.withColumn("_b", F.floor(F.col("pos") / 100)).select("term", "_b").distinct().join(keys, "term")
+    assert pairs.where("term = 'hot'").count() == 10
