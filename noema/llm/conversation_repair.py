@@ -368,7 +368,8 @@ def repair(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "t
     own = F.array(F.struct("turn", F.coalesce("new_role", "role").alias("role"), "text", "edit"))
     parts = F.concat(F.transform("before", inserted), F.when(F.col("edit") == "D", F.slice(own, 1, 0)).otherwise(own),
                      F.transform("after", inserted))
-    turns = rows.join(edits, "mid").select("conv", "mid", F.posexplode(parts).alias("part", "t"))
+    # a segment's row becomes a row for each turn, which Spark's estimate of its size doesn't know
+    turns = rows.join(edits.hint("merge"), "mid").select("conv", "mid", F.posexplode(parts).alias("part", "t"))
     return Repaired(turns.select("conv", F.struct("mid", "part").alias("place"), "t.*"), report)
 
 

@@ -165,7 +165,7 @@ def test_turns_are_the_repaired_conversation(spark):
     assert [(r.turn, r.role, r.text, r.edit) for r in two.turns.orderBy("place").collect()][2:] == [(2, "assistant", "assistant 2.", "K")]
     assert two.report.first().audit == "KKKD"
     cut = C.repair(frame(spark, [(1, 0, "user", "a."), (1, 1, "user", "b."), (1, 2, "assistant", "c"), (1, 3, "assistant", "d.")]))
-    assert cut.report.first().audit == "KDDK"
+    assert cut.report.first().audit == "DKDK"
 
 
 def test_empty_table_and_conversations_that_lose_all_rows(spark, tmp_path):
