@@ -13,16 +13,18 @@ Equal vectors of a label are one class before the join.  Cells are dealt into
 blocks of bounded size and each pair of blocks is a task, so a dense cell is spread;
 tasks return counts and a spanning forest, never pairs.
 
-Labels of up to ``cell_rows`` classes are one cell without a pivot.  Larger ones get
-about one pivot for ``cell_rows`` classes, by hash; all labels together at most
-``max_pivots``, which bounds what each task is sent.
+Every label of several classes gets pivots, about one for ``cell_rows`` classes, at least
+two and at most ``FAN``.  Cells that are still large are split again in the same way,
+up to ``LEVELS`` levels, and a pair is compared where, at every level, one of both
+is at home: again exactly once.  A cell whose vectors lie so close that splitting it
+would mostly copy them (over ``GROWTH`` times its rows) stays whole.  The pivots are rows
+of a table and go to the tasks of their own cell only, 2,048 vectors each; none reach
+the driver.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -32,7 +34,9 @@ from noema.llm.components import components
 from noema.llm.pairs import LINKS, block_pairs, by_task, links_of
 from noema.llm.store import columns, table, with_row_order
 
-THRESHOLD, CELL_ROWS, MAX_PIVOTS, BLOCK_ROWS = 0.98, 512, 4096, 1024
+THRESHOLD, CELL_ROWS, BLOCK_ROWS = 0.98, 512, 1024
+FAN, LEVELS, GROWTH = 128, 3, 4
+_TASK = 2048
 _MARGIN = 1e-9
 
 
@@ -40,83 +44,91 @@ def _matrix(vectors: pa.Array, dim: int) -> np.ndarray:
     return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-def _cells(pivots: dict[tuple[int, int], np.ndarray], r: float):
-    """(rid, copies, label, dim, vec) -> a row for each cell: grp, home."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            label = b.column("label").to_numpy()
-            dim = b.column("dim").to_numpy()
-            for key in {*zip(label.tolist(), dim.tolist())}:
-                at = np.flatnonzero((label == key[0]) & (dim == key[1]))
-                for lo in range(0, len(at), 2048):
-                    part = at[lo:lo + 2048]
-                    rows = b.take(pa.array(part))
-                    p = pivots.get(key)
-                    if p is None:
-                        row, cell, home = np.arange(len(part)), np.zeros(len(part), np.int64), np.ones(len(part), bool)
-                    else:
-                        x = _matrix(rows.column("vec"), key[1])
-                        x /= np.linalg.norm(x, axis=1)[:, None]
-                        sq = np.maximum(2 - 2 * (x @ p.T), 0)
-                        own = sq.argmin(axis=1)
-                        near = sq[np.arange(len(x)), own]
-                        gap = np.sqrt(np.maximum(2 - 2 * (p @ p.T), 0))[own]
-                        visit = (np.sqrt(sq) - np.sqrt(near)[:, None] <= 2 * r + _MARGIN) \
-                            & (sq - near[:, None] <= 2 * gap * r + _MARGIN) \
-                            & (np.arange(len(p))[None, :] >= own[:, None])
-                        visit[np.arange(len(x)), own] = True
-                        row, cell = np.nonzero(visit)
-                        home = cell == own[row]
-                    grp = T.mix(T.pair_id(np.full(len(row), key[0] & (2**64 - 1), np.uint64),
-                                          np.full(len(row), key[1], np.uint64)) + cell.astype(np.uint64))
-                    taken = rows.take(pa.array(row))
-                    yield pa.RecordBatch.from_arrays(
-                        [T.as_long(grp), pa.array(home), taken.column("rid"), taken.column("copies"),
-                         taken.column("dim"), taken.column("vec")], ["grp", "home", "rid", "copies", "dim", "vec"])
-    return run
-
-
-def _compare(threshold: float):
+def _deal(r: float, level: int):
+    """A cell's pivots and up to 2,048 of its rows -> a row for each new cell that a row visits; bit ``level``
+    of ``own`` tells whether it is at home there."""
+    def work(t: pa.Table) -> pa.RecordBatch | None:
+        t = t.combine_chunks()
+        x = _matrix(t["vec"].combine_chunks(), t["dim"][0].as_py())
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        pivot, rid = t["pivot"].to_numpy(), t["rid"].to_numpy()
+        at = np.flatnonzero(pivot)
+        p = x[at[np.argsort(rid[at])]]          # the same order in all tasks of the cell
+        at = np.flatnonzero(~pivot)
+        if not len(at):
+            return None
+        x = x[at]
+        sq = np.maximum(2 - 2 * (x @ p.T), 0)
+        home = sq.argmin(axis=1)
+        near = sq[np.arange(len(x)), home]
+        gap = np.sqrt(np.maximum(2 - 2 * (p @ p.T), 0))[home]
+        visit = (np.sqrt(sq) - np.sqrt(near)[:, None] <= 2 * r + _MARGIN) \
+            & (sq - near[:, None] <= 2 * gap * r + _MARGIN) & (np.arange(len(p))[None, :] >= home[:, None])
+        visit[np.arange(len(x)), home] = True
+        row, cell = np.nonzero(visit)
+        parent = t["grp"].to_numpy()[:1]
+        grp = T.mix(T.pair_id(np.full(len(row), parent[0], np.int64).view(np.uint64), cell.astype(np.uint64)))
+        own = t["own"].to_numpy()[at][row] | (cell == home[row]).astype(np.int64) << level
+        rows = t.take(pa.array(at[row])).combine_chunks().to_batches()[0]
+        return pa.RecordBatch.from_arrays(
+            [T.as_long(grp), pa.array(np.repeat(parent, len(row))), pa.array(own), *(rows.column(c) for c in _KEPT)],
+            ["grp", "parent", "own", *_KEPT])
+    return by_task(work, ("grp", "i"))
+
+
+_KEPT = ["rid", "copies", "dim", "vec"]
+
+
+def _cells(reps: DataFrame, r: float, cell_rows: int) -> tuple[DataFrame, int]:
+    """((grp, own, rid, copies, dim, vec): a row for each cell that a class visits; the bits of ``own`` that two
+    rows must have between them to be compared)."""
+    vec = dict(reps.dtypes)["vec"]
+    ddl = f"grp bigint, parent bigint, own bigint, rid bigint, copies bigint, dim bigint, vec {vec}"
+    rows = reps.select(F.xxhash64("label", "dim").alias("grp"), F.lit(0).cast("bigint").alias("own"), *_KEPT)
+    for level in range(LEVELS):
+        sizes = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > (4 * cell_rows if level else 1))
+        fan = F.least(F.lit(FAN), F.greatest(F.lit(2), F.ceil(F.col("n") / F.lit(cell_rows))))
+        large = table(sizes.withColumn("k", fan.cast("int")).withColumn("cuts", F.ceil(F.col("n") / F.lit(_TASK)).cast("int")),
+                      "large-cells")
+        if not large.limit(1).count():
+            return rows, (1 << level) - 1
+        mine = rows.join(large, "grp")
+        order = Window.partitionBy("grp").orderBy(F.xxhash64(F.lit(level), "rid"), "rid")
+        # row_number() <= FAN keeps that many rows of a cell in each task
+        pivots = mine.withColumn("at", F.row_number().over(order)).where(F.col("at") <= FAN).where("at <= k") \
+            .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).withColumn("pivot", F.lit(True))
+        dealt = mine.withColumn("i", F.pmod(F.xxhash64("rid", F.lit(level)), F.col("cuts")).cast("int")).withColumn("pivot", F.lit(False))
+        cols = ["grp", "i", "pivot", "own", *_KEPT]
+        tasks = dealt.select(cols).unionByName(pivots.select(cols)).repartition("grp", "i").sortWithinPartitions("grp", "i")
+        split = table(tasks.mapInArrow(_deal(r, level), ddl), "split-cells")
+        grown = split.groupBy(F.col("parent").alias("grp")).agg(F.count(F.lit(1)).alias("m")).join(large, "grp")
+        divided = table(grown.where(F.col("m") <= GROWTH * F.col("n")).select("grp"), "divided-cells")
+        whole = rows.join(divided, "grp", "left_anti").withColumn("own", F.col("own").bitwiseOR(F.lit(1 << level)))
+        parts = split.join(divided.select(F.col("grp").alias("parent")), "parent", "left_semi").drop("parent")
+        rows = table(whole.unionByName(parts), "cells")
+    return rows, (1 << LEVELS) - 1
+
+
+def _compare(threshold: float, full: int):
     def work(t: pa.Table):
         x = _matrix(t["vec"].combine_chunks(), t["dim"][0].as_py())
         norm = np.linalg.norm(x, axis=1)
-        rid, copies, home, block = (t[c].to_numpy() for c in ("rid", "copies", "home", "block"))
+        rid, copies, own, block = (t[c].to_numpy() for c in ("rid", "copies", "own", "block"))
         i, j = t["i"][0].as_py(), t["j"][0].as_py()
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         if not len(left) or not len(right):
             return None
         cos = (x[left] @ x[right].T) / (norm[left][:, None] * norm[right][None, :])
-        linked = (cos >= threshold) & (home[left][:, None] | home[right][None, :])
+        linked = (cos >= threshold) & ((own[left][:, None] | own[right][None, :]) == full)
         if i == j:
             np.fill_diagonal(linked, False)
         return links_of(linked, left, right, i == j, rid, copies)
     return by_task(work)
 
 
-def _pivots(classes: DataFrame, cell_rows: int, max_pivots: int) -> dict[tuple[int, int], np.ndarray]:
-    """Unit vectors of the pivots of each large (label, dimension)."""
-    large = classes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cell_rows)
-    wanted = F.ceil(F.col("n") / F.lit(cell_rows)).cast("bigint")
-    total = large.agg(F.sum(wanted), F.count(F.lit(1))).first()
-    if not total[1] or total[1] * 2 > max_pivots:
-        return {}  # so many labels that each one's blocks are the better division
-    scale = min(1.0, max_pivots / total[0])
-    large = large.withColumn("k", F.greatest(F.lit(2), F.floor(wanted * F.lit(scale))).cast("int"))
-    order = Window.partitionBy("label", "dim").orderBy(F.xxhash64("rid"), "rid")
-    # row_number() <= the largest k keeps that many rows of a label in each task
-    most = large.agg(F.max("k")).first()[0]
-    top = classes.withColumn("at", F.row_number().over(order)).where(F.col("at") <= most)
-    chosen = top.join(large.select("label", "dim", "k"), ["label", "dim"]).where("at <= k").orderBy("label", "dim", "at")
-    out: dict[tuple[int, int], list] = {}
-    for row in chosen.select("label", "dim", "vec").collect():  # at most 2 * max_pivots rows
-        out.setdefault((row.label, row.dim), []).append(row.vec)
-    units = {k: np.array(v, np.float64) for k, v in out.items()}
-    return {k: v / np.linalg.norm(v, axis=1)[:, None] for k, v in units.items()}
-
-
 def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id",
                            vec_col: str = "embedding", label_col: str = "label", cell_rows: int = CELL_ROWS,
-                           max_pivots: int = MAX_PIVOTS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                           block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per row of ``vectors``: id; n_links (other vectors of its label with a
     cosine of at least ``threshold``, in double precision); component_id (smallest
     id reachable by links, itself included); kept (id = component_id).
@@ -145,14 +157,11 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_
     reps = table(good.select("rid", "label", "dim", "vec").join(classes.select("rep", "copies"), F.col("rid") == F.col("rep"))
                  .select("rid", "copies", "label", "dim", "vec"), "vector-reps")
 
-    pivots = _pivots(reps.select("rid", "label", "dim", "vec"), cell_rows, max_pivots)
-    r = math.sqrt(2 - 2 * threshold)
-    vec_type = dict(reps.dtypes)["vec"]
-    cells = reps.mapInArrow(_cells(pivots, r), f"grp bigint, home boolean, rid bigint, copies bigint, dim bigint, vec {vec_type}")
+    cells, full = _cells(reps, math.sqrt(2 - 2 * threshold), cell_rows)
     parts = cells.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("cut"))
-    tasks = block_pairs(cells.join(parts, "grp"), F.col("cut"), F.col("rid"), ["home", "rid", "copies", "dim", "vec"])
+    tasks = block_pairs(cells.join(parts, "grp"), F.col("cut"), F.col("rid"), ["own", "rid", "copies", "dim", "vec"])
     checked = table(tasks.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
-                    .mapInArrow(_compare(threshold), LINKS), "vector-links")
+                    .mapInArrow(_compare(threshold, full), LINKS), "vector-links")
     links = checked.groupBy("rid").agg(F.sum("links").alias("links"))
     joined = components(checked.select(F.col("rid").alias("a"), F.col("root").alias("b")))
 

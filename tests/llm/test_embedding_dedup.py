@@ -61,6 +61,42 @@ def test_same_as_brute_force(spark, seed, cell, block):
     assert got == brute_force(rows)
 
 
+def test_every_label_with_several_vectors_gets_pivots(spark, monkeypatch):
+    """The given table runs the range join, and many small labels do too."""
+    split, table = [], E.table
+
+    def seen(df, name):
+        out = table(df, name)
+        if name == "split-cells":
+            split.append(out)
+        return out
+    monkeypatch.setattr(E, "table", seen)
+    v = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    E.near_duplicate_vectors(v).count()
+    labels = v.where("label is not null").select(F.xxhash64(F.col("label").cast("bigint"), F.size("embedding").cast("bigint")).alias("g")).distinct()
+    assert {r.parent for r in split[0].select("parent").distinct().collect()} == {r.g for r in labels.collect()}
+    assert all(r.n >= 2 for r in split[0].groupBy("parent").agg(F.countDistinct("grp").alias("n")).collect())
+    split.clear()
+    many = spark.range(6000).select(F.col("id").alias("vec_id"), F.array(F.lit(1.0), (F.col("id") % 3) * 0.5, F.lit(0.1)).cast("array<float>").alias("embedding"),
+                                    (F.col("id") / 3).cast("int").alias("label"))
+    out = E.near_duplicate_vectors(many).agg(F.sum("n_links"), F.count_if("kept")).first()
+    assert tuple(out) == (0, 6000) and split[0].select("parent").distinct().count() == 2000
+
+
+def test_cells_are_split_again_unless_they_are_dense(spark):
+    g = np.random.default_rng(0)
+    loose = [(i, v.tolist(), 0) for i, v in enumerate(g.normal(size=(700, 6)))]
+    dense = [(1000 + i, (np.eye(6)[0] + 0.02 * g.normal(size=6)).tolist(), 1) for i in range(300)]
+    rows = loose + dense
+    df = spark.createDataFrame(rows, VECS)
+    reps = df.select(F.col("vec_id").alias("rid"), F.lit(1).cast("bigint").alias("copies"), F.col("label").cast("bigint").alias("label"),
+                     F.lit(6).cast("bigint").alias("dim"), F.col("embedding").alias("vec"))
+    cells, full = E._cells(reps, (2 - 2 * 0.98) ** 0.5, 10)
+    assert full == 0b111 and cells.where("rid < 1000").groupBy("grp").count().count() > 70
+    assert cells.where("rid >= 1000").count() <= 4 * 300
+    assert sorted(tuple(r) for r in E.near_duplicate_vectors(df, cell_rows=10).collect()) == brute_force(rows)
+
+
 def test_repeated_ids_and_empty(spark):
     v = [1.0, 0.0]
     rows = [(1, v, 0), (1, v, 0), (1, v, 1), (2, [1.0, 0.01], 0), (None, v, 0)]
