@@ -14,10 +14,10 @@ blocks of bounded size and each pair of blocks is a task, so a dense cell is spr
 tasks return counts and a spanning forest, never pairs.
 
 Every label of several classes gets pivots, about one for ``cell_rows`` classes, at least
-two and at most ``FAN``.  Cells that are still large are split again in the same way,
-up to ``LEVELS`` levels, and a pair is compared where, at every level, one of both
-is at home: again exactly once.  A cell whose vectors lie so close that splitting it
-would mostly copy them (over ``GROWTH`` times its rows) stays whole.  The pivots are rows
+two and at most ``FAN``.  Cells of over ``large_rows`` rows are split again in the same way,
+up to ``LEVELS`` levels in all, and a pair is compared where, at every level, one of both
+is at home: again exactly once.  Such a cell stays whole if its vectors lie so close that
+splitting would mostly copy them (over ``GROWTH`` times its rows).  The pivots are rows
 of a table and go to the tasks of their own cell only, 2,048 vectors each; none reach
 the driver.
 """
@@ -34,7 +34,7 @@ from noema.llm.components import components
 from noema.llm.pairs import LINKS, block_pairs, by_task, links_of
 from noema.llm.store import columns, table, with_row_order
 
-THRESHOLD, CELL_ROWS, BLOCK_ROWS = 0.98, 512, 1024
+THRESHOLD, CELL_ROWS, LARGE_ROWS, BLOCK_ROWS = 0.98, 512, 8192, 1024
 FAN, LEVELS, GROWTH = 128, 3, 4
 _TASK = 2048
 _MARGIN = 1e-9
@@ -79,14 +79,14 @@ def _deal(r: float, level: int):
 _KEPT = ["rid", "copies", "dim", "vec"]
 
 
-def _cells(reps: DataFrame, r: float, cell_rows: int) -> tuple[DataFrame, int]:
+def _cells(reps: DataFrame, r: float, cell_rows: int, large_rows: int) -> tuple[DataFrame, int]:
     """((grp, own, rid, copies, dim, vec): a row for each cell that a class visits; the bits of ``own`` that two
     rows must have between them to be compared)."""
     vec = dict(reps.dtypes)["vec"]
     ddl = f"grp bigint, parent bigint, own bigint, rid bigint, copies bigint, dim bigint, vec {vec}"
     rows = reps.select(F.xxhash64("label", "dim").alias("grp"), F.lit(0).cast("bigint").alias("own"), *_KEPT)
     for level in range(LEVELS):
-        sizes = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > (4 * cell_rows if level else 1))
+        sizes = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > (large_rows if level else 1))
         fan = F.least(F.lit(FAN), F.greatest(F.lit(2), F.ceil(F.col("n") / F.lit(cell_rows))))
         large = table(sizes.withColumn("k", fan.cast("int")).withColumn("cuts", F.ceil(F.col("n") / F.lit(_TASK)).cast("int")),
                       "large-cells")
@@ -102,7 +102,9 @@ def _cells(reps: DataFrame, r: float, cell_rows: int) -> tuple[DataFrame, int]:
         tasks = dealt.select(cols).unionByName(pivots.select(cols)).repartition("grp", "i").sortWithinPartitions("grp", "i")
         split = table(tasks.mapInArrow(_deal(r, level), ddl), "split-cells")
         grown = split.groupBy(F.col("parent").alias("grp")).agg(F.count(F.lit(1)).alias("m")).join(large, "grp")
-        divided = table(grown.where(F.col("m") <= GROWTH * F.col("n")).select("grp"), "divided-cells")
+        if level:
+            grown = grown.where(F.col("m") <= GROWTH * F.col("n"))
+        divided = table(grown.select("grp"), "divided-cells")
         whole = rows.join(divided, "grp", "left_anti").withColumn("own", F.col("own").bitwiseOR(F.lit(1 << level)))
         parts = split.join(divided.select(F.col("grp").alias("parent")), "parent", "left_semi").drop("parent")
         rows = table(whole.unionByName(parts), "cells")
@@ -128,7 +130,7 @@ def _compare(threshold: float, full: int):
 
 def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id",
                            vec_col: str = "embedding", label_col: str = "label", cell_rows: int = CELL_ROWS,
-                           block_rows: int = BLOCK_ROWS) -> DataFrame:
+                           large_rows: int = LARGE_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per row of ``vectors``: id; n_links (other vectors of its label with a
     cosine of at least ``threshold``, in double precision); component_id (smallest
     id reachable by links, itself included); kept (id = component_id).
@@ -157,7 +159,7 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_
     reps = table(good.select("rid", "label", "dim", "vec").join(classes.select("rep", "copies"), F.col("rid") == F.col("rep"))
                  .select("rid", "copies", "label", "dim", "vec"), "vector-reps")
 
-    cells, full = _cells(reps, math.sqrt(2 - 2 * threshold), cell_rows)
+    cells, full = _cells(reps, math.sqrt(2 - 2 * threshold), cell_rows, large_rows)
     parts = cells.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("cut"))
     tasks = block_pairs(cells.join(parts, "grp"), F.col("cut"), F.col("rid"), ["own", "rid", "copies", "dim", "vec"])
     checked = table(tasks.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")

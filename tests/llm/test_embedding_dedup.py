@@ -57,7 +57,7 @@ def corpus(seed, n=160, dim=8):
 def test_same_as_brute_force(spark, seed, cell, block):
     rows = corpus(seed)
     df = spark.createDataFrame(rows, VECS).withColumn("rid", F.lit(1)).withColumn("item", F.lit("x")).repartition(3)
-    got = sorted(tuple(r) for r in E.near_duplicate_vectors(df, cell_rows=cell, block_rows=block).collect())
+    got = sorted(tuple(r) for r in E.near_duplicate_vectors(df, cell_rows=cell, large_rows=4 * cell, block_rows=block).collect())
     assert got == brute_force(rows)
 
 
@@ -91,10 +91,10 @@ def test_cells_are_split_again_unless_they_are_dense(spark):
     df = spark.createDataFrame(rows, VECS)
     reps = df.select(F.col("vec_id").alias("rid"), F.lit(1).cast("bigint").alias("copies"), F.col("label").cast("bigint").alias("label"),
                      F.lit(6).cast("bigint").alias("dim"), F.col("embedding").alias("vec"))
-    cells, full = E._cells(reps, (2 - 2 * 0.98) ** 0.5, 10)
-    assert full == 0b111 and cells.where("rid < 1000").groupBy("grp").count().count() > 70
-    assert cells.where("rid >= 1000").count() <= 4 * 300
-    assert sorted(tuple(r) for r in E.near_duplicate_vectors(df, cell_rows=10).collect()) == brute_force(rows)
+    cells, full = E._cells(reps, (2 - 2 * 0.98) ** 0.5, 50, 40)
+    assert full == 0b111 and cells.where("rid < 1000").groupBy("grp").count().count() > 14
+    assert cells.where("rid >= 1000").groupBy("grp").count().count() >= 6
+    assert sorted(tuple(r) for r in E.near_duplicate_vectors(df, cell_rows=50, large_rows=40).collect()) == brute_force(rows)
 
 
 def test_repeated_ids_and_empty(spark):
