@@ -150,10 +150,11 @@ def test_bad_model_texts_never_fail_the_job(spark):
     texts = ['{"strength": ' + "9" * 400 + "}", '{"reason": "\\ud800 x"}', '{"prerequisites": [{"rank": 1.0, "topic": "a"}, '
              '{"rank": 99999999999999999999}]}', "[" * 5000, '{"a":' * 3000, "```json\n{\"strength\": 0.5}\n```", None, ""]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    rows = {r["i"]: r["p"] for r in df.select("i", J.parse_model_output("t").alias("p")).collect()}
+    fields = tuple(J.PARSED.fieldNames())
+    rows = {r["i"]: r["p"] for r in J.with_parsed(df, "t", fields).collect()}
     assert not rows[0]["is_object"] and rows[0]["strength"] is None
     assert rows[1]["reason"] == "\ufffd x"
     assert [x["rank"] for x in rows[2]["prerequisites"]] == [1, None]
     assert not any(rows[i]["is_object"] for i in (3, 4, 6, 7)) and rows[5]["strength"] == 0.5
-    fenced = df.select("i", J.parse_fenced_output("t").alias("p")).collect()
+    fenced = J.with_parsed(df, "t", fields, "fenced").collect()
     assert {r["i"] for r in fenced if r["p"]["is_object"]} >= {1, 2, 5}
