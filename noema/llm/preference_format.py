@@ -95,13 +95,15 @@ def pairs_from_conversations(convs: DataFrame) -> DataFrame:
     over a group, so a first turn that many conversations share is spread.
     """
     first = lambda t: F.struct(F.col(t)[0]["role"], F.col(t)[0]["text"])
-    keyed = convs.select("id", F.xxhash64(first("turns")).alias("k1"), F.xxhash64(first("turns"), F.lit(1)).alias("k2"))
+    keyed = convs.select("id", F.xxhash64(first("turns")).alias("k1"), F.xxhash64(F.lit(1), first("turns")).alias("k2"))
     at = with_global_index(keyed, ["k1", "k2", "id"], "at")
     nxt = at.select((F.col("at") - 1).alias("prev"), F.col("k1").alias("n1"), F.col("k2").alias("n2"), F.col("id").alias("next_id"))
     link = at.join(nxt, (F.col("at") == F.col("prev")) & (F.col("k1") == F.col("n1")) & (F.col("k2") == F.col("n2")))
     sibling = convs.select(F.col("id").alias("s"), F.col("turns").alias("sibling"))
     both = convs.join(link.select(F.col("id").alias("i"), "next_id"), F.col("id") == F.col("i"), "left") \
         .join(sibling, F.col("next_id") == F.col("s"), "left")
+    # grouped by two hashes; the turns themselves decide
+    same = F.coalesce(first("turns") == first("sibling"), F.lit(False))
     places = F.filter(F.transform("turns", lambda t, k: F.when(t["role"] == ASSISTANT, k)), lambda k: k.isNotNull())
     both = both.withColumn("places", places)
     last, before = F.col("places")[F.size("places") - 1], F.col("places")[F.size("places") - 2]
@@ -110,9 +112,9 @@ def pairs_from_conversations(convs: DataFrame) -> DataFrame:
         .otherwise(F.transform("turns", lambda t, k: F.when(
             k == last, F.struct(t["turn"].alias("turn"), t["role"].alias("role"), F.col("turns")[before]["text"].alias("text")))
             .otherwise(t)))
-    return both.select("id", F.when(F.col("next_id").isNotNull(), "sibling").otherwise("earlier_reply").alias("kind"),
+    return both.select("id", F.when(same, "sibling").otherwise("earlier_reply").alias("kind"),
                        F.col("turns").alias("chosen"),
-                       F.when(F.col("next_id").isNotNull(), F.col("sibling")).otherwise(swapped).alias("rejected"))
+                       F.when(same, F.col("sibling")).otherwise(swapped).alias("rejected"))
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
