@@ -5,8 +5,8 @@ terms that a benchmark window is probed by: its two rarest ones.  Rarity is
 counted over all documents.  A window is looked up from its rarest term; the
 offset-adjusted list (position less the term's place in the item) is
 intersected with the adjusted list of the second rarest.  Places that agree are
-verified word by word against the document itself, which gives exact phrase
-matches; places that agree up to ``near`` words are proximity matches.
+verified word by word against the document itself, first by the words' names and
+then by their bytes, which gives exact phrase matches; places that agree up to ``near`` words are proximity matches.
 
 What keeps it bounded:
 
@@ -58,8 +58,11 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, hi, data, offsets in T.runs(b.column("text")):
             w = T.words(data, offsets)
             item = b.column("item").slice(lo, hi - lo).to_numpy(zero_copy_only=False)
+            low = T.LOWER[data]
+            word = [low[x:y].tobytes() for x, y in zip(w.start.tolist(), w.end.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(item[w.doc]), pa.array(w.pos), T.as_long(w.id)], ["item", "pos", "term"])
+                [pa.array(item[w.doc]), pa.array(w.pos), T.as_long(w.id), pa.array(word, pa.binary())],
+                ["item", "pos", "term", "word"])
 
 
 def _counts(bitmap: np.ndarray):
@@ -114,17 +117,24 @@ def _probes(window: int):
                         continue
                     last = {"item": item, "j1": j1, "t1": int(term[j1]), "j2": j2, "t2": int(term[j2]),
                             "lo": s, "hi": s, "size": m}
-                    rows.append((last, term))
-            for r, term in rows:
+                    rows.append((last, term, words))
+            for r, term, words in rows:
                 r["phrase"] = term[r["lo"]:r["hi"] + r["size"]].tobytes()
-            yield pa.RecordBatch.from_pylist([r for r, _ in rows], schema=_PROBE)
+                r["letters"] = b" ".join(x["word"] for x in words[r["lo"]:r["hi"] + r["size"]])
+            yield pa.RecordBatch.from_pylist([r for r, _, _ in rows], schema=_PROBE)
     return run
 
 
 _PROBE = pa.schema([("item", pa.int64()), ("j1", pa.int64()), ("t1", pa.int64()), ("j2", pa.int64()),
                     ("t2", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("size", pa.int64()),
-                    ("phrase", pa.binary())])
-_PROBE_SQL = "item bigint, j1 bigint, t1 bigint, j2 bigint, t2 bigint, lo bigint, hi bigint, size bigint, phrase binary"
+                    ("phrase", pa.binary()), ("letters", pa.binary())])
+_PROBE_SQL = "item bigint, j1 bigint, t1 bigint, j2 bigint, t2 bigint, lo bigint, hi bigint, size bigint, phrase binary, letters binary"
+
+
+def _windows(same: np.ndarray, m: int) -> np.ndarray:
+    """Starts of the windows of ``m`` words that are all the same."""
+    run = np.cumsum(np.concatenate([[0], same]))
+    return np.flatnonzero(run[m:] - run[:-m] == m)
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,6 +144,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             w = T.words(data, offsets)
             n_words, n_hit, names, spans = w.counts(), [], [], []
             found = b.column("found").slice(lo, hi - lo)
+            low = None
             for d in range(hi - lo):
                 cell = found[d].as_py()
                 items, hit = set(), None
@@ -148,8 +159,13 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         same = np.zeros(len(phrase), bool)
                         same[cut:cut + len(part)] = part == phrase[cut:cut + len(part)]
                         m = c["size"]
-                        run = np.cumsum(np.concatenate([[0], same]))
-                        for s in np.flatnonzero(run[m:] - run[:-m] == m):
+                        if len(_windows(same, m)):
+                            # equal names so far: the words themselves decide
+                            low = T.LOWER[data] if low is None else low
+                            letters, k = c["letters"].split(b" "), w.first[d] + at
+                            for j in np.flatnonzero(same):
+                                same[j] = low[w.start[k + j]:w.end[k + j]].tobytes() == letters[j]
+                        for s in _windows(same, m):
                             hit[at + s:at + s + m] = True
                             items.add(c["name"])
                 names.append(sorted(items))
@@ -193,12 +209,12 @@ def find_matches(docs: DataFrame, items: DataFrame, window: int = 10, near: int
     named = named.select(F.col("name").cast("string").alias("name"), "text").distinct()
     named = named.withColumn("item", F.xxhash64("name", "text"))
 
-    terms = table(named.select("item", "text").mapInArrow(_item_words, "item bigint, pos bigint, term bigint"),
+    terms = table(named.select("item", "text").mapInArrow(_item_words, "item bigint, pos bigint, term bigint, word binary"),
                   "item-words")
     counts = (source.select("text").mapInArrow(_counts(_bitmap(terms, "term")), "term bigint, n bigint")
               .groupBy("term").agg(F.sum("n").alias("n")))
     known = terms.join(counts, "term", "left").groupBy("item").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "term", F.coalesce("n", F.lit(0)).alias("n")))).alias("words"))
+        F.sort_array(F.collect_list(F.struct("pos", "term", F.coalesce("n", F.lit(0)).alias("n"), "word"))).alias("words"))
     probes = table(known.mapInArrow(_probes(window), _PROBE_SQL).withColumn("probe", F.xxhash64("item", "j1", "j2")),
                    "probes")
     probed = probes.select(F.explode(F.array("t1", "t2")).alias("term"))
@@ -218,11 +234,11 @@ def find_matches(docs: DataFrame, items: DataFrame, window: int = 10, near: int
     met = met.where(F.abs(F.col("pos") - F.col("want")) <= near).select(
         "key", "probe", F.when((F.col("pos") == F.col("want")) & (F.col("base") + F.col("hi") >= 0),
                                F.col("base")).alias("base")).distinct()
-    labelled = met.join(probes.select("probe", "item", "lo", "size", "phrase"), "probe") \
+    labelled = met.join(probes.select("probe", "item", "lo", "size", "phrase", "letters"), "probe") \
         .join(named.select("item", "name"), "item")
     found = labelled.groupBy("key").agg(
         F.collect_list(F.when(F.col("base").isNotNull(),
-                              F.struct("base", "lo", "size", "phrase", "name"))).alias("found"),
+                              F.struct("base", "lo", "size", "phrase", "letters", "name"))).alias("found"),
         F.sort_array(F.collect_set("name")).alias("near"))
     met = source.join(found, "key", "left")
     ddl = (f"id {id_type}, n_words bigint, n_hit bigint, items array<string>, "

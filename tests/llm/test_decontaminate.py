@@ -3,10 +3,11 @@ import random
 
 import brute
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from noema.llm import decontaminate as D
+from noema.llm import decontaminate as D, textcore as T
 
 DOCS = "doc_id bigint, text string"
 ITEMS = "item_id bigint, text string"
@@ -89,3 +90,16 @@ def test_query_equals_its_sql(spark):
     got = sorted(tuple(r) for r in df.select(*rel.columns).collect())
     assert got == sorted(rel.fetchall()) and any(r[rel.columns.index("contaminated")] for r in got)
     assert hashlib.sha256(b"").hexdigest() in {r[rel.columns.index("items_sha256")] for r in got}
+
+
+def test_words_of_one_name_are_told_apart_by_their_letters(spark):
+    """A Thue-Morse word of 1,024 letters and its complement have the same 64-bit name."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    two = one.translate(str.maketrans("ab", "ba"))
+    data = np.frombuffer(f"{one} {two}".encode(), np.uint8)
+    ids = T.words(data, np.array([0, len(data)])).id
+    assert ids[0] == ids[1]
+    docs = spark.createDataFrame([(1, f"x {one} y"), (2, f"x {two} y"), (3, f"X {one.upper()}, y and x {two} y")], "doc_id bigint, text string")
+    items = spark.createDataFrame([("i", f"x {two} y")], "item_id string, text string")
+    got = {r.doc_id: (r.n_hit, r["items"]) for r in D.find_matches(docs, items).collect()}
+    assert got == {1: (0, []), 2: (3, ["i"]), 3: (3, ["i"])}
