@@ -1,21 +1,27 @@
-"""N-gram Jaccard join with banded MinHash signatures.
+"""N-gram Jaccard join with a MinHash LSH forest.
 
 Documents are sets of word shingles.  Documents with equal sets are one class,
 and the smallest document of a class stands for it from then on.
 
-The bands: each of ``trees`` bands has the first ``d`` of up to ``depth`` MinHash
-values, and two documents meet in a band when they share all of them.  ``d`` is fixed
-before a row is read: the largest at which the expected recall of a pair just at the
-threshold, ``1 - (1 - s^d)^trees``, reaches ``recall``; pairs of higher similarity
-have more.  It is no LSH forest: prefixes are not sorted, nor matched longer or
-shorter by the data.  With the defaults ``d`` is 6, and about 0.07% of pairs just at
-0.8 meet in no band; such a pair is lost unless other documents connect it.  A node
-is found by grouping on its band and values, so a node of any size is aggregated in
-parts.
-
-Every node links its members to its smallest one (a star, never all pairs), and
-connected components of these links are the candidate groups.  All pairs of a
-group are then verified exactly, by counting common shingles: members are dealt
+The forest: a document has ``depth`` MinHash values in each of ``trees`` trees.  The
+rows of a tree are sorted by these values (a range sort, so equal prefixes of any
+number are spread), which makes them the leaves of a prefix trie: a row and the one
+before it share a prefix of some length, and rows share one of length ``d`` when all
+rows between them do.  One pass over the sorted rows gives each row's link to the row
+before it, with the length of their common prefix.
+
+Matching begins with the longest prefixes and shortens them by what it finds.  The
+links of at least ``d`` common values join documents into candidate groups, which are
+verified exactly.  A pair of similarity ``s`` is found at length ``d`` with
+probability ``1 - (1 - s^d)^trees``.  While that is below ``recall`` for the weakest
+resemblance seen so far, ``d`` is shortened to the longest prefix that reaches it, and
+the groups that grew are verified again.  Pairs of 3/4 of the threshold and more
+count as resemblance, so that the threshold itself is taken as soon as anything near it
+is seen; if nothing is seen at all, it is taken too.  Prefixes are therefore never
+shorter than the threshold asks for (6 with the defaults), and about 0.07% of pairs
+just at 0.8 meet in no tree; such a pair is lost unless other documents connect it.
+
+All pairs of a group are verified by counting common shingles: members are dealt
 into blocks of bounded number and bytes, and each pair of blocks is a task of its
 own, so a group of a third of all rows is spread.  Pairs are counted where they
 are verified; what leaves a task is a number of links for each document and a
@@ -29,6 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from noema.llm import textcore as T
@@ -39,6 +46,8 @@ from noema.llm.store import columns, table, with_row_order
 SHINGLE, THRESHOLD, TREES, DEPTH, RECALL = 5, 0.8, 24, 10, 0.999
 BLOCK_ROWS, BLOCK_BYTES = 1024, 8 << 20
 _COLUMNS = 2048  # shingles counted at once
+_VALUE = 4  # bytes of a MinHash value in a key
+_NEAR = 0.75  # of the threshold: what counts as resemblance
 
 
 def matched_depth(threshold: float, trees: int, depth: int, recall: float) -> int:
@@ -62,7 +71,8 @@ def _sets(w: T.Words, docs: int, k: int):
 
 
 def _signatures(k: int, trees: int, depth: int):
-    """(rid, text_key, size, set1, set2, nodes, bytes): two names of the set, and its trie nodes."""
+    """(rid, text_key, size, set1, set2, leaves, bytes): two names of the set, and its
+    leaf in each tree: ``depth`` values of four bytes, most significant first."""
     factor = T.mix(np.arange(1, trees * depth + 1, dtype=np.uint64)) | np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,26 +82,84 @@ def _signatures(k: int, trees: int, depth: int):
                 doc, ids, size = _sets(T.words(data, offsets), n, k)
                 some = np.flatnonzero(size)
                 set1, set2 = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-                nodes = np.zeros((n, trees), np.uint64)
+                value = np.zeros((len(some), trees * depth), ">u4")
                 if len(some):
                     head = np.searchsorted(doc, some)
                     set1[some] = np.add.reduceat(T.mix(ids), head)
                     set2[some] = np.add.reduceat(T.mix(~ids), head)
-                    for t in range(trees):
-                        node = np.full(len(some), t + 1, np.uint64)
-                        for f in factor[t * depth:(t + 1) * depth]:
-                            node = T.pair_id(node, np.minimum.reduceat(ids * f, head))
-                        nodes[some, t] = node
+                    for i, f in enumerate(factor):
+                        value[:, i] = T.mix(np.minimum.reduceat(ids * f, head)) >> np.uint64(32)
                 cut = pa.array(np.concatenate([[0], np.cumsum(np.where(size > 0, trees, 0))]).astype(np.int32))
+                ends = np.arange(len(some) * trees + 1, dtype=np.int32) * np.int32(depth * _VALUE)
+                leaves = pa.Array.from_buffers(pa.binary(), len(some) * trees,
+                                               [None, pa.py_buffer(ends), pa.py_buffer(value.tobytes())])
                 yield pa.RecordBatch.from_arrays(
                     [b.column("rid").slice(lo, n), b.column("text_key").slice(lo, n),
                      pa.array(size.astype(np.int64)), T.as_long(set1),
-                     T.as_long(set2), pa.ListArray.from_arrays(cut, T.as_long(nodes[some].ravel())),
+                     T.as_long(set2), pa.ListArray.from_arrays(cut, leaves),
                      pa.array(np.diff(offsets))],
-                    ["rid", "text_key", "size", "set1", "set2", "nodes", "bytes"])
+                    ["rid", "text_key", "size", "set1", "set2", "leaves", "bytes"])
     return run
 
 
+def _neighbours(depth: int, least: int):
+    """Rows (tree, leaf, rid) of a sorted partition; out: each row's link to the row
+    before it (a, b, common) if they share ``least`` values, and the first and the last
+    row of the partition (part, tree, leaf, a), to be linked across partitions."""
+    names = ["a", "b", "common", "part", "tree", "leaf"]
+
+    def edges(part: int, ends: list[tuple[int, bytes, int]]) -> pa.RecordBatch:
+        tree, leaf, rid = zip(*ends)
+        none = pa.nulls(len(ends), pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rid, pa.int64()), none, pa.nulls(len(ends), pa.int32()), pa.array([part] * len(ends), pa.int32()),
+             pa.array(tree, pa.int32()), pa.array(leaf, pa.binary())], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last = TaskContext.get().partitionId(), None
+        for b in batches:
+            n = b.num_rows
+            if not n:
+                continue
+            tree = b.column("tree").to_numpy()
+            rid = b.column("rid").to_numpy()
+            leaf = b.column("leaf").cast(pa.binary())
+            value = np.frombuffer(b"".join(leaf.to_pylist()), ">u4").reshape(n, depth)
+            ends = (int(tree[-1]), leaf[n - 1].as_py(), int(rid[-1]))
+            if last is None:
+                yield edges(part, [(int(tree[0]), leaf[0].as_py(), int(rid[0]))])
+            else:  # the row before this batch comes first
+                tree, rid = np.append(last[0], tree), np.append(last[2], rid)
+                value = np.concatenate([np.frombuffer(last[1], ">u4")[None, :], value])
+            last = ends
+            same = (value[1:] == value[:-1]) & (tree[1:] == tree[:-1])[:, None]
+            common = np.logical_and.accumulate(same, axis=1).sum(axis=1)
+            at = np.flatnonzero(common >= least)
+            m = len(at)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rid[at + 1]), pa.array(rid[at]), pa.array(common[at].astype(np.int32)),
+                 pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names)
+        if last is not None:
+            yield edges(part, [last])
+    return run
+
+
+def _forest(reps: DataFrame, depth: int, least: int) -> DataFrame:
+    """(a, b, common): neighbours in the sorted tries that share ``least`` values or more."""
+    leaves = reps.select("rid", F.posexplode("leaves").alias("tree", "leaf"))
+    out = table(leaves.repartitionByRange("tree", "leaf", "rid").sortWithinPartitions("tree", "leaf", "rid").mapInArrow(
+        _neighbours(depth, least), "a bigint, b bigint, common int, part int, tree int, leaf binary"), "neighbours")
+    # two rows a partition: the last of one and the first of the next that has rows
+    order = Window.orderBy("part", "tree", "leaf", "a")
+    ends = out.where("part is not null").select(
+        "a", "part", *[F.lag(c).over(order).alias(f"{c}_") for c in ("a", "part")],
+        *[F.when(F.lag("tree").over(order) == F.col("tree"), F.lag("leaf").over(order)).alias("before")], "leaf")
+    prefix = lambda c, d: F.substring(c, 1, _VALUE * d)
+    common = F.coalesce(*[F.when(prefix("leaf", d) == prefix("before", d), F.lit(d)) for d in range(depth, least - 1, -1)])
+    across = ends.where("part <> part_").select("a", F.col("a_").alias("b"), common.alias("common")).where("common is not null")
+    return table(out.where("common is not null").select("a", "b", "common").unionAll(across), "forest")
+
+
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     z = zstandard.ZstdCompressor(level=1)
     for b in batches:
@@ -121,7 +189,8 @@ def _common(doc: np.ndarray, ids: np.ndarray, n: int, left: np.ndarray, right: n
 
 
 def _verify(k: int, threshold: float):
-    """Rows sorted by task (grp, i, j); out: (rid, links, root)."""
+    """Rows sorted by task (grp, i, j); out: (rid, links, root, grp, weakest), the last the
+    least resemblance in the task.  A task without links may have a row of no links."""
     def work(t: pa.Table):
         z = zstandard.ZstdDecompressor()
         texts = [z.decompress(x) for x in t["packed"].to_pylist()]
@@ -134,13 +203,42 @@ def _verify(k: int, threshold: float):
             return None
         doc, ids, size = _sets(T.words(data, offsets), n, k)
         common = _common(doc, ids, n, left, right).astype(np.float64)
-        linked = common / (size[left][:, None] + size[right][None, :] - common) >= threshold
+        similar = common / (size[left][:, None] + size[right][None, :] - common)
         if i == j:
-            np.fill_diagonal(linked, False)
-        return links_of(linked, left, right, i == j, rid, copies)
+            np.fill_diagonal(similar, 0)
+        weakest = similar.min(initial=2, where=similar >= threshold * _NEAR)
+        if weakest > 1:
+            return None
+        out = links_of(similar >= threshold, left, right, i == j, rid, copies)
+        if not out.num_rows:
+            out = pa.RecordBatch.from_arrays([pa.array(rid[:1]), pa.array([0]), pa.array(rid[:1])], out.schema.names)
+        m = out.num_rows
+        return pa.RecordBatch.from_arrays([*out.columns, pa.array(np.full(m, t["grp"][0].as_py())),
+                                           pa.array(np.full(m, weakest))], [*out.schema.names, "grp", "weakest"])
     return by_task(work)
 
 
+def _verified(edges: DataFrame, reps: DataFrame, rows: DataFrame, before: DataFrame | None, shingle: int, threshold: float,
+              block_rows: int, block_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """The candidate groups (grp, n) of the links ``edges``, and the rows of ``_verify``
+    for those that are not among the groups ``before``.  Groups only grow, so one of
+    the same smallest member and number is the same."""
+    group = components(edges)
+    member = table(group.join(reps.select("rid", "copies", "bytes"), F.col("node") == F.col("rid")).select(
+        "rid", F.col("component").alias("grp"), "copies", "bytes"), "members")
+    groups = table(member.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")), "groups")
+    parts = groups.select("grp", F.greatest(F.ceil(F.col("n") / F.lit(block_rows)),
+                                            F.ceil(F.col("bytes") / F.lit(block_bytes))).cast("int").alias("parts"), "n")
+    if before is not None:
+        parts = parts.join(before, ["grp", "n"], "left_anti")
+    packed = rows.mapInArrow(_pack, "rid bigint, packed binary")
+    loaded = member.join(parts.drop("n"), "grp").join(packed, "rid")
+    tasks = block_pairs(loaded, F.col("parts"), F.col("rid"), ["rid", "copies", "packed"])
+    return groups.select("grp", "n"), table(
+        tasks.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j").mapInArrow(
+            _verify(shingle, threshold), LINKS + ", grp bigint, weakest double"), "links")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, trees: int = TREES,
                     depth: int = DEPTH, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text",
                     block_rows: int = BLOCK_ROWS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -159,32 +257,31 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, shingle: int
     """
     source = columns(docs, id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
     rows, index = with_row_order(source)
-    d = matched_depth(threshold, trees, depth, recall)
     keyed = rows.withColumn("text_key", F.xxhash64("text"))
-    sign = table(keyed.mapInArrow(_signatures(shingle, trees, d),
-                                 "rid bigint, text_key bigint, size bigint, set1 bigint, set2 bigint, nodes array<bigint>, bytes bigint"),
+    sign = table(keyed.mapInArrow(_signatures(shingle, trees, depth),
+                                 "rid bigint, text_key bigint, size bigint, set1 bigint, set2 bigint, leaves array<binary>, bytes bigint"),
                  "signatures")
     classes = table(sign.where("size > 0").groupBy("set1", "set2").agg(
         F.min("rid").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
     reps = sign.join(classes.select("rep", "copies"), F.col("rid") == F.col("rep")).select(
-        "rid", "copies", "bytes", "nodes")
-
-    members = reps.select("rid", F.explode("nodes").alias("node"))
-    heads = members.groupBy("node").agg(F.min("rid").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    stars = members.join(heads.select("node", "head"), "node").where("rid <> head").select(
-        F.col("rid").alias("a"), F.col("head").alias("b"))
-    group = components(stars)
-
-    member = table(group.join(reps.select("rid", "copies", "bytes"), F.col("node") == F.col("rid")).select(
-        "rid", F.col("component").alias("grp"), "copies", "bytes"), "members")
-    parts = member.groupBy("grp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)),
-                                                 F.ceil(F.sum("bytes") / F.lit(block_bytes))).cast("int").alias("parts"))
-    packed = rows.mapInArrow(_pack, "rid bigint, packed binary")
-    loaded = member.join(parts, "grp").join(packed, "rid")
-    tasks = block_pairs(loaded, F.col("parts"), F.col("rid"), ["rid", "copies", "packed"])
-    checked = table(tasks.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j").mapInArrow(
-        _verify(shingle, threshold), LINKS), "links")
-    links = checked.groupBy("rid").agg(F.sum("links").alias("links"))
+        "rid", "copies", "bytes", "leaves")
+
+    least = matched_depth(threshold, trees, depth, recall)
+    forest = _forest(reps, depth, least)
+    d, groups, checked = depth, None, None
+    while True:
+        now, fresh = _verified(forest.where(F.col("common") >= d), reps, rows, groups, shingle, threshold,
+                               block_rows, block_bytes)
+        # groups that did not grow keep their links
+        checked = fresh if checked is None else checked.join(
+            groups.join(now, ["grp", "n"]).select("grp"), "grp", "left_semi").unionByName(fresh)
+        groups = now
+        weakest = checked.agg(F.min("weakest")).first()[0]
+        to = least if weakest is None else matched_depth(max(weakest, threshold), trees, depth, recall)
+        if to >= d:
+            break
+        d = to
+    links = checked.where("links > 0").groupBy("rid").agg(F.sum("links").alias("links"))
     joined = components(checked.select(F.col("rid").alias("a"), F.col("root").alias("b")))
 
     per_class = classes.join(links, F.col("rep") == F.col("rid"), "left").drop("rid").join(
@@ -225,7 +322,10 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = docs.withColumn("_text_key", text_key).withColumn("_row_key", F.xxhash64(F.col(id_col), F.col("_text_key")))
     met = rows.join(kept, (F.col("_row_key") == F.col("_row")) & (F.col("_text_key") == F.col("_key"))
                     & F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
-    one = Window.partitionBy("_row_key", id_col, "_text_key").orderBy(F.lit(0))
+    # rows equal in id and text may differ elsewhere: the first by all other columns that have an order
+    other = [F.col(f"`{f.name}`") for f in docs.schema.fields
+             if f.name not in (id_col, text_col) and not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
+    one = Window.partitionBy("_row_key", id_col, "_text_key").orderBy(*other or [F.lit(0)])
     return met.withColumn("_n", F.row_number().over(one)).where("_n = 1").select(*docs.columns)
 
 

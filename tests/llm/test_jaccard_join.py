@@ -97,3 +97,60 @@ def test_keep_one_of_each(spark):
     twice = docs + docs[:9] + [(None, "a b c d e f"), (None, "a b c d e f")]
     out = J.keep_one_of_each(spark.createDataFrame(twice, DOCS)).collect()
     assert sorted(map(repr, ((r.doc_id, r.text) for r in out))) == sorted(map(repr, [*got, (None, "a b c d e f")]))
+
+
+def test_rows_of_equal_id_and_text_do_not_depend_on_partitions(spark):
+    text = "a b c d e f g h i j"
+    docs = [(1, text, f"s{i}") for i in range(9)] + [(2, None, "x"), (2, None, None)]
+    df = spark.createDataFrame(docs, DOCS + ", source string")
+    got = {tuple(sorted(map(repr, J.keep_one_of_each(df.repartition(n)).collect()))) for n in (1, 4)}
+    assert len(got) == 1 and "source='s0'" in str(got)
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_forest_links_rows_of_common_prefixes(spark, parts):
+    """Rows joined by links of d values or more are those that share d values in a tree."""
+    rng = random.Random(parts)
+    key = lambda: b"".join(rng.choice([0, 1]).to_bytes(4, "big") for _ in range(4))
+    rows = [(i, [key() for _ in range(3)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "rid bigint, leaves array<binary>").repartition(parts)
+    links = [tuple(r) for r in J._forest(df, 4, 2).collect()]
+    for d in (2, 3, 4):
+        for a, b, common in links:
+            x, y = rows[a][1], rows[b][1]
+            assert common == max(c for c in range(5) if any(p[:4 * c] == q[:4 * c] for p, q in zip(x, y))
+                                 and c <= common), (a, b, common)
+        root = {i: i for i, _ in rows}
+        find = lambda i: i if root[i] == i else find(root[i])
+        for a, b, common in links:
+            if common >= d:
+                root[find(a)] = find(b)
+        for i, x in rows:
+            for j, y in rows:
+                if any(p[:4 * d] == q[:4 * d] for p, q in zip(x, y)):
+                    assert find(i) == find(j)
+
+
+def test_prefixes_are_shortened_by_what_is_found(spark, monkeypatch):
+    used = []
+    verified = J._verified
+    monkeypatch.setattr(J, "_verified", lambda edges, *a: used.append(edges.agg(F.min("common")).first()[0]) or verified(edges, *a))
+    words = [f"w{i}" for i in range(400)]
+    edit = lambda *at: " ".join("x" if i in at else w for i, w in enumerate(words))
+    docs = [(1, edit()), (2, edit(7)), (3, edit(300))]
+    got = [tuple(r) for r in J.near_duplicates(spark.createDataFrame(docs, DOCS)).drop("text_key").collect()]
+    assert sorted(got) == brute_force(docs) and min(used) == 10   # only strong links: no prefix is shortened
+    used.clear()
+    docs += [(4, edit(*range(0, 200, 25), 399))]
+    got = [tuple(r) for r in J.near_duplicates(spark.createDataFrame(docs, DOCS)).drop("text_key").collect()]
+    assert sorted(got) == brute_force(docs) and min(used) < 10
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(50000)}" for _ in range(120000)]
+    other = list(words)
+    other[1000] = "edit"
+    docs = [(1, " ".join(words)), (2, " ".join(other)), (3, "word " * 100000), (4, "word " * 90000)]
+    got = sorted(tuple(r) for r in J.near_duplicates(spark.createDataFrame(docs, DOCS)).drop("text_key").collect())
+    assert got == brute_force(docs)
