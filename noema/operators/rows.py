@@ -1,5 +1,5 @@
 """Row-order operators: first / last per key (W2, A9), top-k per key (W1),
-first occurrence (W3), global row index (W4, W5, O5).
+first occurrence (W3), global row index (W4, W5, O5), rows dealt over tasks.
 
 pandas keeps rows in input order and the reference leans on it ("first wins",
 "last wins", stable sorts).  Spark has no row order, so every operator here
@@ -8,6 +8,7 @@ takes an explicit ordering that must be total; ties are the caller's bug.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -92,6 +93,12 @@ def with_global_index(df: DataFrame, order: Sequence[ColumnLike], name: str = "r
     return out.drop("_mid", "_pid", "_local", "_off")
 
 
+def spread(df: DataFrame, rows_per_task: int) -> DataFrame:
+    """``df`` dealt over tasks of about ``rows_per_task`` rows, for steps that make much of a row: the tasks of
+    a scan follow the size of the files, so a small file with many rows is one task.  Counts ``df`` first."""
+    return df.repartition(max(1, math.ceil(df.count() / rows_per_task)))
+
+
 def batch_number(df: DataFrame, order: Sequence[ColumnLike], size: int, name: str = "batch") -> DataFrame:
     """``floor(row_index / size)`` under a total order."""
     idx = with_global_index(df, order, "_row_index")

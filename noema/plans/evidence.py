@@ -353,13 +353,15 @@ SELECT c_custkey AS seed_paper_id, CAST(i AS BIGINT) AS ref_pos, 'r' || ((c_cust
 FROM customer, range(0, 150) t(i)
 """)
 def saved_references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A response of 150 references for each customer, as JSON lines; every reference is read."""
+    """A response of 150 references for each customer, as JSON lines; every reference is read.
+    A file holds about 2,000 responses."""
     from noema.session import scratch_path
     key = F.col("c_custkey")
     refs = F.transform(F.sequence(F.lit(0), F.lit(149)), lambda i: F.struct(
         F.array().cast("array<string>").alias("contexts"), (i % 3 == 0).alias("isInfluential"),
         F.struct(F.concat(F.lit("r"), ((key * 7 + i) % 1000).cast("string")).alias("paperId")).alias("citedPaper")))
-    o = Tables(spark, sf_dir).customer.select(key.cast("string").alias("seed_paper_id"), refs.alias("data"))
+    customers = R.spread(Tables(spark, sf_dir).customer.select(key), 2_000)
+    o = customers.select(key.cast("string").alias("seed_paper_id"), refs.alias("data"))
     path = scratch_path(spark, "saved-references") + "-" + sf_dir.rstrip("/").rsplit("/", 1)[-1]
     files.write_json_lines(o, path)
     out = files.read_reference_responses(spark, path)

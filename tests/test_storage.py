@@ -126,3 +126,23 @@ def test_counts_are_taken_while_writing(spark, tmp_path):
     assert plan.count("FileScan") == 1 and "CollectMetrics" in plan and "Aggregate" not in plan
     df.write.parquet(str(tmp_path / "out"))
     assert seen.get == {"n": 10, "odd": 5}
+
+
+def test_saved_references_written_by_tasks_that_follow_the_rows(spark, tmp_path):
+    """5,000 customers in one small file, a key twice and one null: three files of responses, not one."""
+    from noema.plans.evidence import saved_references
+    keys = [*range(4_998), 7, None]
+    spark.createDataFrame([(k,) for k in keys], "c_custkey bigint").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    out = saved_references(spark, str(tmp_path))
+    assert len(out.inputFiles()) == 3
+    assert out.count() == 150 * len(keys) and out.where("seed_paper_id = 7").count() == 300
+    row = out.where("seed_paper_id = 9 AND ref_pos = 149").first()
+    assert (row.ref_paper_id, row.isInfluential) == ("r212", False)
+
+
+def test_spread_keeps_the_rows(spark):
+    from noema.operators.rows import spread
+    df = spark.range(0, 1_001, 1, 1)
+    out = spread(df, 100)
+    assert out.rdd.getNumPartitions() == 11 and out.agg(F.sum("id")).first()[0] == 500_500
+    assert spread(df.where("id < 0"), 100).count() == 0
