@@ -28,8 +28,9 @@ their term or node has go by (term, bucket) and (node, bucket) as well: what a k
 joined with the key's buckets, one row for ``bucket`` input rows.  After each round
 a row whose label names a creating row takes that row's own label (pointer
 jumping), so rounds grow with the logarithm of a chain of matches, not with its
-length.  Labels are checkpointed to the shared folder, and rounds are semi-naive:
-only rows whose label dropped act as sources in the next round.
+length.  Rows are checkpointed to the shared folder with their labels and shared terms, and rounds
+are semi-naive: only rows whose label dropped act as sources in the next round, and only
+rows above the least of these labels, with a term of theirs, are targets.
 
 The final node properties are the fold results in closed form: an appended
 alias survives iff it is not already on the node and no earlier merged row of
@@ -110,34 +111,49 @@ def resolve_labels(existing: DataFrame, incoming: DataFrame, bucket: int = DEFAU
     ek = _stored_terms(existing.select("ord", "name", "alias"), "ord") \
         .groupBy("term").agg(F.min("ord").alias("ord"))
     direct = _join_spread(terms.where(F.col("kind") == 1), ek, "term", bucket).groupBy("pos").agg(F.min("ord").alias("direct"))
-    labels = rows.select("pos").join(direct, "pos", "left").select(
-        "pos", F.least(F.coalesce("direct", F.lit(CREATED) + F.col("pos")),
-                       F.lit(CREATED) + F.col("pos")).alias("label")).checkpoint(eager=True)
     # only terms held by at least two rows can carry a label from one row to another
     shared = terms.select("term", "pos").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n")) \
         .where(F.col("n") > 1).select("term")
-    entries = _join_spread(terms, shared, "term", bucket, "left_semi").checkpoint(eager=True)
-    src = entries.where(F.col("kind") == 0).select("pos", "term")
-    tgt = entries.where(F.col("kind") == 1).select("pos", "term")
+    own_terms = _join_spread(terms, shared, "term", bucket, "left_semi").groupBy("pos").agg(
+        *[F.collect_list(F.when(F.col("kind") == k, F.col("term"))).alias(c) for k, c in ((0, "stored"), (1, "searched"))])
+    # a row has its label and its shared terms with it, so a round joins nothing to find what moved
+    state = rows.select("pos").join(direct, "pos", "left").join(own_terms, "pos", "left").select(
+        "pos", F.least(F.coalesce("direct", F.lit(CREATED) + F.col("pos")), F.lit(CREATED) + F.col("pos")).alias("label"),
+        F.lit(True).alias("moved"), F.lit(False).alias("joined"), "stored", "searched").checkpoint(eager=True)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    own, drops = F.lit(CREATED) + F.col("pos"), F.coalesce(F.col("cand") < F.col("label"), F.lit(False))
+    follows = F.coalesce((F.col("label") > F.lit(CREATED // 2)) & (F.col("label") != own), F.lit(False))
     # semi-naive rounds: only rows whose label dropped in the previous round
     # can lower anyone else's label, so only they act as sources
-    delta, first = labels, True
-    while True:
-        moved = src.join(delta, "pos")          # source entries of rows whose label dropped
-        # in the first round every row is new: all targets are in play
-        aimed = tgt if first else _join_spread(tgt, moved.select("term").distinct(), "term", bucket, "left_semi")
-        cand = _propagate_once(moved, aimed, bucket)
-        met = labels.join(cand, "pos", "left").select(
-            "pos", F.col("label").alias("old"), F.least("label", "cand").alias("label")).checkpoint(eager=True)
-        if met.where("label < old").limit(1).count() == 0:
-            return labels
+    least, first = state.agg(F.min("label")).first()[0], True
+    while least is not None:
+        src = state.where("moved").select("pos", "label", F.explode("stored").alias("term"))
+        # no label that moves is below ``least``: rows at or below it stay as they are, out of the round's joins
+        is_open = F.coalesce(F.col("label") > F.lit(least), F.lit(False))
+        tgt = state.where(is_open).select("pos", "label", F.explode("searched").alias("term"))
+        if not first:                           # in the first round every row is new
+            low = src.groupBy("term").agg(F.min("label").alias("low"))
+            tgt = _join_spread(tgt, low, "term", bucket).where("label > low")
+        cand = _propagate_once(src, tgt.select("pos", "term"), bucket)
+        met = state.where(is_open).join(cand, "pos", "left").select(
+            "pos", F.least("label", "cand").alias("label"), drops.alias("moved"),
+            (drops & (F.col("label") == own)).alias("joined"), "stored", "searched")
+        kept = state.where(~is_open).withColumns({"moved": F.lit(False), "joined": F.lit(False)})
+        state = met.unionByName(kept).coalesce(parts).checkpoint(eager=True)
+        first, dropped = False, F.min(F.when(F.col("moved"), F.col("label")))
+        least, following, joined = state.agg(dropped, F.max(follows), F.max("joined")).first()
+        if not (following and joined):
+            continue
         # shortcut: a row labelled by row q takes q's label.  q reaches the row, so what
-        # reaches q does too; a chain of matches halves each round
-        roots = met.select(F.col("pos").alias("q"), F.col("label").alias("further"))
-        jumped = met.join(roots, F.col("q") == F.col("label") - F.lit(CREATED), "left").select(
-            "pos", "old", F.least("label", "further").alias("label")).checkpoint(eager=True)
-        labels, first = jumped.select("pos", "label"), False
-        delta = jumped.where("label < old").select("pos", "label")
+        # reaches q does too; a chain of matches halves each round.  Only a q that no longer creates
+        # since this round has such rows: they left the others in the round those joined a node
+        roots = state.where("joined").groupBy(own.alias("label")).agg(F.min("label").alias("further"))
+        taken = _join_spread(state.where(follows), roots, "label", bucket, "left").select(
+            "pos", F.least("label", "further").alias("label"), (F.col("moved") | F.col("further").isNotNull()).alias("moved"),
+            "joined", "stored", "searched")
+        state = taken.unionByName(state.where(~follows)).coalesce(parts).checkpoint(eager=True)
+        least = state.agg(dropped).first()[0]
+    return state.select("pos", "label")
 
 
 def resolve(existing: DataFrame, incoming: DataFrame, bucket: int = DEFAULT_BUCKET

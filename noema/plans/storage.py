@@ -173,10 +173,10 @@ UNION ALL SELECT action, count(*) FROM res GROUP BY action
 def graph_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations as keywords, customers as papers, orders as mentions (every other one of an unknown concept),
     line items as references; entity resolution of the part names for created and merged."""
-    t = Tables(spark, sf_dir)
+    t, root = Tables(spark, sf_dir), fresh_path(spark, "graph")
     kw = t.nation.select(F.col("n_name").alias("name"), F.array(F.lower("n_name")).alias("alias"), "n_nationkey", "n_regionkey")
     papers = G.upsert_nodes(None, t.customer.select(F.col("c_custkey").alias("paperId"), F.col("c_name").alias("name"), F.col("c_custkey").alias("pos")),
-                            "name", ["pos"])
+                            "name", ["pos"]).checkpoint(eager=True)  # read by four of the outputs
     target = kw.select(F.col("n_nationkey").alias("k"), F.col("name").alias("target"))
     pre = kw.join(target, kw["n_regionkey"] == target["k"]).where("n_nationkey <> n_regionkey").select(
         F.col("name").alias("source"), "target", F.col("n_nationkey").alias("pos"))
@@ -197,7 +197,7 @@ def graph_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref_by, _ = G.upsert_edges(refs, "ref", "seed", ["pos"], papers, "paperId", papers, "paperId")
     actions = catalog.entity_resolve(spark, sf_dir)
     graph = graph_build.Graph(kw, papers, prereq, about, inn, ref_by, failed, actions=actions)
-    return graph_build.write_graph(graph, fresh_path(spark, "graph"))
+    return graph_build.write_graph(graph, root)
 
 
 # --------------------------------------------------------------------------

@@ -128,3 +128,16 @@ def test_spread_join_meets_a_frequent_key_once_a_bucket(spark):
     # the key's own join has a row for each of its buckets, not for each row
     pairs = rows.withColumn("_b", F.floor(F.col("pos") / 100)).select("term", "_b").distinct().join(keys, "term")
     assert pairs.where("term = 'hot'").count() == 10
+
+
+def test_settled_rows_are_no_targets_of_later_rounds(spark, monkeypatch):
+    """All rows share terms and end in the first node; once there, nothing can lower their labels."""
+    from noema.operators import resolve as V
+    targets, once = [], V._propagate_once
+    monkeypatch.setattr(V, "_propagate_once", lambda src, tgt, bucket: targets.append(tgt.count()) or once(src, tgt, bucket))
+    existing = spark.createDataFrame([(0, "t0", [])], "ord long, name string, alias array<string>")
+    i = F.col("id")
+    rows = spark.range(60).select(i.alias("pos"), F.when(i % 2 == 0, "t0").otherwise("hot").alias("name"),
+                                  F.array(F.when(i % 2 == 0, "hot").otherwise("warm")).alias("alias"))
+    assert {r["label"] for r in V.resolve_labels(existing, rows, 16).collect()} == {0}
+    assert targets == [60, 0]
