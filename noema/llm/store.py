@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DataType, StructType
@@ -12,18 +13,31 @@ from noema.operators.rows import with_global_index
 from noema.session import checkpoint_dir
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
+def table(df: DataFrame | Iterable[DataFrame], name: str) -> DataFrame:
     """Write ``df`` to the folder that all executors share (the one of
     ``spark.checkpoint.dir``) and read it back.
 
     Cuts the lineage: what follows survives lost executors without redoing
-    what came before, and one computation serves several readers.
+    what came before, and one computation serves several readers.  Several frames
+    of one schema are written in turn, to one table: what one has shuffled can go
+    while the next is under way.
     """
-    spark = df.sparkSession
-    release(spark)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/noema-llm/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = None
+    for one in [df] if isinstance(df, DataFrame) else df:
+        spark, kind = one.sparkSession, one.schema
+        release(spark)
+        path = path or f"{checkpoint_dir(spark).rstrip('/')}/noema-llm/{name}-{uuid.uuid4().hex}"
+        one.write.mode("append").option("compression", "zstd").parquet(path)
+    out = spark.read.schema(kind).parquet(path)
+    out._written_to = path
+    return out
+
+
+def drop(written: DataFrame) -> None:
+    """Remove the files of a ``table`` that nothing reads any more."""
+    spark = written.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(written._written_to)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:

@@ -2,8 +2,9 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from noema.llm import embedding_dedup as E
 
@@ -117,3 +118,68 @@ def test_query_equals_its_sql(spark, sf):
     assert sorted(df.columns) == sorted(rel.columns)
     got, want = (sorted(tuple(r) for r in x) for x in (df.select(*rel.columns).collect(), rel.fetchall()))
     assert got == want
+
+
+def vectors_table(rows):
+    return pa.table({"rid": pa.array([i for i, *_ in rows], pa.int64()), "copies": pa.array([c for _, _, c, _ in rows], pa.int64()),
+                     "own": pa.array([o for _, _, _, o in rows], pa.int64()), "dim": pa.array([len(v) for _, v, _, _ in rows], pa.int64()),
+                     "vec": pa.array([v for _, v, _, _ in rows], pa.list_(pa.float32()))})
+
+
+@pytest.mark.parametrize("seed, dim, block, noise", [(0, 40, 16, 0.02), (1, 40, 8, 0.3), (2, 6, 16, 0.2), (3, 40, 1024, 0.02), (4, 20, 8, 0.0)])
+def test_panel_meets_every_pair_once(seed, dim, block, noise):
+    """A panel with pivots and short vectors of its own finds what all pairs in double precision do."""
+    g = np.random.default_rng(seed)
+    centres = g.normal(size=(15, dim))
+    x = (centres[g.integers(15, size=700)] + noise * g.normal(size=(700, dim)) * g.random((700, 1))).astype(np.float32)
+    rows = [(int(i), v.tolist(), int(c), int(o)) for i, v, c, o in zip(g.permutation(700), x, g.integers(1, 4, 700), g.choice([1, 2, 3], 700))]
+    held, met = rows[:450], rows[450:]
+    panel = E._Panel(vectors_table(held), 0.98, 3, block)
+    out = [*panel.itself(), *panel.meet(vectors_table(met[:100])), *panel.meet(vectors_table(met[100:])), *panel.rows()]
+    links, up = {}, {i: i for i, *_ in rows}
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+    for b in out:
+        for i, k, root in zip(*(c.to_pylist() for c in b.columns)):
+            links[i] = links.get(i, 0) + k
+            up[max(top(i), top(root))] = min(top(i), top(root))
+    y = x.astype(float)
+    y /= np.linalg.norm(y, axis=1)[:, None]
+    own = np.array([o for *_, o in rows])
+    near = (y @ y.T >= 0.98) & ((own[:, None] | own[None, :]) == 3)
+    np.fill_diagonal(near, False)
+    near[450:, 450:] = False
+    want = near @ np.array([c for _, _, c, _ in rows])
+    assert {i: n for (i, *_), n in zip(rows, want.tolist()) if n} == {i: n for i, n in links.items() if n}
+    label = np.array([i for i, *_ in rows])
+    while True:
+        low = np.minimum(label, np.where(near, label[None, :], 10**9).min(axis=1))
+        if (low == label).all():
+            break
+        label = low
+    assert [top(i) for i, *_ in rows] == label.tolist()
+
+
+def test_vectors_are_held_once_and_compared_in_rounds(spark, monkeypatch):
+    """Cells list names of vectors; several panels, segments and rounds give the same result as all pairs."""
+    written, table, drop = {}, E.table, E.drop
+    gone = []
+
+    def seen(df, name):
+        frames = [df] if isinstance(df, DataFrame) else list(df)
+        written.setdefault(name, []).append((frames[0].columns, len(frames)))
+        return table(iter(frames), name)
+    monkeypatch.setattr(E, "table", seen)
+    monkeypatch.setattr(E, "drop", lambda df: (gone.append(1), drop(df)))
+    monkeypatch.setattr(E, "PANEL", 10 * 8 * 4)
+    monkeypatch.setattr(E, "SPAN", 2)
+    monkeypatch.setattr(E, "ROUND", 1)
+    rows = corpus(9, 240)
+    got = sorted(tuple(r) for r in E.near_duplicate_vectors(spark.createDataFrame(rows, VECS), cell_rows=60, large_rows=100, block_rows=8).collect())
+    assert got == brute_force(rows)
+    assert written["vector-links"][0][1] > 5                                    # rounds
+    assert all("vec" not in c for name in ("split-cells", "cells", "vectors") for c, _ in written[name])
+    assert "vec" in written["dealt-vectors"][0][0] and len(gone) >= 2
